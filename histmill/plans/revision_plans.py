@@ -1,3 +1,273 @@
-"""Registered queries."""
+"""Revision-domain queries: renumbering, delete propagation, matching,
+changesets, reports, tree states and pin manifests."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from histmill.operators import revisions as rv
+from histmill.plans.common import v
+from histmill.plans.registry import query
+
+# identity order of the file-change rows (total together with the two ids)
+FC_ORDER = ("l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "FileChanged", "RevisionLevelTo",
+            "TransmittalID", "FCIndex")
+FC_ORDER_SQL = ("l_shipdate, l_extendedprice, l_partkey, l_suppkey, FileChanged, RevisionLevelTo, TransmittalID, "
+                "FCIndex nulls first")
+MATCH_LEVELS = ("L0", "L1", "L2")
+SUFFIX_WIDTH = 24  # the original used 70 for its longer paths; test paths are 29..40 characters
+TREE_A, TREE_B = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
+TREE_DELETE_ACTIONS = ("purchase",)
+
+RENUMBER_SQL = f"""
+fc_ord as (
+  select *, row_number() over (order by {FC_ORDER_SQL}) as id from v_file_change),
+fc_grp as (
+  select *, count(*) over (partition by TransmittalID, FCIndex) as n,
+    row_number() over (partition by TransmittalID, FCIndex order by id) as dup_index from fc_ord),
+fc_extra as (
+  select id, TransmittalID, row_number() over (partition by TransmittalID order by id) as off from fc_grp
+  where n > 1 and dup_index > 1 and TransmittalID in (select TransmittalId from v_resolution)),
+fc_max as (
+  select TransmittalID, coalesce(max(FCIndex), 0) as mx from v_file_change group by TransmittalID),
+renumbered as (
+  select g.TransmittalID, cast(coalesce(e.off + m.mx, g.FCIndex, 0) as integer) as FCIndex, g.FileChanged,
+    g.FileToShip, g.RevisionLevelFrom, g.RevisionLevelTo, g.l_shipdate, g.l_extendedprice, g.l_partkey, g.l_suppkey
+  from fc_grp g left join fc_extra e on e.id = g.id left join fc_max m on m.TransmittalID = g.TransmittalID)"""
+
+PATHS_SQL = """
+paths as (
+  select c.FilePathKey, c.Path, c.IsProject,
+    c.Deleted or exists (select 1 from v_file_path p where p.IsProject and p.Deleted and not c.Deleted
+      and starts_with(lower(c.Path), lower(p.Path) || '/')) as Deleted
+  from v_file_path c)"""
+
+NORM_SQL = """
+case when strpos(lower(np), 'r75/') between 1 and 3 then '$/R75/' || substring(np, strpos(lower(np), 'r75/') + 4, 99)
+     when strpos(lower(np), 'src/') between 1 and 7
+       then '$/R' || substring(replace(ReleaseLev, '.', ''), 1, 2) || '/' || substring(np, strpos(lower(np), 'src/'), 99)
+     else np end"""
+
+CLAIMS_SQL = f"""
+claims as (
+  select c.TransmittalID, c.FCIndex, c.FileChanged, r.ReleaseLev,
+    try_cast(c.RevisionLevelFrom as decimal(19,4)) as lo, try_cast(c.RevisionLevelTo as decimal(19,4)) as hi,
+    replace(rtrim(ltrim(replace(c.FileChanged, chr(9), ''))), chr(92), '/') as np
+  from renumbered c join v_resolution r on r.TransmittalId = c.TransmittalID
+  where r.ReleaseLev in ('L0', 'L1', 'L2')),
+exact as (
+  select c.TransmittalID, c.FCIndex, fr.FileRevKey
+  from claims c join paths p on lower({NORM_SQL.strip().replace('np', 'c.np').replace('ReleaseLev', 'c.ReleaseLev')}) = lower(p.Path)
+    and not p.Deleted
+  join v_file_rev fr on fr.FilePathKey = p.FilePathKey and fr.Revision <= c.hi and fr.Revision > c.lo
+  where c.lo is not null and c.hi is not null),
+approx as (
+  select c.TransmittalID, c.FCIndex, fr.FileRevKey
+  from claims c join paths p on lower(right(c.FileChanged, {SUFFIX_WIDTH})) = lower(right(p.Path, {SUFFIX_WIDTH}))
+    and not p.Deleted and length(rtrim(p.Path)) > {SUFFIX_WIDTH}
+  join v_file_rev fr on fr.FilePathKey = p.FilePathKey and fr.Revision <= c.hi and fr.Revision > c.lo
+  where c.lo is not null and c.hi is not null
+    and not exists (select 1 from exact o where o.TransmittalID = c.TransmittalID and o.FCIndex = c.FCIndex
+                    and o.FileRevKey = fr.FileRevKey)),
+links as (
+  select *, 1 as pass from exact union all select *, 2 from approx)"""
+
+
+def renumbered(spark, sf):
+    fc = v(spark, sf, "v_file_change")
+    return rv.renumber_duplicates(fc, v(spark, sf, "v_resolution"), list(FC_ORDER))
+
+
+def propagated_paths(spark, sf):
+    return rv.propagate_deletes(v(spark, sf, "v_file_path"))
+
+
+def match_links(spark, sf):
+    return rv.match_all(renumbered(spark, sf), v(spark, sf, "v_resolution"), propagated_paths(spark, sf),
+                        v(spark, sf, "v_file_rev"), MATCH_LEVELS, SUFFIX_WIDTH)
+
+
+@query("dup_detect", oracle="""
+select TransmittalID, FCIndex, count(*) as n from v_file_change group by TransmittalID, FCIndex having count(*) > 1""")
+def dup_detect(spark, sf):
+    """AGG4 / DQ1: duplicated (fix, index) keys."""
+    return rv.duplicate_groups(v(spark, sf, "v_file_change"))
+
+
+@query("renumber_dups", oracle=f"""with {RENUMBER_SQL.strip()}
+select TransmittalID, FCIndex, FileChanged, RevisionLevelTo, l_shipdate, l_partkey, l_suppkey from renumbered""")
+def renumber_dups(spark, sf):
+    """WIN2 + WIN3 + JN8: duplicate indexes renumbered after the fix's maximum."""
+    return renumbered(spark, sf).select("TransmittalID", "FCIndex", "FileChanged", "RevisionLevelTo", "l_shipdate",
+                                        "l_partkey", "l_suppkey")
+
+
+@query("delete_propagation", oracle=f"""with {PATHS_SQL.strip()} select FilePathKey, Path, IsProject, Deleted from paths""")
+def delete_propagation(spark, sf):
+    """JN7: deleted projects mark every live descendant deleted."""
+    return propagated_paths(spark, sf).select("FilePathKey", "Path", "IsProject", "Deleted")
+
+
+@query("audit_live_children", oracle=f"""with {PATHS_SQL.strip()}
+select p.Path as parent_path, c.Path as child_path from paths p join paths c
+  on p.IsProject and p.Deleted and not c.Deleted and starts_with(lower(c.Path), lower(p.Path) || '/')""")
+def audit_live_children(spark, sf):
+    """DQ2: after propagation no live path may sit below a deleted project (expected empty)."""
+    return rv.live_children_of_deleted(propagated_paths(spark, sf))
+
+
+@query("match_range", oracle=f"""with {RENUMBER_SQL.strip()}, {PATHS_SQL.strip()}, {CLAIMS_SQL.strip()}
+select TransmittalID, FCIndex, FileRevKey from exact""")
+def match_range(spark, sf):
+    """JN5 + FLT6 + SC21: normalised path equality plus revision range (From, To]."""
+    return rv.match_exact(renumbered(spark, sf), v(spark, sf, "v_resolution"), propagated_paths(spark, sf),
+                          v(spark, sf, "v_file_rev"), MATCH_LEVELS)
+
+
+@query("match_paths", oracle=f"""with {RENUMBER_SQL.strip()}, {PATHS_SQL.strip()}, {CLAIMS_SQL.strip()}
+select TransmittalID, FCIndex, FileRevKey, pass from links""")
+def match_paths(spark, sf):
+    """JN6 + SET1: exact matches plus new suffix matches (the link table)."""
+    return match_links(spark, sf)
+
+
+@query("audit_path_mismatch", oracle=f"""with {RENUMBER_SQL.strip()}, {PATHS_SQL.strip()}, {CLAIMS_SQL.strip()}
+select c.FileChanged, p.Path, l.TransmittalID, l.FCIndex, l.FileRevKey
+from links l join renumbered c on c.TransmittalID = l.TransmittalID and c.FCIndex = l.FCIndex
+join v_file_rev r on r.FileRevKey = l.FileRevKey join paths p on p.FilePathKey = r.FilePathKey
+where lower(p.Path) <> lower(c.FileChanged)""")
+def audit_path_mismatch(spark, sf):
+    """DQ2: matched rows whose path differs from the claim (the approximate ones)."""
+    links = match_links(spark, sf).drop("pass")
+    return rv.approximate_matches(links, renumbered(spark, sf), propagated_paths(spark, sf),
+                                  v(spark, sf, "v_file_rev"))
+
+
+CHANGESET_SQL = f"""
+{PATHS_SQL.strip()},
+cs_rev as (
+  select r.*, p.Deleted, lower(rtrim(r.Usr)) as u,
+    lower(coalesce(replace(replace(r.Comment, chr(13) || chr(10), ''), ' ', ''), '')) as ck
+  from v_file_rev r join paths p on p.FilePathKey = r.FilePathKey),
+cs_flag as (
+  select *, case when lag(u) over w is not null and (u <> lag(u) over w or ck <> lag(ck) over w) then 1 else 0 end as f
+  from cs_rev where not Deleted
+  window w as (order by CommitTime, u nulls first, FilePathKey, Revision, FileRevKey)),
+changesets as (
+  select FileRevKey, FilePathKey, Revision, Usr, Comment, CommitTime, Action,
+    1 + sum(f) over (order by CommitTime, u nulls first, FilePathKey, Revision, FileRevKey
+                     rows between unbounded preceding and current row) as PromoteSeq
+  from cs_flag
+  union all
+  select FileRevKey, FilePathKey, Revision, Usr, Comment, CommitTime, Action, -1 from cs_rev where Deleted)"""
+
+
+def changeset_frame(spark, sf):
+    return rv.changesets(v(spark, sf, "v_file_rev"), propagated_paths(spark, sf))
+
+
+@query("changesets", oracle=f"""with {CHANGESET_SQL.strip()}
+select FileRevKey, cast(PromoteSeq as bigint) as PromoteSeq from changesets""")
+def changesets(spark, sf):
+    """WIN4 + WIN6: gap-and-island changeset numbers in one global order, -1 for deleted paths."""
+    return changeset_frame(spark, sf).select("FileRevKey", F.col("PromoteSeq").cast("long").alias("PromoteSeq"))
+
+
+@query("history_report", oracle=f"""with {CHANGESET_SQL.strip()}
+select cast(c.PromoteSeq as bigint) as PromoteSeq, p.Path, c.Revision, c.Usr, c.CommitTime, c.Comment, c.Action
+from changesets c join paths p on p.FilePathKey = c.FilePathKey where not p.Deleted""")
+def history_report(spark, sf):
+    """RPT1 + SRT1: live history with its changeset numbers, sorted by changeset then path descending."""
+    cs = changeset_frame(spark, sf)
+    p = propagated_paths(spark, sf).where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_pk"), "Path")
+    return (cs.join(p, F.col("FilePathKey") == F.col("_pk"))
+            .select(F.col("PromoteSeq").cast("long").alias("PromoteSeq"), "Path", "Revision", "Usr", "CommitTime",
+                    "Comment", "Action")
+            .orderBy(F.col("PromoteSeq").asc(), F.col("Path").desc(), F.col("Revision").asc()))
+
+
+@query("linkage_report", oracle=f"""with {RENUMBER_SQL.strip()}, {CHANGESET_SQL.strip()}, {CLAIMS_SQL.strip()}
+select cast(c.PromoteSeq as bigint) as PromoteSeq, p.Path, c.Revision, c.Usr, c.CommitTime, c.Action,
+  left(c.Comment, 40) as comment_first_40, xr.TransmittalID, xr.RevisionLevelFrom, xr.readme_first_40
+from changesets c join paths p on p.FilePathKey = c.FilePathKey
+left join (
+  select l.TransmittalID, l.FileRevKey, fc.RevisionLevelFrom, substring(fc.ReadMe, 1, 40) as readme_first_40
+  from links l left join (
+    select f.TransmittalID, f.FCIndex, f.RevisionLevelFrom, x.ReadMe
+    from renumbered f join v_resolution x on x.TransmittalId = f.TransmittalID) fc
+  on fc.TransmittalID = l.TransmittalID and fc.FCIndex = l.FCIndex) xr on xr.FileRevKey = c.FileRevKey
+where not p.Deleted""")
+def linkage_report(spark, sf):
+    """RPT2 + JN9: history left-joined to (links left-joined to (claims joined to fixes)), 40-char excerpts."""
+    cs = changeset_frame(spark, sf)
+    p = propagated_paths(spark, sf).where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_pk"), "Path")
+    fc = renumbered(spark, sf).select(F.col("TransmittalID").alias("_f_fix"), F.col("FCIndex").alias("_f_idx"),
+                                      "RevisionLevelFrom")
+    x = v(spark, sf, "v_resolution").select(F.col("TransmittalId").alias("_x_fix"),
+                                            F.substring("ReadMe", 1, 40).alias("readme_first_40"))
+    inner = fc.join(x, F.col("_f_fix") == F.col("_x_fix"))
+    links = match_links(spark, sf).select(F.col("TransmittalID"), F.col("FCIndex").alias("_l_idx"),
+                                          F.col("FileRevKey").alias("_l_rev"))
+    right = links.join(inner, (F.col("TransmittalID") == F.col("_f_fix")) & (F.col("_l_idx") == F.col("_f_idx")),
+                       "left")
+    out = cs.join(p, F.col("FilePathKey") == F.col("_pk")).join(right, F.col("FileRevKey") == F.col("_l_rev"), "left")
+    return out.select(F.col("PromoteSeq").cast("long").alias("PromoteSeq"), "Path", "Revision", "Usr", "CommitTime",
+                      "Action", F.left("Comment", F.lit(40)).alias("comment_first_40"), "TransmittalID",
+                      "RevisionLevelFrom", "readme_first_40")
+
+
+TREE_SQL = f"""
+{PATHS_SQL.strip()},
+tree_a as (
+  select FilePathKey, arg_max(FileRevKey, (CommitTime, Revision, FileRevKey)) as FileRevKey,
+    arg_max(Action, (CommitTime, Revision, FileRevKey)) as Action
+  from v_file_rev where CommitTime <= timestamp '{TREE_A}'
+    and FilePathKey in (select FilePathKey from paths where not Deleted) group by FilePathKey),
+tree_b as (
+  select FilePathKey, arg_max(FileRevKey, (CommitTime, Revision, FileRevKey)) as FileRevKey,
+    arg_max(Action, (CommitTime, Revision, FileRevKey)) as Action
+  from v_file_rev where CommitTime <= timestamp '{TREE_B}'
+    and FilePathKey in (select FilePathKey from paths where not Deleted) group by FilePathKey)"""
+
+
+@query("tree_asof", oracle=f"""with {TREE_SQL.strip()}
+select t.FilePathKey, r.Revision, t.FileRevKey, r.CommitTime
+from tree_b t join v_file_rev r on r.FileRevKey = t.FileRevKey where t.Action not in ('purchase')""")
+def tree_asof(spark, sf):
+    """JN15: tree state (latest live revision per path) as of a date."""
+    return rv.tree_asof(v(spark, sf, "v_file_rev"), propagated_paths(spark, sf), TREE_B, TREE_DELETE_ACTIONS)
+
+
+@query("tree_diff", oracle=f"""with {TREE_SQL.strip()},
+a as (select FilePathKey, FileRevKey from tree_a where Action not in ('purchase')),
+b as (select FilePathKey, FileRevKey from tree_b where Action not in ('purchase'))
+select coalesce(a.FilePathKey, b.FilePathKey) as FilePathKey, a.FileRevKey as rev_a, b.FileRevKey as rev_b,
+  case when a.FilePathKey is null then 'added' when b.FilePathKey is null then 'missing' else 'changed' end as change
+from a full outer join b on a.FilePathKey = b.FilePathKey
+where a.FilePathKey is null or b.FilePathKey is null or a.FileRevKey <> b.FileRevKey""")
+def tree_diff(spark, sf):
+    """JN16: added / changed / missing paths between two tree states."""
+    revs, paths = v(spark, sf, "v_file_rev"), propagated_paths(spark, sf)
+    return rv.tree_diff(rv.tree_asof(revs, paths, TREE_A, TREE_DELETE_ACTIONS),
+                        rv.tree_asof(revs, paths, TREE_B, TREE_DELETE_ACTIONS))
+
+
+@query("pinned_revisions", oracle="""
+with pins as (
+  select distinct FileChanged as path, cast(RevisionLevelTo as bigint) as revision,
+    '%TODIR%' || chr(92) || cast(l_suppkey as varchar) as target_dir
+  from v_file_change where starts_with(FileChanged, '$/')),
+pr as (
+  select lower(p.Path) as lpath, r.Revision, r.FileRevKey
+  from v_file_rev r join v_file_path p on p.FilePathKey = r.FilePathKey)
+select pins.path, pins.revision, pins.target_dir, pr.FileRevKey
+from pins left join pr on pr.lpath = lower(pins.path) and pr.Revision = pins.revision""")
+def pinned_revisions(spark, sf):
+    """SRC7: a pinned-revision manifest (one `get` line per pinned claim) parsed and
+    joined to revisions by (path, revision); unmatched pins keep a NULL key."""
+    fc = v(spark, sf, "v_file_change").where(F.col("FileChanged").startswith("$/"))
+    lines = fc.select(F.concat(F.lit('%SSEXE% get "'), F.col("FileChanged"), F.lit('" -V'), F.col("RevisionLevelTo"),
+                               F.lit(' -GTU -GWR -W -GF- -GL"%TODIR%\\'), F.col("l_suppkey").cast("string"),
+                               F.lit('"')).alias("value")).distinct()
+    pins = rv.parse_pin_manifest(lines)
+    return rv.select_pinned(pins, v(spark, sf, "v_file_path"), v(spark, sf, "v_file_rev"))
