@@ -119,3 +119,32 @@ def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, c
     carry = totals.select(PID, F.coalesce(F.sum("_opens").over(wt), F.lit(0)).alias("_carry"))
     out = local.join(F.broadcast(carry), PID).withColumn(out_col, F.lit(start) + F.col("_carry") + F.col("_run"))
     return out.drop("_open", "_run", "_carry", PID, POS)
+
+
+def forward_fill(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value_col: str, out_col: str,
+                 partitions: int | None = None) -> DataFrame:
+    """``last(value, ignorenulls) over (partition by group order by order rows unbounded preceding)``
+    without sending a whole group (or, with no group, the whole input) to one task (WIN5).
+
+    Inside a range partition the fill is local; the first group of a partition
+    is seeded with the last non-null value of the same group in the nearest
+    earlier partition that has one (read from the per-partition summary).
+    """
+    staged = stage_by_range(df, [*group, *order], partitions)
+    gkey = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0).alias("_all"))
+    w = Window.partitionBy(PID).orderBy(POS)
+    run_start = F.when(F.lag(gkey).over(w).eqNullSafe(gkey), F.lit(None)).otherwise(F.col(POS))
+    local = (staged.withColumn("_gkey", gkey).withColumn("_start", run_start)
+             .withColumn("_run", F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    w_run = Window.partitionBy(PID, "_run").orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    local = local.withColumn("_fill", F.last(value_col, ignorenulls=True).over(w_run))
+    summary = local.groupBy(PID).agg(F.min_by("_gkey", POS).alias("_first_g"), F.max_by("_gkey", POS).alias("_last_g"),
+                                     F.max_by("_fill", POS).alias("_last_v"))
+    earlier = (summary.where(F.col("_last_v").isNotNull())
+               .select(F.col(PID).alias("_q"), F.col("_last_g").alias("_qg"), F.col("_last_v").alias("_qv")))
+    seeds = (summary.join(earlier, (F.col("_q") < F.col(PID)) & F.col("_qg").eqNullSafe(F.col("_first_g")), "left")
+             .groupBy(PID, "_first_g").agg(F.max_by("_qv", "_q").alias("_seed")))
+    out = local.join(F.broadcast(seeds), PID)
+    seeded = F.when(F.col("_gkey").eqNullSafe(F.col("_first_g")), F.col("_seed"))
+    out = out.withColumn(out_col, F.coalesce(F.col("_fill"), seeded))
+    return out.drop("_gkey", "_start", "_run", "_fill", "_first_g", "_seed", PID, POS)
