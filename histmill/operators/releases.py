@@ -157,14 +157,15 @@ def apply_release_rules(releases: DataFrame) -> DataFrame:
                      "FixedVersion", "JIRABranch")
 
 
-def catalog_for_version(catalog: DataFrame, items: DataFrame, version_col: str, level_col: str) -> DataFrame:
+def catalog_for_version(catalog: DataFrame, items: DataFrame, version_col: str, level_col: str,
+                        keep: list[str] | None = None) -> DataFrame:
     """Left lookup of one catalog row per item by version (ledger #5).
 
     The original joins on the version only and keeps whichever row came last, so
     an item may meet several rows. Here exactly one is kept: the row whose level
     equals the item's level, else the lowest (ReleaseLev, ReleaseID). Both
     lookups are joins against catalog-sized relations, so the item side is never
-    regrouped; the catalog columns are appended to ``items``.
+    regrouped; the catalog columns (or only ``keep``) are appended to ``items``.
     """
     cols = catalog.columns  # starts with ReleaseLev, ReleaseID
     exact = catalog.select(F.col("ReleaseID").alias("_cat_v"), F.col("ReleaseLev").alias("_cat_l"),
@@ -173,4 +174,4 @@ def catalog_for_version(catalog: DataFrame, items: DataFrame, version_col: str,
     out = (items.join(exact, (F.col(version_col) == F.col("_cat_v")) & (F.col(level_col) == F.col("_cat_l")), "left")
            .join(fallback, F.col(version_col) == F.col("_cat_fv"), "left")
            .withColumn("_cat", F.coalesce("_cat_exact", "_cat_fb")))
-    return out.select(*items.columns, *[F.col("_cat")[c].alias(c) for c in cols])
+    return out.select(*items.columns, *[F.col("_cat")[c].alias(c) for c in (keep or cols)])
