@@ -414,3 +414,91 @@ def link_edges(links: DataFrame, defect_scope: DataFrame, fix_scope: DataFrame,
         (F.col("issue_num") + profile.fix_id_offset).cast("string").alias("sourceId"),
         F.col("externalId").alias("destinationId"))
     return edges.unionByName(dummies)
+
+
+# ------------------------------------------------------ post-passes + docs ---
+
+def with_change_text(fix_rows: DataFrame, changes: DataFrame) -> DataFrame:
+    """AGG9 applied: the fix description gets the heading once, then one line per file change."""
+    ct = changes.select(F.col("TransmittalID").alias("_ct"), "changes")
+    j = fix_rows.join(ct, F.col("issue_num") == F.col("_ct"), "left").drop("_ct")
+    base = F.coalesce(F.col("description"), F.lit(""))
+    head = F.when(F.instr(base, CHANGE_HEADING) > 0, F.lit("")).otherwise(F.lit("\n\n" + CHANGE_HEADING))
+    desc = F.when(F.col("changes").isNotNull(), F.concat(base, head, F.lit("\n"), F.col("changes"))) \
+        .otherwise(F.col("description"))
+    return j.withColumn("description", desc).drop("changes")
+
+
+def apply_version_aliases(rows: DataFrame, alias_summary: bool) -> DataFrame:
+    """SC22 post-pass: version arrays, custom-field values and (fixes) the summary prefix."""
+    out = rows.withColumns({
+        "affectedVersions": F.transform("affectedVersions", alias_version),
+        "fixedVersions": F.transform("fixedVersions", alias_version),
+        "customFieldValues": F.transform("customFieldValues", lambda f: f.withField(
+            "value", F.when(f["value"] == "8_0", F.lit("8_00")).otherwise(f["value"]))),
+    })
+    if alias_summary:
+        out = out.withColumn("summary", F.regexp_replace("summary", r"^\[8_0\] ", "[8_00] "))
+    return out
+
+
+ISSUE_COLUMNS = ["issue_num", "kind", "externalId", "status", "resolution", "priority", "reporter", "assignee",
+                 "created", "resolutionDate", "updated", "affectedVersions", "fixedVersions", "components", "summary",
+                 "description", "issueType", "labels", "customFieldValues"]
+
+
+def nested_parts(defect_log: DataFrame, customer: DataFrame, trans: DataFrame, fix_rows: DataFrame,
+                 records: DataFrame, profile: ExportProfile) -> DataFrame:
+    """AGG8: per issue, the ordered history and comment arrays (one grouped aggregation)."""
+    hist_t = f"struct<author:string,created:string,items:array<{ITEM_TYPE}>>"
+    com_t = "struct<author:string,body:string,created:string>"
+    null_h, null_c = F.lit(None).cast(hist_t), F.lit(None).cast(com_t)
+
+    def part(df, key, grp, t, o, hist, com):
+        return df.select(key.cast("string").alias("externalId"),
+                         F.struct(F.lit(grp).alias("g"), t.cast("timestamp_ntz").alias("t"), o.cast("long").alias("o"))
+                         .alias("ord"), hist.alias("h"), com.alias("c"))
+
+    def hist_of(df):
+        return F.struct(F.col("author").cast("string").alias("author"), F.col("created").alias("created"),
+                        F.col("items").alias("items"))
+
+    def com_of(df):
+        return F.struct(F.col("author").cast("string").alias("author"), F.col("body").alias("body"),
+                        F.col("created").alias("created"))
+
+    fix_key = F.col("TransmittalID") + profile.fix_id_offset
+    enh = with_user(fix_rows.where(truthy(F.col("FeatOrEnhNum"))), "Analyst", "_enh_author", records, profile)
+    parts = [
+        part(defect_log.where(F.col("items").isNotNull()), F.col("SDR_Num"), 0, F.col("EntryDate"), F.col("event_id"),
+             hist_of(defect_log), null_c),
+        part(defect_log.where(F.col("body").isNotNull()), F.col("SDR_Num"), 0, F.col("EntryDate"), F.col("event_id"),
+             null_h, com_of(defect_log)),
+        part(customer, F.col("sdr_no"), 1, F.lit(None), F.col("c_custkey"), null_h, com_of(customer)),
+        part(enh, F.col("issue_num") + profile.fix_id_offset, 0, F.lit(None), F.lit(0), null_h,
+             F.struct(F.col("_enh_author").alias("author"),
+                      F.concat(F.lit("Enh/Feature ID: "), F.col("FeatOrEnhNum").cast("string")).alias("body"),
+                      F.col("created").alias("created"))),
+        part(trans.where(F.col("items").isNotNull()), fix_key, 1, F.col("entrydate"), F.col("event_id"),
+             hist_of(trans), null_c),
+        part(trans.where(F.col("body").isNotNull()), fix_key, 1, F.col("entrydate"), F.col("event_id"), null_h,
+             com_of(trans)),
+    ]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    g = u.groupBy("externalId").agg(F.array_sort(F.collect_list(F.struct("ord", "h", "c"))).alias("_p"))
+    hist = F.filter(F.transform("_p", lambda s: s["h"]), lambda h: h.isNotNull())
+    com = F.filter(F.transform("_p", lambda s: s["c"]), lambda c: c.isNotNull())
+    return g.select(F.col("externalId").alias("_nk"), F.when(F.size(hist) > 0, hist).alias("history"),
+                    F.when(F.size(com) > 0, com).alias("comments"))
+
+
+def issue_documents(issue_rows: DataFrame, nested: DataFrame) -> DataFrame:
+    """CMP7 + SNK1: one canonical JSON line per issue, keys sorted, non-ASCII escaped."""
+    j = issue_rows.join(nested, F.col("externalId") == F.col("_nk"), "left")
+    fields = sorted(["affectedVersions", "assignee", "comments", "components", "created", "customFieldValues",
+                     "description", "externalId", "fixedVersions", "history", "issueType", "labels", "priority",
+                     "reporter", "resolution", "resolutionDate", "status", "summary", "updated"])
+    doc = F.to_json(F.struct(*[F.col(c) for c in fields]), {"writeNonAsciiCharacterAsCodePoint": "true"})
+    return j.select("externalId", "kind", doc.alias("json"))
