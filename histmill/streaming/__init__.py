@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The surveyed scripts have no unbounded source, watermark, time window or
+session state: every input is a finished table or log, so everything here is
+batch. The one order-dependent scan (changeset grouping) is built on a
+distributed two-phase batch scan instead (``histmill.operators.ordered``).
+"""
