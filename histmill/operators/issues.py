@@ -302,13 +302,22 @@ def defect_issues(defects: DataFrame, links: DataFrame, fixes: DataFrame, catalo
         F.col("Release").alias("OrigRelease"), F.col("Version").alias("OrigVersion"))
 
 
+TEXT_COLUMNS = ("ReadMe",)
+
+
 def fix_issues(fixes: DataFrame, links: DataFrame, defects: DataFrame, tlog: DataFrame, catalog: DataFrame,
                defect_scope: DataFrame, fix_scope: DataFrame, records: DataFrame,
-               profile: ExportProfile) -> DataFrame:
-    """CMP4: one flat row per in-scope fix (description before file changes, dummy-parent fields kept)."""
+               profile: ExportProfile, changes: DataFrame | None = None) -> DataFrame:
+    """CMP4: one flat row per in-scope fix (``description`` before file changes, dummy-parent
+    fields kept, ``changes`` = the ordered file-change text when ``changes`` is given).
+
+    All joins run on the narrow columns; the wide text column is joined once at
+    the end, so it crosses a single shuffle instead of one per lookup.
+    """
     scope = fix_scope.select(F.col("TransmittalId").alias("_s"), F.col("Branch").alias("Branch"),
                              F.col("Version").alias("_scope_version"))
-    r = fixes.join(scope, F.col("TransmittalId") == F.col("_s")).drop("_s")
+    wide = [c for c in TEXT_COLUMNS if c in fixes.columns]
+    r = fixes.drop(*wide).join(scope, F.col("TransmittalId") == F.col("_s")).drop("_s")
     stats = fix_link_stats(links, defects, defect_scope).withColumnRenamed("TransmittalID", "_st")
     r = r.join(stats, F.col("TransmittalId") == F.col("_st"), "left").drop("_st")
     span = tlog.groupBy(F.col("TransmittalID").alias("_tl")).agg(F.min("entrydate").alias("earliest"),
@@ -325,8 +334,16 @@ def fix_issues(fixes: DataFrame, links: DataFrame, defects: DataFrame, tlog: Dat
         F.raise_error(F.concat(F.col("TransmittalId").cast("string"), F.lit(" has no assignee")))))
     r = with_user(r, "_assignee_ref", "assignee", records, profile)
     r = with_user(r, "Analyst", "reporter", records, profile)
+    if changes is not None:
+        ct = changes.select(F.col("TransmittalID").alias("_ct"), "changes")
+        r = r.join(ct, F.col("TransmittalId") == F.col("_ct"), "left").drop("_ct")
+    else:
+        r = r.withColumn("changes", F.lit(None).cast("string"))
+    if wide:
+        text = fixes.select(F.col("TransmittalId").alias("_tx"), *wide)
+        r = r.join(text, F.col("TransmittalId") == F.col("_tx"), "left").drop("_tx")
     run_ts = F.lit(profile.run_time).cast("timestamp_ntz")
-    desc0 = crlf_to_lf(F.col("ReadMe"))
+    desc0 = crlf_to_lf(F.col("ReadMe")) if "ReadMe" in fixes.columns else F.lit(None).cast("string")
     summary0 = F.when(truthy(F.col("_brief")), F.col("_brief")).otherwise(first_sentence(desc0))
     summary = F.concat(F.lit("["), F.coalesce(F.col("Branch"), F.lit("")), F.lit("] "),
                        F.coalesce(summary0, F.lit("")))
@@ -363,7 +380,7 @@ def fix_issues(fixes: DataFrame, links: DataFrame, defects: DataFrame, tlog: Dat
         F.lit("Resolution").alias("issueType"),
         F.when(F.size(labels) > 0, labels).alias("labels"),
         fields.alias("customFieldValues"),
-        "Branch", "SDRCount", "FeatOrEnhNum", "Analyst",
+        "Branch", "SDRCount", "FeatOrEnhNum", "Analyst", "changes",
         codes.fix_parent_type(F.col("TransmittalType")).alias("parentIssueType"),
         codes.fix_parent_status(waiting, released).alias("parentIssueStatus"),
         codes.fix_parent_resolution(waiting, released).alias("parentIssueResolution"))
@@ -418,15 +435,13 @@ def link_edges(links: DataFrame, defect_scope: DataFrame, fix_scope: DataFrame,
 
 # ------------------------------------------------------ post-passes + docs ---
 
-def with_change_text(fix_rows: DataFrame, changes: DataFrame) -> DataFrame:
+def with_change_text(fix_rows: DataFrame) -> DataFrame:
     """AGG9 applied: the fix description gets the heading once, then one line per file change."""
-    ct = changes.select(F.col("TransmittalID").alias("_ct"), "changes")
-    j = fix_rows.join(ct, F.col("issue_num") == F.col("_ct"), "left").drop("_ct")
     base = F.coalesce(F.col("description"), F.lit(""))
     head = F.when(F.instr(base, CHANGE_HEADING) > 0, F.lit("")).otherwise(F.lit("\n\n" + CHANGE_HEADING))
     desc = F.when(F.col("changes").isNotNull(), F.concat(base, head, F.lit("\n"), F.col("changes"))) \
         .otherwise(F.col("description"))
-    return j.withColumn("description", desc).drop("changes")
+    return fix_rows.withColumn("description", desc).drop("changes")
 
 
 def apply_version_aliases(rows: DataFrame, alias_summary: bool) -> DataFrame:

@@ -56,36 +56,46 @@ def global_row_number(staged: DataFrame, out_col: str) -> DataFrame:
             .withColumn(out_col, F.col(POS) + F.col("_before")).drop("_before"))
 
 
-def grouped_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out_col: str,
-                       partitions: int | None = None) -> DataFrame:
-    """``row_number() over (partition by group order by order)`` that tolerates a hot group.
+def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value: Column,
+                        out_col: str, partitions: int | None = None) -> DataFrame:
+    """``sum(value) over (partition by group order by order rows unbounded preceding)``
+    that tolerates a hot group (one group may span many partitions).
 
     Rows are range-partitioned on (group, order). Inside a partition the local
-    number restarts per group; a group continued from earlier partitions is
-    always the first group of its partition, so it gets an offset equal to its
-    row count in earlier partitions, read from the per-partition summary.
-    NULL group keys form one group, as in SQL.
+    sum restarts per group run; a group continued from earlier partitions is
+    always the first group of its partition, so it gets a carry equal to its
+    total in earlier partitions, read from the per-partition summary (one row
+    per partition). NULL group keys form one group, as in SQL.
     """
-    staged = stage_by_range(df, [*group, *order], partitions)
+    staged = stage_by_range(df.withColumn("_val", value), [*group, *order], partitions)
     gkey = F.struct(*[F.col(g) for g in group])
     # same window spec as the staging step: no new exchange, only a local sort
     w = Window.partitionBy(PID).orderBy(POS)
     run_start = F.when(F.lag(gkey).over(w).eqNullSafe(gkey), F.lit(None)).otherwise(F.col(POS))
     local = (staged.withColumn("_gkey", gkey).withColumn("_start", run_start)
-             .withColumn("_local", F.col(POS) - F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1)
-             .drop("_start"))
+             .withColumn("_run", F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("_local", F.sum("_val").over(Window.partitionBy(PID, "_run").orderBy(POS)
+                                                      .rowsBetween(Window.unboundedPreceding, 0)))
+             .drop("_start", "_run"))
     summary = local.groupBy(PID).agg(
         F.min_by("_gkey", POS).alias("_first_g"),
         F.max_by("_gkey", POS).alias("_last_g"),
-        F.max_by("_local", POS).alias("_last_cnt"),
+        F.max_by("_local", POS).alias("_last_sum"),
     )
-    earlier = summary.select(F.col(PID).alias("_q"), F.col("_last_g").alias("_qg"), F.col("_last_cnt").alias("_qc"))
+    earlier = summary.select(F.col(PID).alias("_q"), F.col("_last_g").alias("_qg"), F.col("_last_sum").alias("_qs"))
     offsets = (summary.join(earlier, (F.col("_q") < F.col(PID)) & F.col("_qg").eqNullSafe(F.col("_first_g")), "left")
-               .groupBy(PID, "_first_g").agg(F.coalesce(F.sum("_qc"), F.lit(0)).alias("_carry")))
+               .groupBy(PID, "_first_g").agg(F.coalesce(F.sum("_qs"), F.lit(0)).alias("_carry")))
     out = local.join(F.broadcast(offsets), PID)
     out = out.withColumn(out_col, F.col("_local")
                          + F.when(F.col("_gkey").eqNullSafe(F.col("_first_g")), F.col("_carry")).otherwise(0))
-    return out.drop("_local", "_gkey", "_first_g", "_carry", PID, POS)
+    return out.drop("_val", "_local", "_gkey", "_first_g", "_carry", PID, POS)
+
+
+def grouped_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out_col: str,
+                       partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by group order by order)`` that tolerates a hot group."""
+    out = grouped_running_sum(df, group, order, F.lit(1), out_col, partitions)
+    return out.withColumn(out_col, F.col(out_col).cast("int"))
 
 
 def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, carry_cols: Sequence[str],

@@ -98,63 +98,84 @@ def version_before_underscore(release_id: Column) -> Column:
     return F.substring_index(release_id, "_", 1)
 
 
-def apply_suffix_rules(releases: DataFrame) -> DataFrame:
-    """First stage: defaults plus the suffix rules."""
-    rid = F.col("ReleaseID")
-    lang, hotfix, matched = suffix_labels(rid)
-    return releases.withColumns({
+def _suffix_state(release_id: Column) -> dict[str, Column]:
+    """First stage: defaults plus the suffix rules, as column expressions."""
+    lang, hotfix, matched = suffix_labels(release_id)
+    return {
         "IsReleased": F.lit(True),
         "LanguageLabel": lang,
         "HotfixLabel": hotfix,
-        "AffectsVersion": F.when(matched & (F.locate("_", rid) > 0), version_before_underscore(rid)).otherwise(rid),
-    })
+        "AffectsVersion": F.when(matched & (F.locate("_", release_id) > 0),
+                                 version_before_underscore(release_id)).otherwise(release_id),
+    }
+
+
+def apply_suffix_rules(releases: DataFrame) -> DataFrame:
+    """SC12 only: defaults plus the suffix rules."""
+    return releases.withColumns(_suffix_state(F.col("ReleaseID")))
 
 
-def _set(df: DataFrame, cond: Column, **values) -> DataFrame:
-    """One UPDATE ... SET ... WHERE cond, as a projection."""
-    return df.withColumns({k: F.when(cond, v if isinstance(v, Column) else F.lit(v)).otherwise(F.col(k))
-                           for k, v in values.items()})
+def _set(state: dict[str, Column], cond: Column, **values) -> None:
+    """One UPDATE ... SET ... WHERE cond: every SET reads the values before the update."""
+    new = {k: F.when(cond, v if isinstance(v, Column) else F.lit(v)).otherwise(state[k]) for k, v in values.items()}
+    state.update(new)
+
+
+OUTPUT_COLUMNS = ("ReleaseLev", "ReleaseID", "IsReleased", "LanguageLabel", "HotfixLabel", "AffectsVersion",
+                  "FixedVersion", "JIRABranch")
 
 
 def apply_release_rules(releases: DataFrame) -> DataFrame:
-    """PRJ6: raw ``(ReleaseLev, ReleaseID)`` -> clean catalog with labels, versions, branch and released flag."""
-    df = apply_suffix_rules(releases)
+    """PRJ6: raw ``(ReleaseLev, ReleaseID)`` -> clean catalog with labels, versions, branch and released flag.
+
+    The ordered rules are composed as column expressions on the driver (each rule
+    reads the expressions left by the rules before it) and applied in a single
+    projection: one analysis pass instead of one per rule.
+    """
     rid, lev = F.col("ReleaseID"), F.col("ReleaseLev")
-    av = F.col("AffectsVersion")
-    df = _set(df, _ci_in(rid, UNRELEASED_IDS), IsReleased=False)
+    st = _suffix_state(rid)
+    # materialise the suffix stage once so later rules reference columns, not the whole suffix CASE
+    base = releases.select("ReleaseLev", "ReleaseID", *[v.alias(k) for k, v in st.items()])
+    st = {k: F.col(k) for k in ("IsReleased", "LanguageLabel", "HotfixLabel", "AffectsVersion")}
+    _set(st, _ci_in(rid, UNRELEASED_IDS), IsReleased=False)
     for old, new in VERSION_ALIASES.items():
-        df = _set(df, _ci_eq(rid, old), AffectsVersion=new)
-    df = _set(df, _ci_in(F.left(av, F.lit(5)), PREFIXES_STRIPPED), AffectsVersion=F.substr(av, F.lit(6), F.lit(20)))
-    df = df.withColumn("FixedVersion", av)
-    df = df.withColumn("JIRABranch", F.translate(F.coalesce(av, rid), ". ", "__"))
+        _set(st, _ci_eq(rid, old), AffectsVersion=new)
+    av = st["AffectsVersion"]
+    _set(st, _ci_in(F.left(av, F.lit(5)), PREFIXES_STRIPPED), AffectsVersion=F.substr(av, F.lit(6), F.lit(20)))
+    base = base.select("ReleaseLev", "ReleaseID", *[v.alias(k) for k, v in st.items()])
+    st = {k: F.col(k) for k in ("IsReleased", "LanguageLabel", "HotfixLabel", "AffectsVersion")}
+    st["FixedVersion"] = st["AffectsVersion"]
+    st["JIRABranch"] = F.translate(F.coalesce(st["AffectsVersion"], rid), ". ", "__")
     for version, branch in DEV_BRANCHES.items():
-        df = _set(df, _ci_eq(F.col("AffectsVersion"), version), JIRABranch=branch, FixedVersion=branch,
-                  AffectsVersion=branch, IsReleased=False)
+        _set(st, _ci_eq(st["AffectsVersion"], version), JIRABranch=branch, FixedVersion=branch,
+             AffectsVersion=branch, IsReleased=False)
     for level, (branch, dev_version) in PRODUCT_LINES.items():
-        df = _set(df, _ci_eq(lev, level), JIRABranch=branch)
-        df = _set(df, _ci_eq(F.col("AffectsVersion"), dev_version), FixedVersion=branch, AffectsVersion=branch,
-                  IsReleased=False)
+        _set(st, _ci_eq(lev, level), JIRABranch=branch)
+        _set(st, _ci_eq(st["AffectsVersion"], dev_version), FixedVersion=branch, AffectsVersion=branch,
+             IsReleased=False)
+    base = base.select("ReleaseLev", "ReleaseID", *[v.alias(k) for k, v in st.items()])
+    st = {k: F.col(k) for k in OUTPUT_COLUMNS[2:]}
     bi1_version, bi1_branch, bi1_label = BI1
-    is_bi1 = _ci_eq(F.col("AffectsVersion"), bi1_version)
-    df = _set(df, is_bi1 & F.col("HotfixLabel").isNull(), JIRABranch=bi1_branch, HotfixLabel=bi1_label)
-    df = _set(df, is_bi1 & F.col("LanguageLabel").isNull() & ~_ci_eq(F.col("HotfixLabel"), bi1_label),
-              JIRABranch=bi1_branch, LanguageLabel=bi1_label)
+    is_bi1 = _ci_eq(st["AffectsVersion"], bi1_version)
+    _set(st, is_bi1 & st["HotfixLabel"].isNull(), JIRABranch=bi1_branch, HotfixLabel=bi1_label)
+    _set(st, is_bi1 & st["LanguageLabel"].isNull() & ~_ci_eq(st["HotfixLabel"], bi1_label),
+         JIRABranch=bi1_branch, LanguageLabel=bi1_label)
     for version, branch, label, released in ADDON_RELEASES:
         values = {"JIRABranch": branch, "HotfixLabel": label}
         if released is not None:
             values["IsReleased"] = released
-        df = _set(df, _ci_eq(F.col("AffectsVersion"), version), **values)
+        _set(st, _ci_eq(st["AffectsVersion"], version), **values)
     for level, branch in LEVEL_BRANCHES.items():
-        df = _set(df, _ci_eq(lev, level), JIRABranch=branch)
+        _set(st, _ci_eq(lev, level), JIRABranch=branch)
     nf_id, nf_branch, nf_label = NOTA_FISCAL
-    df = _set(df, _ci_eq(rid, nf_id), JIRABranch=nf_branch, HotfixLabel=nf_label)
-    unlabelled = F.coalesce(F.col("HotfixLabel"), F.col("LanguageLabel")).isNull()
+    _set(st, _ci_eq(rid, nf_id), JIRABranch=nf_branch, HotfixLabel=nf_label)
+    unlabelled = F.coalesce(st["HotfixLabel"], st["LanguageLabel"]).isNull()
     for prefix, branch in PREFIX_DEV_BRANCHES:
-        df = _set(df, ~_ci_eq(lev, "INAP") & F.lower(F.col("AffectsVersion")).startswith(prefix.lower()) & unlabelled,
-                  JIRABranch=branch)
-    df = _set(df, ~unlabelled & ~_ci_in(lev, tuple(PRODUCT_LINES)), FixedVersion=F.col("JIRABranch"))
-    return df.select("ReleaseLev", "ReleaseID", "IsReleased", "LanguageLabel", "HotfixLabel", "AffectsVersion",
-                     "FixedVersion", "JIRABranch")
+        _set(st, ~_ci_eq(lev, "INAP") & F.lower(st["AffectsVersion"]).startswith(prefix.lower()) & unlabelled,
+             JIRABranch=branch)
+    unlabelled = F.coalesce(st["HotfixLabel"], st["LanguageLabel"]).isNull()
+    _set(st, ~unlabelled & ~_ci_in(lev, tuple(PRODUCT_LINES)), FixedVersion=st["JIRABranch"])
+    return base.select("ReleaseLev", "ReleaseID", *[st[k].alias(k) for k in OUTPUT_COLUMNS[2:]])
 
 
 def catalog_for_version(catalog: DataFrame, items: DataFrame, version_col: str, level_col: str,

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histmill.operators.ordered import global_islands, grouped_row_number
+from histmill.operators.ordered import global_islands, grouped_running_sum
 from histmill.operators.texts import normalize_path
 
 MONEY = "decimal(19,4)"
@@ -39,29 +39,28 @@ def renumber_duplicates(changes: DataFrame, fixes: DataFrame, order_key: Sequenc
     after the fix's highest index, in ``order_key`` order across the fix. Only
     changes of known fixes are renumbered. Remaining NULL indexes become 0.
 
-    Group firsts come from a grouped ``min_by`` (partial aggregation, safe for a
-    hot group); the per-fix numbering uses the range-staged row number.
+    Group firsts and the per-fix maximum are grouped aggregates joined back on
+    their group keys (partial aggregation, safe for a hot group); the offset of
+    an extra row is a running count of extra rows in its fix, computed by the
+    range-staged scan, so no row is ever joined back by its order key.
     """
     ok = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_key])
     base = changes.withColumn("_ok", ok)
-    firsts = (base.groupBy("TransmittalID", "FCIndex")
+    firsts = (base.groupBy(F.col("TransmittalID").alias("_g_fix"), F.col("FCIndex").alias("_g_idx"))
               .agg(F.min("_ok").alias("_first_ok"), F.count(F.lit(1)).alias("_n")))
-    # null-safe join back on the group key (NULL FCIndex is one group)
-    tagged = base.join(firsts.withColumnRenamed("TransmittalID", "_g_fix").withColumnRenamed("FCIndex", "_g_idx"),
-                       (F.col("TransmittalID") == F.col("_g_fix")) & F.col("FCIndex").eqNullSafe(F.col("_g_idx")))
-    is_extra = (F.col("_n") > 1) & ~F.col("_ok").eqNullSafe(F.col("_first_ok"))
-    known = fixes.select(F.col("TransmittalId").alias("_fix")).distinct()
-    max_idx = base.groupBy(F.col("TransmittalID").alias("_m_fix")).agg(
+    per_fix = base.groupBy(F.col("TransmittalID").alias("_m_fix")).agg(
         F.coalesce(F.max("FCIndex"), F.lit(0)).alias("_max_idx"))
-    extras = (tagged.where(is_extra)
-              .join(known, F.col("TransmittalID") == F.col("_fix"), "left_semi")
-              .select("_ok", "TransmittalID"))
-    numbered = grouped_row_number(extras, ["TransmittalID"], ["_ok"], "_offset")
-    new_idx = (numbered.join(max_idx, F.col("TransmittalID") == F.col("_m_fix"))
-               .select(F.col("_ok").alias("_n_ok"), (F.col("_max_idx") + F.col("_offset")).alias("_new_idx")))
-    out = tagged.join(new_idx, F.col("_ok").eqNullSafe(F.col("_n_ok")), "left")
-    fc = F.coalesce(F.col("_new_idx").cast(changes.schema["FCIndex"].dataType), F.col("FCIndex"), F.lit(0))
-    return out.withColumn("FCIndex", fc).select(*changes.columns)
+    known = (fixes.select(F.col("TransmittalId").alias("_k_fix")).distinct()
+             .join(per_fix, F.col("_k_fix") == F.col("_m_fix")).drop("_k_fix"))
+    tagged = (base.join(firsts, (F.col("TransmittalID") == F.col("_g_fix"))
+                        & F.col("FCIndex").eqNullSafe(F.col("_g_idx")))
+              .join(known, F.col("TransmittalID") == F.col("_m_fix"), "left"))
+    is_extra = (F.col("_n") > 1) & ~F.col("_ok").eqNullSafe(F.col("_first_ok")) & F.col("_m_fix").isNotNull()
+    tagged = tagged.withColumn("_extra", is_extra)
+    counted = grouped_running_sum(tagged, ["TransmittalID"], ["_ok"], F.col("_extra").cast("int"), "_offset")
+    new_idx = F.when(F.col("_extra"), (F.col("_max_idx") + F.col("_offset")).cast(changes.schema["FCIndex"].dataType))
+    fc = F.coalesce(new_idx, F.col("FCIndex"), F.lit(0))
+    return counted.withColumn("FCIndex", fc).select(*changes.columns)
 
 
 # --------------------------------------------------------- delete propagation ---

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from histmill.operators.releases import apply_release_rules
+from histmill.session import stage
 from histmill.sources.views import view
 
 
@@ -13,8 +14,8 @@ def v(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean release catalog (PRJ6 applied to the raw catalog view)."""
-    return apply_release_rules(v(spark, sf_dir, "v_release"))
+    """Clean release catalog (PRJ6 applied to the raw catalog view), staged once per query."""
+    return stage(apply_release_rules(v(spark, sf_dir, "v_release")))
 
 
 # Oracle twin of apply_release_rules over v_release, as staged CTEs in source order.

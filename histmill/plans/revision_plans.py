@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from histmill.operators import revisions as rv
 from histmill.plans.common import v
 from histmill.plans.registry import query
+from histmill.session import stage
 
 # identity order of the file-change rows (total together with the two ids)
 FC_ORDER = ("l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "FileChanged", "RevisionLevelTo",
@@ -74,17 +75,22 @@ links as (
 
 
 def renumbered(spark, sf):
+    """The renumbered FileChanges stage table."""
     fc = v(spark, sf, "v_file_change")
-    return rv.renumber_duplicates(fc, v(spark, sf, "v_resolution"), list(FC_ORDER))
+    return stage(rv.renumber_duplicates(fc, v(spark, sf, "v_resolution"), list(FC_ORDER)))
 
 
 def propagated_paths(spark, sf):
-    return rv.propagate_deletes(v(spark, sf, "v_file_path"))
+    """The FilePath stage table after delete propagation."""
+    return stage(rv.propagate_deletes(v(spark, sf, "v_file_path")))
 
 
-def match_links(spark, sf):
-    return rv.match_all(renumbered(spark, sf), v(spark, sf, "v_resolution"), propagated_paths(spark, sf),
-                        v(spark, sf, "v_file_rev"), MATCH_LEVELS, SUFFIX_WIDTH)
+def match_links(spark, sf, renum=None, paths=None):
+    """The TransmittalFileRev link table (exact pass, then new suffix matches)."""
+    renum = renum if renum is not None else renumbered(spark, sf)
+    paths = paths if paths is not None else propagated_paths(spark, sf)
+    return stage(rv.match_all(renum, v(spark, sf, "v_resolution"), paths, v(spark, sf, "v_file_rev"),
+                              MATCH_LEVELS, SUFFIX_WIDTH))
 
 
 @query("dup_detect", oracle="""
@@ -138,9 +144,9 @@ join v_file_rev r on r.FileRevKey = l.FileRevKey join paths p on p.FilePathKey =
 where lower(p.Path) <> lower(c.FileChanged)""")
 def audit_path_mismatch(spark, sf):
     """DQ2: matched rows whose path differs from the claim (the approximate ones)."""
-    links = match_links(spark, sf).drop("pass")
-    return rv.approximate_matches(links, renumbered(spark, sf), propagated_paths(spark, sf),
-                                  v(spark, sf, "v_file_rev"))
+    renum, paths = renumbered(spark, sf), propagated_paths(spark, sf)
+    links = match_links(spark, sf, renum, paths).drop("pass")
+    return rv.approximate_matches(links, renum, paths, v(spark, sf, "v_file_rev"))
 
 
 CHANGESET_SQL = f"""
@@ -162,8 +168,9 @@ changesets as (
   select FileRevKey, FilePathKey, Revision, Usr, Comment, CommitTime, Action, -1 from cs_rev where Deleted)"""
 
 
-def changeset_frame(spark, sf):
-    return rv.changesets(v(spark, sf, "v_file_rev"), propagated_paths(spark, sf))
+def changeset_frame(spark, sf, paths=None):
+    paths = paths if paths is not None else propagated_paths(spark, sf)
+    return rv.changesets(v(spark, sf, "v_file_rev"), paths)
 
 
 @query("changesets", oracle=f"""with {CHANGESET_SQL.strip()}
@@ -178,8 +185,9 @@ select cast(c.PromoteSeq as bigint) as PromoteSeq, p.Path, c.Revision, c.Usr, c.
 from changesets c join paths p on p.FilePathKey = c.FilePathKey where not p.Deleted""")
 def history_report(spark, sf):
     """RPT1 + SRT1: live history with its changeset numbers, sorted by changeset then path descending."""
-    cs = changeset_frame(spark, sf)
-    p = propagated_paths(spark, sf).where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_pk"), "Path")
+    paths = propagated_paths(spark, sf)
+    cs = changeset_frame(spark, sf, paths)
+    p = paths.where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_pk"), "Path")
     return (cs.join(p, F.col("FilePathKey") == F.col("_pk"))
             .select(F.col("PromoteSeq").cast("long").alias("PromoteSeq"), "Path", "Revision", "Usr", "CommitTime",
                     "Comment", "Action")
@@ -199,14 +207,15 @@ left join (
 where not p.Deleted""")
 def linkage_report(spark, sf):
     """RPT2 + JN9: history left-joined to (links left-joined to (claims joined to fixes)), 40-char excerpts."""
-    cs = changeset_frame(spark, sf)
-    p = propagated_paths(spark, sf).where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_pk"), "Path")
-    fc = renumbered(spark, sf).select(F.col("TransmittalID").alias("_f_fix"), F.col("FCIndex").alias("_f_idx"),
+    paths, renum = propagated_paths(spark, sf), renumbered(spark, sf)
+    cs = changeset_frame(spark, sf, paths)
+    p = paths.where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_pk"), "Path")
+    fc = renum.select(F.col("TransmittalID").alias("_f_fix"), F.col("FCIndex").alias("_f_idx"),
                                       "RevisionLevelFrom")
     x = v(spark, sf, "v_resolution").select(F.col("TransmittalId").alias("_x_fix"),
                                             F.substring("ReadMe", 1, 40).alias("readme_first_40"))
     inner = fc.join(x, F.col("_f_fix") == F.col("_x_fix"))
-    links = match_links(spark, sf).select(F.col("TransmittalID"), F.col("FCIndex").alias("_l_idx"),
+    links = match_links(spark, sf, renum, paths).select(F.col("TransmittalID"), F.col("FCIndex").alias("_l_idx"),
                                           F.col("FileRevKey").alias("_l_rev"))
     right = links.join(inner, (F.col("TransmittalID") == F.col("_f_fix")) & (F.col("_l_idx") == F.col("_f_idx")),
                        "left")

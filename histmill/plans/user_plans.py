@@ -8,6 +8,7 @@ from histmill.functions.text import login_domain, login_name, truthy
 from histmill.operators import releases, users
 from histmill.plans.common import CATALOG_SQL, catalog, v, with_catalog
 from histmill.plans.registry import query
+from histmill.session import stage
 
 PROFILE = users.UserProfile()
 OVERRIDES = users.UserOverrides(
@@ -94,7 +95,7 @@ records as (
 
 
 def user_records_df(spark, sf):
-    return users.build_users(clean_user_table(spark, sf), PROFILE)
+    return stage(users.build_users(clean_user_table(spark, sf), PROFILE))
 
 
 @query("user_records", oracle=f"with {USER_RECORDS_SQL.strip()} select * from records")

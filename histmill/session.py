@@ -19,6 +19,7 @@ CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -61,3 +62,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="histmill-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+def stage(df):
+    """Write an intermediate that later steps read several times (a stage table of the
+    original pipeline: clean catalog, users, import scope, link table) to the reliable
+    checkpoint folder and return the staged frame. Later plans scan it instead of
+    re-deriving it from the base tables; it survives executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

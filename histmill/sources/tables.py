@@ -17,9 +17,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
+def memo(spark: SparkSession, key: str, build) -> DataFrame:
+    """Reuse an immutable logical plan (never data) within one application: avoids
+    listing files, reading footers and re-analysing SQL for every query."""
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _RELATIONS:
+        _RELATIONS[k] = build()
+    return _RELATIONS[k]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[str] | None = None) -> DataFrame:
     """SRC1: scan one table, optionally with an explicit column list."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    df = memo(spark, "parquet:" + path, lambda: spark.read.parquet(path))
     return df.select(*columns) if columns else df
 
 

@@ -13,7 +13,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from histmill.sources.tables import register_tables
+from histmill.sources.tables import memo, register_tables
 
 _RELEASE_ID = (
     "'7.' || replace(p_brand, 'Brand#', '') || case p_size % 6 when 0 then '' when 1 then '_Spanish' "
@@ -123,8 +123,12 @@ def oracle_text(sql: str) -> str:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build one domain view as a DataFrame over the parquet tables in ``sf_dir``."""
     sql = VIEW_SQL[name]
-    register_tables(spark, sf_dir, [t for t in _BASE_TABLES if re.search(rf"\b{t}\b", sql)])
-    return spark.sql(_spark_text(sql))
+
+    def build() -> DataFrame:
+        register_tables(spark, sf_dir, [t for t in _BASE_TABLES if re.search(rf"\b{t}\b", sql)])
+        return spark.sql(_spark_text(sql))
+
+    return memo(spark, f"view:{sf_dir}:{name}", build)
 
 
 def oracle_with(query: str) -> str:
