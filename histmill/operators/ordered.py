@@ -25,6 +25,30 @@ from histmill.session import ensure_checkpoint_dir
 
 PID = "_pid"
 POS = "_pos"
+# Largest group (or whole input, for a global order) one window task may take.
+MAX_GROUP_ROWS_CONF = "histmill.window.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 1_000_000
+
+
+def _group_bound(df: DataFrame, max_group_rows: int | None) -> int:
+    if max_group_rows is not None:
+        return max_group_rows
+    return int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+
+
+def fits_one_task(df: DataFrame, group: Sequence[str], max_group_rows: int | None = None) -> bool:
+    """Size check before a plain window: does the largest group stay under the bound?
+
+    One partial aggregation (a count per group, then the max); for a global order
+    (no group) the row count. Beyond the bound the two-phase scan is used.
+    """
+    bound = _group_bound(df, max_group_rows)
+    if bound <= 0:
+        return False
+    if not group:
+        return df.limit(bound + 1).count() <= bound
+    largest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"]
+    return (largest or 0) <= bound
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -57,7 +81,7 @@ def global_row_number(staged: DataFrame, out_col: str) -> DataFrame:
 
 
 def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value: Column,
-                        out_col: str, partitions: int | None = None) -> DataFrame:
+                        out_col: str, partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """``sum(value) over (partition by group order by order rows unbounded preceding)``
     that tolerates a hot group (one group may span many partitions).
 
@@ -67,6 +91,9 @@ def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str
     total in earlier partitions, read from the per-partition summary (one row
     per partition). NULL group keys form one group, as in SQL.
     """
+    if fits_one_task(df, group, max_group_rows):
+        w = Window.partitionBy(*group).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out_col, F.sum(value).over(w))
     staged = stage_by_range(df.withColumn("_val", value), [*group, *order], partitions)
     gkey = F.struct(*[F.col(g) for g in group])
     # same window spec as the staging step: no new exchange, only a local sort
@@ -92,14 +119,15 @@ def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str
 
 
 def grouped_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out_col: str,
-                       partitions: int | None = None) -> DataFrame:
+                       partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """``row_number() over (partition by group order by order)`` that tolerates a hot group."""
-    out = grouped_running_sum(df, group, order, F.lit(1), out_col, partitions)
+    out = grouped_running_sum(df, group, order, F.lit(1), out_col, partitions, max_group_rows)
     return out.withColumn(out_col, F.col(out_col).cast("int"))
 
 
 def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, carry_cols: Sequence[str],
-                   out_col: str, start: int = 1, partitions: int | None = None) -> DataFrame:
+                   out_col: str, start: int = 1, partitions: int | None = None,
+                   max_group_rows: int | None = None) -> DataFrame:
     """Gap-and-island numbering in one global order (WIN4).
 
     ``opens_island(prev: dict[str, Column], cur: dict[str, Column]) -> Column``
@@ -108,6 +136,13 @@ def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, c
     up to and including the row. The previous row of a partition's first row
     is the last row of the nearest earlier non-empty partition.
     """
+    if fits_one_task(df, [], max_group_rows):
+        w = Window.orderBy(*_cols(order))
+        prev = {c: F.lag(c).over(w) for c in carry_cols}
+        flagged = df.withColumn("_open", F.when(opens_island(prev, {c: F.col(c) for c in carry_cols}), 1)
+                                .otherwise(0))
+        run = F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        return flagged.withColumn(out_col, F.lit(start) + run).drop("_open")
     staged = stage_by_range(df, order, partitions)
     w = Window.partitionBy(PID).orderBy(POS)
     prev = {c: F.lag(c).over(w) for c in carry_cols}
@@ -132,7 +167,7 @@ def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, c
 
 
 def forward_fill(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value_col: str, out_col: str,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """``last(value, ignorenulls) over (partition by group order by order rows unbounded preceding)``
     without sending a whole group (or, with no group, the whole input) to one task (WIN5).
 
@@ -140,6 +175,10 @@ def forward_fill(df: DataFrame, group: Sequence[str], order: Sequence[str | Colu
     is seeded with the last non-null value of the same group in the nearest
     earlier partition that has one (read from the per-partition summary).
     """
+    if fits_one_task(df, group, max_group_rows):
+        w = Window.partitionBy(*group).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0) \
+            if group else Window.orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
     staged = stage_by_range(df, [*group, *order], partitions)
     gkey = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0).alias("_all"))
     w = Window.partitionBy(PID).orderBy(POS)

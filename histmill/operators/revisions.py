@@ -195,7 +195,8 @@ def _opens(prev: dict, cur: dict) -> Column:
 CHANGESET_ORDER = ("CommitTime", "_user", "FilePathKey", "Revision", "FileRevKey")
 
 
-def changesets(revs: DataFrame, paths: DataFrame, partitions: int | None = None) -> DataFrame:
+def changesets(revs: DataFrame, paths: DataFrame, partitions: int | None = None,
+               max_group_rows: int | None = None) -> DataFrame:
     """WIN4 + WIN6: changeset number per revision in one global order.
 
     Order: commit time, user (case-insensitive), path key, then revision and
@@ -207,7 +208,7 @@ def changesets(revs: DataFrame, paths: DataFrame, partitions: int | None = None)
             .withColumn("_user", F.lower(F.rtrim(F.col("Usr"))))
             .withColumn("_ckey", F.lower(comment_key(F.col("Comment")))))
     grouped = global_islands(live, list(CHANGESET_ORDER), _opens, ["_user", "_ckey"], "PromoteSeq",
-                             partitions=partitions)
+                             partitions=partitions, max_group_rows=max_group_rows)
     dead = joined.where(F.col("Deleted")).withColumn("PromoteSeq", F.lit(-1).cast("long"))
     cols = [*revs.columns, "PromoteSeq"]
     return grouped.select(*cols).unionByName(dead.select(*cols))
