@@ -81,7 +81,8 @@ def global_row_number(staged: DataFrame, out_col: str) -> DataFrame:
 
 
 def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value: Column,
-                        out_col: str, partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+                        out_col: str, partitions: int | None = None, max_group_rows: int | None = None,
+                        plain: bool | None = None) -> DataFrame:
     """``sum(value) over (partition by group order by order rows unbounded preceding)``
     that tolerates a hot group (one group may span many partitions).
 
@@ -89,9 +90,10 @@ def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str
     sum restarts per group run; a group continued from earlier partitions is
     always the first group of its partition, so it gets a carry equal to its
     total in earlier partitions, read from the per-partition summary (one row
-    per partition). NULL group keys form one group, as in SQL.
+    per partition). NULL group keys form one group, as in SQL. ``plain`` skips the
+    size check when the caller already measured the groups on a narrower input.
     """
-    if fits_one_task(df, group, max_group_rows):
+    if plain if plain is not None else fits_one_task(df, group, max_group_rows):
         w = Window.partitionBy(*group).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out_col, F.sum(value).over(w))
     staged = stage_by_range(df.withColumn("_val", value), [*group, *order], partitions)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histmill.operators.ordered import global_islands, grouped_running_sum
+from histmill.operators.ordered import fits_one_task, global_islands, grouped_running_sum
 from histmill.operators.texts import normalize_path
 
 MONEY = "decimal(19,4)"
@@ -57,7 +57,10 @@ def renumber_duplicates(changes: DataFrame, fixes: DataFrame, order_key: Sequenc
               .join(known, F.col("TransmittalID") == F.col("_m_fix"), "left"))
     is_extra = (F.col("_n") > 1) & ~F.col("_ok").eqNullSafe(F.col("_first_ok")) & F.col("_m_fix").isNotNull()
     tagged = tagged.withColumn("_extra", is_extra)
-    counted = grouped_running_sum(tagged, ["TransmittalID"], ["_ok"], F.col("_extra").cast("int"), "_offset")
+    # every join above is 1:1 per row: measure the fix sizes on the key column alone
+    plain = fits_one_task(changes.select("TransmittalID"), ["TransmittalID"])
+    counted = grouped_running_sum(tagged, ["TransmittalID"], ["_ok"], F.col("_extra").cast("int"), "_offset",
+                                  plain=plain)
     new_idx = F.when(F.col("_extra"), (F.col("_max_idx") + F.col("_offset")).cast(changes.schema["FCIndex"].dataType))
     fc = F.coalesce(new_idx, F.col("FCIndex"), F.lit(0))
     return counted.withColumn("FCIndex", fc).select(*changes.columns)

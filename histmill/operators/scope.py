@@ -101,19 +101,22 @@ def closure_issues(links: DataFrame, defects: DataFrame, fixes: DataFrame, catal
                        .join(included("sdr"), F.col("sdr") == F.col("_inc"), "left_anti")
                        .groupBy("sdr", "own", "d_branch", "d_version")
                        .agg(F.max("_fb").alias("_mb"), F.max("_fv").alias("_mv")))
-            new_d = keep(reached.select(
+            new_d = reached.select(
                 F.lit("sdr").alias("kind"), F.col("sdr").alias("id"), F.lit(release).alias("ImportGroup"),
                 F.when(F.col("own"), F.col("d_branch")).otherwise(F.col("_mb")).alias("Branch"),
                 F.when(F.col("own"), F.col("d_version")).otherwise(F.col("_mv")).alias("Version"),
-                F.lit(2 * rnd - 1).alias("round")))
-            new_f = keep(new_d.select(F.col("id").alias("_nd"))
-                         .join(lk, F.col("_nd") == F.col("l_sdr"))
-                         .join(fix_nodes, F.col("l_fix") == F.col("fix"))
-                         .join(included("fix"), F.col("fix") == F.col("_inc"), "left_anti")
-                         .select("fix", "f_branch", "f_version").distinct()
-                         .select(F.lit("fix").alias("kind"), F.col("fix").alias("id"),
-                                 F.lit(release).alias("ImportGroup"), F.col("f_branch").alias("Branch"),
-                                 F.col("f_version").alias("Version"), F.lit(2 * rnd).alias("round")))
+                F.lit(2 * rnd - 1).alias("round"))
+            new_f = (new_d.select(F.col("id").alias("_nd"))
+                     .join(lk, F.col("_nd") == F.col("l_sdr"))
+                     .join(fix_nodes, F.col("l_fix") == F.col("fix"))
+                     .join(included("fix"), F.col("fix") == F.col("_inc"), "left_anti")
+                     .select("fix", "f_branch", "f_version").distinct()
+                     .select(F.lit("fix").alias("kind"), F.col("fix").alias("id"),
+                             F.lit(release).alias("ImportGroup"), F.col("f_branch").alias("Branch"),
+                             F.col("f_version").alias("Version"), F.lit(2 * rnd).alias("round")))
+            # one write per round: the defect step and the fix step it feeds
+            step = keep(new_d.unionByName(new_f))
+            new_f = step.where(F.col("kind") == "fix")
             frontier = new_f
     out = pieces[0]
     for p in pieces[1:]:

@@ -29,10 +29,19 @@ def memo(spark: SparkSession, key: str, build) -> DataFrame:
     return _RELATIONS[k]
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan with fewer input splits than the cluster has cores (for example one
+    large row group) would run every operator up to its first shuffle in a few
+    tasks: spread its rows once. On a large table the scan already has more
+    splits than cores and is returned unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[str] | None = None) -> DataFrame:
     """SRC1: scan one table, optionally with an explicit column list."""
     path = table_path(sf_dir, name)
-    df = memo(spark, "parquet:" + path, lambda: spark.read.parquet(path))
+    df = memo(spark, "parquet:" + path, lambda: spread_scan(spark.read.parquet(path)))
     return df.select(*columns) if columns else df
 
 
