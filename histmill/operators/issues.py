@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histmill.functions import codes
@@ -407,30 +407,33 @@ def link_edges(links: DataFrame, defect_scope: DataFrame, fix_scope: DataFrame,
     ('sub-task-link' fix -> defect); the others get 'Fixed' links defect -> fix;
     fixes without defects link to their dummy parent.
 
-    The parent is found with a grouped max and a join back (partial aggregation, no
-    window over a possibly hot fix); only rows equal to the max are numbered, to
-    keep exactly one parent if a link row is duplicated.
+    ``row_number() over (partition by fix order by defect desc)`` is replaced by
+    grouped aggregates (partial aggregation, safe for a fix with a huge number of
+    defects): link pairs are counted, the top defect per fix is a max joined back,
+    and each pair is re-expanded to its multiplicity, so a duplicated top pair
+    still yields exactly one parent link, as the row number did.
     """
     d = defect_scope.select(F.col("SDRNum").alias("_d"))
     f = fix_scope.select(F.col("TransmittalId").alias("_f"))
     x = (links.join(d, F.col("SDR_Num") == F.col("_d"), "left_semi")
          .join(f, F.col("TransmittalID") == F.col("_f"), "left_semi"))
-    top = x.groupBy(F.col("TransmittalID").alias("_t")).agg(F.max("SDR_Num").alias("_top"))
-    x = x.join(top, F.col("TransmittalID") == F.col("_t")).drop("_t")
+    pairs = x.groupBy("TransmittalID", "SDR_Num").agg(F.count(F.lit(1)).alias("_k"))
+    top = pairs.groupBy(F.col("TransmittalID").alias("_t")).agg(F.max("SDR_Num").alias("_top"))
+    j = pairs.join(top, F.col("TransmittalID") == F.col("_t")).drop("_t")
     at_top = F.col("SDR_Num") == F.col("_top")
-    w = Window.partitionBy("TransmittalID", "SDR_Num").orderBy("SDR_Num")
-    ranked = x.withColumn("_dup", F.when(at_top, F.row_number().over(w)))
     fix_id = (F.col("TransmittalID") + profile.fix_id_offset).cast("string")
-    parent = at_top & (F.col("_dup") == 1)
-    edges = ranked.select(
-        F.when(parent, F.lit(PARENT_LINK)).otherwise(F.lit(FIXED_LINK)).alias("name"),
-        F.when(parent, fix_id).otherwise(F.col("SDR_Num").cast("string")).alias("sourceId"),
-        F.when(parent, F.col("SDR_Num").cast("string")).otherwise(fix_id).alias("destinationId"))
+    parents = j.where(at_top).select(F.lit(PARENT_LINK).alias("name"), fix_id.alias("sourceId"),
+                                     F.col("SDR_Num").cast("string").alias("destinationId"))
+    n_fixed = F.when(at_top, F.col("_k") - 1).otherwise(F.col("_k")).cast("int")
+    fixed = (j.where(n_fixed > 0).select(F.explode(F.array_repeat(F.lit(1), n_fixed)).alias("_r"), "TransmittalID",
+                                         "SDR_Num")
+             .select(F.lit(FIXED_LINK).alias("name"), F.col("SDR_Num").cast("string").alias("sourceId"),
+                     fix_id.alias("destinationId")))
     dummies = dummy_parents(fix_rows, profile).select(
         F.lit(PARENT_LINK).alias("name"),
         (F.col("issue_num") + profile.fix_id_offset).cast("string").alias("sourceId"),
         F.col("externalId").alias("destinationId"))
-    return edges.unionByName(dummies)
+    return parents.unionByName(fixed).unionByName(dummies)
 
 
 # ------------------------------------------------------ post-passes + docs ---

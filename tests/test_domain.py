@@ -292,3 +292,19 @@ def test_changesets_plain_and_two_phase_agree(spark):
     a = {r.FileRevKey: r.PromoteSeq for r in revisions.changesets(revs, paths, 5, max_group_rows=0).collect()}
     b = {r.FileRevKey: r.PromoteSeq for r in revisions.changesets(revs, paths, max_group_rows=10_000).collect()}
     assert a == b
+
+
+def test_link_edges_duplicate_top_pair(spark):
+    links = spark.createDataFrame([(1, 10), (1, 10), (1, 5), (2, 7)], "TransmittalID long, SDR_Num long")
+    dscope = spark.createDataFrame([(10,), (5,), (7,)], "SDRNum long")
+    fscope = spark.createDataFrame([(1,), (2,), (3,)], "TransmittalId long")
+    fix_rows = spark.createDataFrame([(3, 0, "Awaiting Resolutions", "Waiting", "u", "u", "c", ["v"], None, "s",
+                                       None, "Bug")],
+                                     "issue_num long, SDRCount long, parentIssueStatus string, "
+                                     "parentIssueResolution string, reporter string, assignee string, created string, "
+                                     "fixedVersions array<string>, components array<string>, summary string, "
+                                     "description string, parentIssueType string")
+    prof = iss.ExportProfile()
+    got = sorted(tuple(r) for r in iss.link_edges(links, dscope, fscope, fix_rows, prof).collect())
+    assert got == sorted([("sub-task-link", "100001", "10"), ("Fixed", "10", "100001"), ("Fixed", "5", "100001"),
+                          ("sub-task-link", "100002", "7"), ("sub-task-link", "100003", "D3")])
