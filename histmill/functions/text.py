@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 SINGLE_LINE_TRIM = r"(?d)^\s*(.*?)\s*$"
 # First sentence (SC5): skip leading space, then at least three characters, up
 # to a '.' that is not followed by a digit, or a newline. The possessive `*+`
-# keeps the JVM regex engine from recursing once per character.
-FIRST_SENTENCE = r"(?s)^\s*(\S.{2}(?:[^.\n]|\.\d)*+).*$"
+# keeps the JVM regex engine from recursing once per character. The original
+# replaces the whole text by the sentence; once this prefix matches, its
+# trailing `.*$` always matches too, so only the prefix is matched and the rest
+# of the text is never scanned.
+FIRST_SENTENCE = r"(?s)^\s*(\S.{2}(?:[^.\n]|\.\d)*+)"
 # SC6: same without skipping leading space; a match must reach three characters.
-FIRST_SENTENCE_RAW = r"(?s)^(.{3}(?:[^.\n]|\.\d)*+)(?:.|\n|$).*$"
+FIRST_SENTENCE_RAW = r"(?s)^(.{3}(?:[^.\n]|\.\d)*+)"
 
 
 def truthy(c: Column) -> Column:
@@ -41,12 +44,12 @@ def trim_single_line(c: Column) -> Column:
 
 def first_sentence(c: Column) -> Column:
     """SC5: unchanged when the pattern does not match."""
-    return F.regexp_replace(c, FIRST_SENTENCE, "$1")
+    return F.when(c.rlike(FIRST_SENTENCE), F.regexp_extract(c, FIRST_SENTENCE, 1)).otherwise(c)
 
 
 def first_sentence_raw(c: Column) -> Column:
     """SC6."""
-    return F.regexp_replace(c, FIRST_SENTENCE_RAW, "$1")
+    return F.when(c.rlike(FIRST_SENTENCE_RAW), F.regexp_extract(c, FIRST_SENTENCE_RAW, 1)).otherwise(c)
 
 
 def xml_escape(c: Column) -> Column:

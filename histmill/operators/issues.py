@@ -233,23 +233,16 @@ def file_change_lines(changes: DataFrame, fixes: DataFrame) -> DataFrame:
 
 
 def file_change_text(changes: DataFrame, fixes: DataFrame) -> DataFrame:
-    """AGG9: per fix, ``\\n``-joined lines ordered by (FCIndex, FileToShip desc, FileChanged), NULLs first."""
+    """AGG9: per fix, ``\\n``-joined lines ordered by (FCIndex, FileToShip desc, FileChanged), NULLs lowest.
+
+    ``listagg ... within group`` sorts inside the aggregate with a generated
+    ordering (no per-element lambda comparator).
+    """
     lines = file_change_lines(changes, fixes)
-    key = F.struct(F.col("FCIndex"), F.col("FileToShip"), F.col("FileChanged"), F.col("line"))
-    agg = lines.groupBy("TransmittalID").agg(F.collect_list(key).alias("_l"))
-
-    def cmp(a, b):
-        # FCIndex asc, FileToShip desc, FileChanged asc; NULL lowest in both directions' base order
-        def asc(x, y):
-            return (F.when(x.isNull() & y.isNull(), 0).when(x.isNull(), -1).when(y.isNull(), 1)
-                    .when(x < y, -1).when(x > y, 1).otherwise(0))
-        c1, c2, c3 = asc(a["FCIndex"], b["FCIndex"]), -asc(a["FileToShip"], b["FileToShip"]), \
-            asc(a["FileChanged"], b["FileChanged"])
-        return F.when(c1 != 0, c1).when(c2 != 0, c2).when(c3 != 0, c3).otherwise(asc(a["line"], b["line"]))
-
-    ordered = F.array_sort(F.col("_l"), cmp)
-    return agg.select("TransmittalID", F.array_join(F.transform(ordered, lambda s: s["line"]), "\n").alias("changes"),
-                      F.size("_l").alias("n_changes"))
+    ordered = F.expr("listagg(line, '\\n') within group (order by FCIndex asc nulls first, "
+                     "FileToShip desc nulls last, FileChanged asc nulls first, line)")
+    return lines.groupBy("TransmittalID").agg(ordered.alias("changes"),
+                                              F.count(F.lit(1)).alias("n_changes"))
 
 
 # ----------------------------------------------------------------- issues ---
