@@ -480,24 +480,24 @@ def nested_parts(defect_log: DataFrame, customer: DataFrame, trans: DataFrame, f
 
     fix_key = F.col("TransmittalID") + profile.fix_id_offset
     enh = with_user(fix_rows.where(truthy(F.col("FeatOrEnhNum"))), "Analyst", "_enh_author", records, profile)
+    # one row per log line carries both its history entry and its comment (either may be NULL)
     parts = [
-        part(defect_log.where(F.col("items").isNotNull()), F.col("SDR_Num"), 0, F.col("EntryDate"), F.col("event_id"),
-             hist_of(defect_log), null_c),
-        part(defect_log.where(F.col("body").isNotNull()), F.col("SDR_Num"), 0, F.col("EntryDate"), F.col("event_id"),
-             null_h, com_of(defect_log)),
+        part(defect_log, F.col("SDR_Num"), 0, F.col("EntryDate"), F.col("event_id"),
+             F.when(F.col("items").isNotNull(), hist_of(defect_log)),
+             F.when(F.col("body").isNotNull(), com_of(defect_log))),
         part(customer, F.col("sdr_no"), 1, F.lit(None), F.col("c_custkey"), null_h, com_of(customer)),
         part(enh, F.col("issue_num") + profile.fix_id_offset, 0, F.lit(None), F.lit(0), null_h,
              F.struct(F.col("_enh_author").alias("author"),
                       F.concat(F.lit("Enh/Feature ID: "), F.col("FeatOrEnhNum").cast("string")).alias("body"),
                       F.col("created").alias("created"))),
-        part(trans.where(F.col("items").isNotNull()), fix_key, 1, F.col("entrydate"), F.col("event_id"),
-             hist_of(trans), null_c),
-        part(trans.where(F.col("body").isNotNull()), fix_key, 1, F.col("entrydate"), F.col("event_id"), null_h,
-             com_of(trans)),
+        part(trans, fix_key, 1, F.col("entrydate"), F.col("event_id"),
+             F.when(F.col("items").isNotNull(), hist_of(trans)),
+             F.when(F.col("body").isNotNull(), com_of(trans))),
     ]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    u = u.where(F.col("h").isNotNull() | F.col("c").isNotNull())
     g = u.groupBy("externalId").agg(F.array_sort(F.collect_list(F.struct("ord", "h", "c"))).alias("_p"))
     hist = F.filter(F.transform("_p", lambda s: s["h"]), lambda h: h.isNotNull())
     com = F.filter(F.transform("_p", lambda s: s["c"]), lambda c: c.isNotNull())
