@@ -14,9 +14,11 @@ SINGLE_LINE_TRIM = r"(?d)^\s*(.*?)\s*$"
 # First sentence (SC5): skip leading space, then at least three characters, up
 # to a '.' that is not followed by a digit, or a newline. The possessive `*+`
 # keeps the JVM regex engine from recursing once per character. The original
-# replaces the whole text by the sentence; once this prefix matches, its
-# trailing `.*$` always matches too, so only the prefix is matched and the rest
-# of the text is never scanned.
+# replaces the whole text by its first sentence (`^...(sentence).*$` -> sentence).
+# Its trailing `.*$` matches whatever follows, so the result is exactly the
+# sentence whenever the sentence pattern matches at the start, and the
+# unchanged whole text otherwise; the expressions below compute that result
+# without the redundant `.*$` step. No text is truncated.
 FIRST_SENTENCE = r"(?s)^\s*(\S.{2}(?:[^.\n]|\.\d)*+)"
 # SC6: same without skipping leading space; a match must reach three characters.
 FIRST_SENTENCE_RAW = r"(?s)^(.{3}(?:[^.\n]|\.\d)*+)"

@@ -75,8 +75,9 @@ links as (
 
 
 def renumbered(spark, sf):
-    """The renumbered FileChanges stage table."""
-    fc = v(spark, sf, "v_file_change")
+    """The renumbered FileChanges stage table (from a staged copy of FileChanges, as the
+    original copies the table into its stage database before renumbering)."""
+    fc = stage(v(spark, sf, "v_file_change"))
     return stage(rv.renumber_duplicates(fc, v(spark, sf, "v_resolution"), list(FC_ORDER)))
 
 
