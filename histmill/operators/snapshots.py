@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histmill.functions.dates import parse_iso
@@ -56,25 +56,35 @@ def labels_frame(spark: SparkSession, labels: Sequence[tuple[str, str]]) -> Data
             .withColumn("label_time", parse_iso(F.col("label_text"))).drop("label_text"))
 
 
-def asof_labels(labels: DataFrame, checkins: DataFrame, label_count: int, tran_col: str = "tran_num",
+def asof_labels(labels: DataFrame, checkins: DataFrame, label_times: Sequence[str], tran_col: str = "tran_num",
                 time_col: str = "checkin_time", order_col: str = "line_no") -> DataFrame:
     """JN13 + AGG11: for each label, the transaction of the latest check-in at or before the
     label time (ties: the highest transaction), with that transaction's first check-in time.
 
-    ``label_count`` is the size of the driver-built label list: the labels are
-    broadcast because that count bounds them, and each check-in meets every
-    label through a range condition, so the join emits at most
-    ``label_count`` rows per check-in before the grouped arg-max.
+    ``label_times`` is the driver-side list of label times (its length bounds the
+    literal array below). No (check-in, label) pairs are formed: each check-in
+    gets the number of label times before it (its bucket), one grouped arg-max per
+    bucket is taken (partial aggregation, at most len(labels)+1 rows), and a running
+    max over that tiny table answers every label.
     """
-    if label_count > 10_000:
-        raise ValueError("too many labels for a broadcast as-of join; use asof_labels_sorted")
-    matched = (checkins.join(F.broadcast(labels), F.col(time_col) <= F.col("label_time"))
-               .groupBy("seq", "label", "label_time")
-               .agg(F.max_by(F.struct(F.col(tran_col).alias("tran"), F.col(time_col).alias("t")),
-                             F.struct(F.col(time_col), F.col(tran_col))).alias("_m")))
-    firsts = checkins.groupBy(F.col(tran_col).alias("_ft")).agg(F.min_by(time_col, order_col).alias("first_time"))
-    out = labels.join(matched.select("seq", F.col("_m.tran").alias("tran_num"), F.col("_m.t").alias("matched_time")),
-                      "seq", "left")
+    if len(label_times) > 10_000:
+        raise ValueError("too many labels for a literal bucket array; use asof_labels_sorted")
+    ordered = sorted({t for t in label_times})
+    bounds = F.array(*[parse_iso(F.lit(t)) for t in ordered])
+    bucket = F.aggregate(bounds, F.lit(0), lambda acc, t: acc + F.when(t < F.col(time_col), 1).otherwise(0))
+    best = F.struct(F.col(time_col).alias("t"), F.col(tran_col).alias("tran"))
+    per_bucket = checkins.groupBy(bucket.alias("_b")).agg(F.max(best).alias("_best"))
+    # label at sorted position j sees every bucket <= j: a running max over the
+    # dense bucket list (len(labels) rows, one small task), then an equi join
+    positions = labels.sparkSession.createDataFrame([(i, t) for i, t in enumerate(ordered)], "_j int, _lt string")
+    running = (positions.join(F.broadcast(per_bucket), F.col("_j") == F.col("_b"), "left")
+               .withColumn("_m", F.max("_best").over(Window.orderBy("_j").rowsBetween(Window.unboundedPreceding, 0))))
+    matched = running.select(parse_iso(F.col("_lt")).alias("_ltime"), F.col("_m.tran").alias("tran_num"),
+                             F.col("_m.t").alias("matched_time"))
+    found = matched.where(F.col("tran_num").isNotNull()).select(F.col("tran_num").alias("_ft"))
+    firsts = (checkins.join(F.broadcast(found), F.col(tran_col) == F.col("_ft"), "left_semi")
+              .groupBy(F.col(tran_col).alias("_ft")).agg(F.min_by(time_col, order_col).alias("first_time")))
+    out = labels.join(F.broadcast(matched), F.col("label_time") == F.col("_ltime"), "left").drop("_ltime")
     return out.join(firsts, F.col("tran_num") == F.col("_ft"), "left").drop("_ft")
 
 
