@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histmill.functions.text import truthy
@@ -23,8 +23,10 @@ def reconcile_components(components: DataFrame, leads: DataFrame) -> DataFrame:
     order); unconsumed leads are reported as not found. Returns the report
     columns plus the JSON update payload of components to update.
     """
-    first = Window.partitionBy("name").orderBy("pos")
-    comps = components.withColumn("_occ", F.row_number().over(first))
+    firsts = components.groupBy(F.col("name").alias("_fname")).agg(F.min("pos").alias("_first_pos"))
+    comps = (components.join(firsts, F.col("name") == F.col("_fname"))
+             .withColumn("_occ", F.when(F.col("pos") == F.col("_first_pos"), 1).otherwise(2))
+             .drop("_fname", "_first_pos"))
     l = leads.select(F.col("name").alias("_lname"), "lead", F.lit(1).alias("_occ_l"))
     j = comps.join(l, (F.col("name") == F.col("_lname")) & (F.col("_occ") == F.col("_occ_l")), "full_outer")
     in_project, matched = F.col("id").isNotNull(), F.col("_lname").isNotNull()

@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 from histmill.functions import codes
 from histmill.session import ensure_checkpoint_dir
 
-SCOPE_SCHEMA = "kind string, id long, ImportGroup string, Branch string, Version string, round int"
-
-
 def _nodes(defects: DataFrame, fixes: DataFrame, catalog: DataFrame, listed: Sequence[str],
            inherit_version: str | None) -> tuple[DataFrame, DataFrame]:
     c = catalog.select("ReleaseLev", "ReleaseID", "JIRABranch", "AffectsVersion", "FixedVersion")

@@ -9,7 +9,7 @@ from histmill.functions.dates import utc_iso
 from histmill.operators import issues as iss
 from histmill.operators import releases, revisions, snapshots, users
 from histmill.operators.status import defect_status
-from histmill.sources.files import component_leads, read_component_leads, read_project
+from histmill.sources.files import read_component_leads, read_project
 from histmill.operators.components import reconcile_components
 
 
@@ -309,3 +309,23 @@ def test_link_edges_duplicate_top_pair(spark):
     got = sorted(tuple(r) for r in iss.link_edges(links, dscope, fscope, fix_rows, prof).collect())
     assert got == sorted([("sub-task-link", "100001", "10"), ("Fixed", "10", "100001"), ("Fixed", "5", "100001"),
                           ("sub-task-link", "100002", "7"), ("sub-task-link", "100003", "D3")])
+
+
+def test_write_by_group_and_issue_lines(spark, tmp_path):
+    from histmill.sinks.writers import write_by_group, write_lines
+    df = spark.createDataFrame([(1, "L0"), (2, "L1"), (3, "L0")], "id int, ImportGroup string")
+    write_by_group(df, str(tmp_path / "scope"))
+    back = spark.read.parquet(str(tmp_path / "scope"))
+    assert sorted((r.id, r.ImportGroup) for r in back.collect()) == [(1, "L0"), (2, "L1"), (3, "L0")]
+    lines = snapshots.xml_tran_lines(spark.createDataFrame([(12,), (3,)], "tran_num long"))
+    write_lines(lines, str(tmp_path / "xml"))
+    text = "".join(open(f).read() for f in sorted((tmp_path / "xml").glob("part-*")))
+    assert text.splitlines() == ['<?xml version="1.0" encoding="UTF-8"?>', "<transactions>", "<id>12</id>",
+                                 "<id>3</id>", "</transactions>"]
+
+
+def test_duplicate_component_names_consume_one_lead(spark):
+    comps = spark.createDataFrame([("1", "Alpha", 0), ("2", "Alpha", 1)], "id string, name string, pos int")
+    leads = spark.createDataFrame([("Alpha", "ann")], "name string, lead string")
+    rep = sorted((r.ComponentId, r.Assignee, r.Result) for r in reconcile_components(comps, leads).collect())
+    assert rep == [("1", "ann", "to_update"), ("2", "not specified", "no change")]
