@@ -329,3 +329,23 @@ def test_duplicate_component_names_consume_one_lead(spark):
     leads = spark.createDataFrame([("Alpha", "ann")], "name string, lead string")
     rep = sorted((r.ComponentId, r.Assignee, r.Result) for r in reconcile_components(comps, leads).collect())
     assert rep == [("1", "ann", "to_update"), ("2", "not specified", "no change")]
+
+
+def test_write_import(spark, tmp_path):
+    import json
+    from histmill.sinks.writers import write_import
+    docs = spark.createDataFrame([("2", "d", '{"externalId":"2"}'), ("10", "d", '{"externalId":"10"}')],
+                                 "externalId string, kind string, json string")
+    users_ = spark.createDataFrame([("k", "bob", None, True, "b@x", None)],
+                                   "user_key string, name string, groups array<string>, active boolean, "
+                                   "email string, fullname string")
+    comps = spark.createDataFrame([("B",), ("A",)], "name string")
+    vers = spark.createDataFrame([("7.1",)], "name string")
+    links = spark.createDataFrame([("Fixed", "1", "100002")], "name string, sourceId string, destinationId string")
+    write_import(str(tmp_path), docs, users_, comps, vers, links, "Legacy Project", "LEGACY")
+    issues_text = "".join(open(f).read() for f in sorted((tmp_path / "issues").glob("part-*")))
+    assert issues_text.splitlines() == ['{"externalId":"10"}', '{"externalId":"2"}']   # text order
+    user = json.loads("".join(open(f).read() for f in (tmp_path / "users").glob("part-*")))
+    assert list(user) == sorted(user) and user["name"] == "bob"
+    entries = spark.read.json(str(tmp_path / "project" / "entries")).collect()
+    assert sorted((r.kind, r.name) for r in entries) == [("component", "A"), ("component", "B"), ("version", "7.1")]
