@@ -66,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def stage(df):
     """Write an intermediate that later steps read several times (a stage table of the
-    original pipeline: clean catalog, users, import scope, link table) to the reliable
+    original scripts: clean catalog, users, import scope, link table) to the reliable
     checkpoint folder and return the staged frame. Later plans scan it instead of
     re-deriving it from the base tables; it survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
