@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histmill.functions import codes
-from histmill.session import ensure_checkpoint_dir
+from histmill.session import ensure_checkpoint_dir, stage
 
 def _nodes(defects: DataFrame, fixes: DataFrame, catalog: DataFrame, listed: Sequence[str],
            inherit_version: str | None) -> tuple[DataFrame, DataFrame]:
@@ -51,13 +51,15 @@ def closure_issues(links: DataFrame, defects: DataFrame, fixes: DataFrame, catal
     spark = links.sparkSession
     ensure_checkpoint_dir(spark)
     listed = list(releases)
-    defect_nodes, fix_nodes = _nodes(defects, fixes, catalog, listed, inherit_version)
-    lk = links.select(F.col("TransmittalID").cast("long").alias("l_fix"),
-                      F.col("SDR_Num").cast("long").alias("l_sdr")).distinct()
+    # the graph (nodes with their catalog values, distinct edges) is read by every
+    # round: write it once instead of re-deriving it from the base tables per round
+    defect_nodes, fix_nodes = (stage(n) for n in _nodes(defects, fixes, catalog, listed, inherit_version))
+    lk = stage(links.select(F.col("TransmittalID").cast("long").alias("l_fix"),
+                            F.col("SDR_Num").cast("long").alias("l_sdr")).distinct())
     listed_fix_ids = fixes.where(F.col("ReleaseLev").isin(*listed)).select(
         F.col("TransmittalId").cast("long").alias("_lf"))
-    linked_to_listed = lk.join(listed_fix_ids, F.col("l_fix") == F.col("_lf"), "left_semi").select(
-        F.col("l_sdr").alias("_ls")).distinct()
+    linked_to_listed = stage(lk.join(listed_fix_ids, F.col("l_fix") == F.col("_lf"), "left_semi").select(
+        F.col("l_sdr").alias("_ls")).distinct())
 
     pieces: list[DataFrame] = []
 
