@@ -24,7 +24,6 @@ class UserProfile:
     default_email_domain: str = "example.com"
     # ---- fixed values: group names given to active users ----
     active_groups: tuple[str, ...] = ("jira-users", "jira-developers")
-    active_domain_pattern: str = "DOM\\%"         # logins under this domain are active
     default_assignee: str = "unassigned"
 
 
