@@ -4,11 +4,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from histmill.plans.registry import all_oracles, all_queries
 from oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
