@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmill.llm import line_dedup, source_mix
+from histmill.llm import line_dedup, minhash_dedup, source_mix
 from histmill.llm.common import small_batches, table, word_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash_dedup.near_duplicates(docs, width=2, percent=80)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return source_mix.mix(docs).select(
@@ -46,6 +51,7 @@ from judged group by rid
 """
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_source_mix": op2_source_mix,
     "op9_line_dedup": op9_line_dedup,
 }
