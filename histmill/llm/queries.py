@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmill.llm import line_dedup, minhash_dedup, source_mix
+from histmill.llm import byte_bpe, line_dedup, minhash_dedup, source_mix
 from histmill.llm.common import small_batches, table, word_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return byte_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                     public_tokenizers.PATTERN, keep_ids=False)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
@@ -53,6 +61,7 @@ from judged group by rid
 QUERIES: dict[str, QueryFn] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_source_mix": op2_source_mix,
+    "op4_byte_bpe": op4_byte_bpe,
     "op9_line_dedup": op9_line_dedup,
 }
 
