@@ -49,8 +49,9 @@ def frequent_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     held = stage(docs.filter(F.col("doc_id").isNotNull())
                  .select("doc_id", F.explode(long_lines).alias("h"))
                  .select("doc_id", "h.a", "h.b").distinct())
-    counts = (held.groupBy("a", "b").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
-              .filter(F.col("n_docs") >= min_docs))
+    # staged, so that the join below deals both sides anew and a hot hash can be split
+    counts = stage(held.groupBy("a", "b").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+                   .filter(F.col("n_docs") >= min_docs))
     return (held.join(counts, ["a", "b"]).filter(F.col("doc_id") != F.col("keeper"))
             .groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("dropped")))
 
