@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmill.llm import byte_bpe, line_dedup, minhash_dedup, source_mix
+from histmill.llm import byte_bpe, line_dedup, minhash_dedup, multiset_hash, source_mix, toxicity
 from histmill.llm.common import small_batches, table, word_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op3_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.edited_against_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +36,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
@@ -61,7 +73,9 @@ from judged group by rid
 QUERIES: dict[str, QueryFn] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_source_mix": op2_source_mix,
+    "op3_multiset_hash": op3_multiset_hash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
 }
 
