@@ -173,13 +173,13 @@ def edited_against_next(docs: DataFrame) -> DataFrame:
              ranged.groupBy("rng").agg(F.min("doc_id").alias("head")).orderBy("rng").collect()]
     before = [(head, heads[k - 1][0]) for k, (_, head) in enumerate(heads)]
     guests = spark.createDataFrame(before, "head long, to int")
-    # only one row of a head id is a guest: the one that sorts first
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.select(rng.alias("rng"), "doc_id", "text")
-    # ``guests`` has at most parts + 1 rows
-    extra = (rows.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head")))
-             .select(F.col("to").alias("rng"), F.lit(1).alias("guest"), "doc_id", "text"))
-    both = rows.select("rng", F.lit(0).alias("guest"), "doc_id", "text").unionByName(extra)
+    # ``guests`` has at most parts + 1 rows; a head's row goes to two ranges, every other to one
+    own, guest = F.struct("rng", F.lit(0).alias("guest")), F.struct(F.col("to").alias("rng"), F.lit(1).alias("guest"))
+    both = (rows.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head")), "left")
+            .withColumn("place", F.explode(F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, guest))))
+            .select("place.rng", "place.guest", "doc_id", "text"))
     dealt = (both.repartition("rng")
              .withColumn("th", F.xxhash64("text"))
              .sortWithinPartitions("rng", "guest", F.col("doc_id").asc_nulls_first(), "th")
