@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmill.llm import byte_bpe, line_dedup, minhash_dedup, multiset_hash, source_mix, toxicity
+from histmill.llm import byte_bpe, line_dedup, minhash_dedup, multiset_hash, quality_rules, source_mix, toxicity
 from histmill.llm.common import small_batches, table, word_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality_rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                            "n_repeat_words", "base_failed", "kept")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -75,10 +81,12 @@ QUERIES: dict[str, QueryFn] = {
     "op2_source_mix": op2_source_mix,
     "op3_multiset_hash": op3_multiset_hash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_quality_rules": op6_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_quality_rules": quality_rules.ORACLE,
     "op9_line_dedup": OP9_SQL,
 }
