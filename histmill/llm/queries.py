@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmill.llm import byte_bpe, line_dedup, minhash_dedup, multiset_hash, quality_rules, source_mix, toxicity
+from histmill.llm import byte_bpe, line_dedup, minhash_dedup, multiset_hash, quality_rules, source_mix, toxicity, url_filter
 from histmill.llm.common import small_batches, table, word_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,16 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+#: The list that the query applies.
+URL_RULES = ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, url_filter.parse_rules(URL_RULES)).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 OP9_SQL = """
 with line as (
   select row_number() over () as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
@@ -84,6 +94,7 @@ QUERIES: dict[str, QueryFn] = {
     "op6_quality_rules": op6_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES: dict[str, str] = {
