@@ -10,10 +10,11 @@
    below the threshold go. The best candidate of each class is then confirmed on the full
    sets, components are formed, and the other candidates are confirmed where they would
    still join two components.
-4. In buckets whose members are still in more than one component, every member outside the
-   bucket's largest component meets the members of other components, with the bit-count
-   test inside the join. So no pair that a bucket offers is lost, and a bucket that is one
-   component costs nothing.
+4. Where the members of a leader's buckets are still in more than one component, pairs
+   across components are found by an exact prefix filter on the members' differences from
+   the leader (``_cross_pairs``), tested by bit counts and confirmed. No pair that a bucket
+   offers is lost, a bucket that is one component costs nothing, and a large group of
+   copies that are too far apart to be linked does not turn into all its pairs.
 
 Rows that share a doc_id are one document. Rows without doc_id, and texts without a word
 (null, empty, white space), are linked with nothing.
@@ -185,6 +186,68 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return stage(both.mapInArrow(_confirm_batches(width, percent), "a long, b long"))
 
 
+def _difference_batches(width: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, last, pivot = WordHashes(), None, None
+        for batch in batches:
+            n, n_pivot, both, diff = [], [], [], []
+            for lo, text, lo_text in zip(*(batch.column(c).to_pylist() for c in ("b", "ta", "tb")), strict=True):
+                if lo != last:
+                    last, pivot = lo, shingle_set(lo_text, width, hashes)
+                s = shingle_set(text, width, hashes)
+                d = np.setxor1d(s, pivot, assume_unique=True)
+                n.append(len(s))
+                n_pivot.append(len(pivot))
+                both.append((len(s) + len(pivot) - len(d)) // 2)
+                diff.append(d.view(np.int64))
+            longs = (pa.array(c, pa.int64()) for c in (n, n_pivot, both))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("b"), batch.column("a"), batch.column("label"), *longs,
+                 pa.array(diff, pa.list_(pa.int64()))], names=["lo", "node", "label", "n", "np", "s", "diff"])
+
+    return run
+
+
+def _cross_pairs(stars: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Candidates (a, b) between components within the groups (lo, node, label) of leaders.
+
+    With P the leader's set and D(x) the difference of x and P, two members share
+    s(a) + s(b) - n(P) + |D(a) & D(b)| shingles, where s is the overlap with P. So
+    they are similar enough only if their differences share at least
+    ``need = ceil(percent * (n(a) + n(b)) / (100 + percent)) + n(P) - s(a) - s(b)`` elements,
+    which is at least 1 unless both are linked to P, that is, in one component already.
+    Differences are ordered rarest first; the first shared element must come early enough
+    for ``need`` more to follow in both. Copies of one text that were edited in different
+    places share few differences, so this offers few pairs where the group has many.
+    """
+    whole = percent + 100
+    joined = (stars.select(F.col("node").alias("a"), F.col("lo").alias("b"), "label")
+              .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+              .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+              .select("a", "b", "label", "ta", "tb"))
+    diffs = stage(joined.mapInArrow(_difference_batches(width), "lo long, node long, label long, n long, np long, "
+                                                                 "s long, diff array<long>"))
+    short = F.ceil(F.lit(percent) * (F.col("n") + F.col("np")) / F.lit(float(whole))) - F.col("s")
+    tokens = diffs.select("lo", "node", F.explode("diff").alias("tok"))
+    common = stage(tokens.groupBy("lo", "tok").agg(F.count("*").alias("df")).filter("df > 1"))
+    ordered = (tokens.join(common, ["lo", "tok"]).groupBy("lo", "node")
+               .agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("ranked")))
+    facts = diffs.drop("diff").withColumn("short", F.greatest(short, F.lit(1)).cast("int")).withColumn(
+        "far", short > 0)
+    early = stage(ordered.join(facts, ["lo", "node"]).withColumn("c", F.size("ranked"))
+                  .filter("c >= short")
+                  .select("lo", "node", "label", "n", "np", "s", "far", "c",
+                          F.posexplode(F.expr("slice(ranked, 1, c - short + 1)")).alias("pos", "x"))
+                  .select("*", F.col("x.tok").alias("tok")).drop("x"))
+    x, y = early.filter("far").alias("x"), early.alias("y")
+    need = (F.ceil(F.lit(percent) * (F.col("x.n") + F.col("y.n")) / F.lit(float(whole))) + F.col("x.np")
+            - F.col("x.s") - F.col("y.s"))
+    apart = ((F.col("x.lo") == F.col("y.lo")) & (F.col("x.tok") == F.col("y.tok"))
+             & (F.col("x.label") != F.col("y.label")) & (~F.col("y.far") | (F.col("x.node") < F.col("y.node")))
+             & (F.least(F.col("x.c") - F.col("x.pos"), F.col("y.c") - F.col("y.pos")) >= need))
+    return x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def _labelled(df: DataFrame, node: str, label: str, labels: DataFrame) -> DataFrame:
     own = labels.select(F.col("node").alias("__n"), F.col("label").alias("__l"))
     return (df.join(own, F.col(node) == F.col("__n"), "left")
@@ -253,22 +316,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     none = pending.select("a", "b").limit(0)
     links, labels = _join_components(pending, none, texts, width, percent)
 
-    # buckets still in several components: all their pairs across components
-    tagged = stage(_labelled(members.select("key", "node"), "node", "label", labels))
-    shares = tagged.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed_keys = stage(shares.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "label"))["label"]
-                                                 .alias("main")).filter("parts > 1").select("key", "main"))
-    if not mixed_keys.isEmpty():
-        inside = stage(tagged.join(mixed_keys, "key").join(bits, "node")
-                       .select("key", "node", "label", "main", "bits"))
-        few = inside.filter("label <> main").alias("x")
-        apart = (F.col("x.key") == F.col("y.key")) & (
-            (F.col("y.label") == F.col("y.main")) | (F.col("x.label") < F.col("y.label")))
-        cross = (few.join(inside.alias("y"), apart & (F.col("x.label") != F.col("y.label"))
-                          & (estimate("x", "y") >= cut))
-                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), estimate("x", "y").alias("est"))
-                 .distinct())
-        links, labels = _join_components(stage(cross), links, texts, width, percent)
+    # groups of a leader that are still in several components
+    grouped = stage(_labelled(members.select("node", "lo").distinct(), "node", "label", labels))
+    ends = grouped.select("lo", "label").unionByName(
+        _labelled(grouped.select("lo").distinct(), "lo", "label", labels))
+    split = stage(ends.groupBy("lo").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+                  .select("lo"))
+    if not split.isEmpty():
+        stars = stage(grouped.join(split, "lo").filter("node <> lo"))
+        cross = _cross_pairs(stars, texts, width, percent)
+        links, labels = _join_components(stage(with_bits(cross)), links, texts, width, percent)
 
     of_class = stage(_labelled(classes, "rep", "label", labels).select("s1", "s2", "label"))
     of_rows = known.select("doc_id", "n_shingles", "s1", "s2").join(of_class, ["s1", "s2"])

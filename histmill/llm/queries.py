@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmill.llm import byte_bpe, line_dedup, minhash_dedup, multiset_hash, quality_rules, source_mix, toxicity, url_filter
+from histmill.llm import byte_bpe, html_extract, line_dedup, minhash_dedup, multiset_hash, quality_rules, source_mix, toxicity, url_filter
 from histmill.llm.common import small_batches, table, word_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality_rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -91,6 +96,7 @@ QUERIES: dict[str, QueryFn] = {
     "op2_source_mix": op2_source_mix,
     "op3_multiset_hash": op3_multiset_hash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_html_extract": op5_html_extract,
     "op6_quality_rules": op6_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
