@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmill.llm import byte_bpe, html_extract, line_dedup, minhash_dedup, multiset_hash, quality_rules, source_mix, toxicity, url_filter
+from histmill.llm import byte_bpe, html_extract, line_dedup, minhash_dedup, multiset_hash, quality_rules, source_mix, suffix_dedup, toxicity, url_filter
 from histmill.llm.common import small_batches, table, word_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             "n_repeat_words", "base_failed", "kept")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -98,6 +102,7 @@ QUERIES: dict[str, QueryFn] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_html_extract": op5_html_extract,
     "op6_quality_rules": op6_quality_rules,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
