@@ -59,15 +59,17 @@ def frequent_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` (before dropping) and ``n_dropped`` added.
 
-    ``docs`` needs ``doc_id`` and ``text``; other columns pass through.
+    ``docs`` needs ``doc_id`` and ``text``; other columns pass through, but columns of the
+    three names above are replaced.
     """
     ensure_columns(docs, "doc_id", "text")
-    gone = frequent_lines(docs, min_chars, min_docs).withColumnRenamed("doc_id", "__id")
+    gone = frequent_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias("__id"),
+                                                            F.col("dropped").alias("__drop"))
     lines = _lines(F.col("text"))
     kept = F.filter(lines, lambda x: ~F.coalesce(
         F.array_contains(F.col("__drop"), _line_hash(x, min_chars)), F.lit(False)))
     joined = (docs.join(gone, docs["doc_id"] == gone["__id"], "left")
-              .select(*[docs[c] for c in docs.columns], F.col("dropped").alias("__drop")))
+              .drop("__id"))
     untouched = F.col("__drop").isNull()
     return (joined.withColumn("__kept", F.when(~untouched, kept))
             .withColumn("kept_text", F.when(untouched, F.coalesce("text", F.lit("")))

@@ -40,6 +40,11 @@ RATES: dict[str, tuple[bool, int]] = {
 }
 
 
+#: Columns that the operator adds; a table's own columns of these names are replaced.
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rules", "kept",
+           "limits")
+
+
 def _count_of(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
@@ -50,8 +55,8 @@ def base_counts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    own = docs.columns
-    step = docs.select("*", words.alias("__w"), lines.alias("__l"), text.alias("__t"))
+    own = [c for c in docs.columns if c not in RESULTS]
+    step = docs.select(*own, words.alias("__w"), lines.alias("__l"), text.alias("__t"))
     step = step.select(*own, "__w", "__t", F.size("__w").alias("__n"),
                        F.size("__l").alias("__lines"),
                        (F.size("__l") - F.size(F.array_distinct("__l"))).alias("__dup"))

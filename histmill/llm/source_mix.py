@@ -197,5 +197,5 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     for k in [*keys, "__n"]:
         match = match & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
     joined = left.join(right.filter("copies > 0"), match)
-    return (joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select(*[F.col(f"l.{c}") for c in docs.columns]))
+    times = F.explode(F.sequence(F.lit(1), F.col("r.copies").cast("int"))).alias("__copy")
+    return joined.select(*[F.col(f"l.`{c}`") for c in docs.columns], times).drop("__copy")

@@ -427,6 +427,7 @@ def _score_batches(spark: SparkSession, model: Model, text_at: int) -> Callable:
 def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
     """``docs`` (text and anything else) with the score of every whole text."""
     ensure_columns(docs, "text")
+    docs = docs.select(*[c for c in docs.columns if c != name])
     if model is None:
         return docs.withColumn(name, F.lit(0.0))
     small_batches(docs.sparkSession)
