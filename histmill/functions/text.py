@@ -69,7 +69,7 @@ def sql_len(c: Column) -> Column:
 def flip_name(c: Column) -> Column:
     """SC9: 'Last, First' -> 'First Last' when the comma is after position 1."""
     pos = F.locate(",", c)
-    first = F.ltrim(F.substr(c, pos + 1, F.lit(35)))
+    first = F.ltrim(F.substr(c, pos + 1))
     last = F.substr(c, F.lit(1), pos - 1)
     return F.when(pos > 1, F.concat(first, F.lit(" "), last)).otherwise(c)
 

@@ -21,47 +21,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histmill.session import ensure_checkpoint_dir
+from histmill.session import stage
 
 PID = "_pid"
 POS = "_pos"
-# Largest group (or whole input, for a global order) one window task may take.
-MAX_GROUP_ROWS_CONF = "histmill.window.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-
-
-def _group_bound(df: DataFrame, max_group_rows: int | None) -> int:
-    if max_group_rows is not None:
-        return max_group_rows
-    return int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-
-
-def fits_one_task(df: DataFrame, group: Sequence[str], max_group_rows: int | None = None) -> bool:
-    """Size check before a plain window: does the largest group stay under the bound?
-
-    One partial aggregation (a count per group, then the max); for a global order
-    (no group) the row count. Beyond the bound the two-phase scan is used.
-    """
-    bound = _group_bound(df, max_group_rows)
-    if bound <= 0:
-        return False
-    if not group:
-        return df.limit(bound + 1).count() <= bound
-    largest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"]
-    return (largest or 0) <= bound
-
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
 def stage_by_range(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``order``, tag partition id and local position, checkpoint."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *_cols(order)).withColumn(PID, F.spark_partition_id())
-    staged = ranged.checkpoint(eager=True)
+    """Range-partition on ``order``, tag partition id and local position, write as a stage table."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    staged = stage(df.repartitionByRange(n, *_cols(order)).withColumn(PID, F.spark_partition_id()))
     w = Window.partitionBy(PID).orderBy(*_cols(order))
     return staged.withColumn(POS, F.row_number().over(w))
 
@@ -80,9 +52,24 @@ def global_row_number(staged: DataFrame, out_col: str) -> DataFrame:
             .withColumn(out_col, F.col(POS) + F.col("_before")).drop("_before"))
 
 
+def _handed_over(summary: DataFrame, running: Column, out_col: str) -> DataFrame:
+    """(_pid, _first_g, out_col): ``running`` over the earlier partitions whose last group is
+    the first group of this one.
+
+    Those partitions lie side by side just before it, so it is the running value at the
+    nearest earlier partition, if that one ends in the same group: two windows over the
+    summary, which has one row per partition, and no join of it with itself.
+    """
+    same = Window.partitionBy("_last_g").orderBy(PID).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy(PID)
+    return (summary.withColumn("_upto", running.over(same))
+            .withColumn("_prev_g", F.lag("_last_g").over(before)).withColumn("_prev", F.lag("_upto").over(before))
+            .select(PID, "_first_g", F.when(F.col("_prev_g").eqNullSafe(F.col("_first_g")), F.col("_prev"))
+                    .alias(out_col)))
+
+
 def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value: Column,
-                        out_col: str, partitions: int | None = None, max_group_rows: int | None = None,
-                        plain: bool | None = None) -> DataFrame:
+                        out_col: str, partitions: int | None = None) -> DataFrame:
     """``sum(value) over (partition by group order by order rows unbounded preceding)``
     that tolerates a hot group (one group may span many partitions).
 
@@ -90,12 +77,8 @@ def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str
     sum restarts per group run; a group continued from earlier partitions is
     always the first group of its partition, so it gets a carry equal to its
     total in earlier partitions, read from the per-partition summary (one row
-    per partition). NULL group keys form one group, as in SQL. ``plain`` skips the
-    size check when the caller already measured the groups on a narrower input.
+    per partition). NULL group keys form one group, as in SQL.
     """
-    if plain if plain is not None else fits_one_task(df, group, max_group_rows):
-        w = Window.partitionBy(*group).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out_col, F.sum(value).over(w))
     staged = stage_by_range(df.withColumn("_val", value), [*group, *order], partitions)
     gkey = F.struct(*[F.col(g) for g in group])
     # same window spec as the staging step: no new exchange, only a local sort
@@ -111,9 +94,8 @@ def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str
         F.max_by("_gkey", POS).alias("_last_g"),
         F.max_by("_local", POS).alias("_last_sum"),
     )
-    earlier = summary.select(F.col(PID).alias("_q"), F.col("_last_g").alias("_qg"), F.col("_last_sum").alias("_qs"))
-    offsets = (summary.join(earlier, (F.col("_q") < F.col(PID)) & F.col("_qg").eqNullSafe(F.col("_first_g")), "left")
-               .groupBy(PID, "_first_g").agg(F.coalesce(F.sum("_qs"), F.lit(0)).alias("_carry")))
+    offsets = _handed_over(summary, F.sum("_last_sum"), "_carry").withColumn(
+        "_carry", F.coalesce("_carry", F.lit(0)))
     out = local.join(F.broadcast(offsets), PID)
     out = out.withColumn(out_col, F.col("_local")
                          + F.when(F.col("_gkey").eqNullSafe(F.col("_first_g")), F.col("_carry")).otherwise(0))
@@ -121,15 +103,14 @@ def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str
 
 
 def grouped_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out_col: str,
-                       partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+                       partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by group order by order)`` that tolerates a hot group."""
-    out = grouped_running_sum(df, group, order, F.lit(1), out_col, partitions, max_group_rows)
+    out = grouped_running_sum(df, group, order, F.lit(1), out_col, partitions)
     return out.withColumn(out_col, F.col(out_col).cast("int"))
 
 
 def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, carry_cols: Sequence[str],
-                   out_col: str, start: int = 1, partitions: int | None = None,
-                   max_group_rows: int | None = None) -> DataFrame:
+                   out_col: str, start: int = 1, partitions: int | None = None) -> DataFrame:
     """Gap-and-island numbering in one global order (WIN4).
 
     ``opens_island(prev: dict[str, Column], cur: dict[str, Column]) -> Column``
@@ -138,13 +119,6 @@ def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, c
     up to and including the row. The previous row of a partition's first row
     is the last row of the nearest earlier non-empty partition.
     """
-    if fits_one_task(df, [], max_group_rows):
-        w = Window.orderBy(*_cols(order))
-        prev = {c: F.lag(c).over(w) for c in carry_cols}
-        flagged = df.withColumn("_open", F.when(opens_island(prev, {c: F.col(c) for c in carry_cols}), 1)
-                                .otherwise(0))
-        run = F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0))
-        return flagged.withColumn(out_col, F.lit(start) + run).drop("_open")
     staged = stage_by_range(df, order, partitions)
     w = Window.partitionBy(PID).orderBy(POS)
     prev = {c: F.lag(c).over(w) for c in carry_cols}
@@ -169,7 +143,7 @@ def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, c
 
 
 def forward_fill(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value_col: str, out_col: str,
-                 partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+                 partitions: int | None = None) -> DataFrame:
     """``last(value, ignorenulls) over (partition by group order by order rows unbounded preceding)``
     without sending a whole group (or, with no group, the whole input) to one task (WIN5).
 
@@ -177,10 +151,6 @@ def forward_fill(df: DataFrame, group: Sequence[str], order: Sequence[str | Colu
     is seeded with the last non-null value of the same group in the nearest
     earlier partition that has one (read from the per-partition summary).
     """
-    if fits_one_task(df, group, max_group_rows):
-        w = Window.partitionBy(*group).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0) \
-            if group else Window.orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
     staged = stage_by_range(df, [*group, *order], partitions)
     gkey = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0).alias("_all"))
     w = Window.partitionBy(PID).orderBy(POS)
@@ -191,10 +161,7 @@ def forward_fill(df: DataFrame, group: Sequence[str], order: Sequence[str | Colu
     local = local.withColumn("_fill", F.last(value_col, ignorenulls=True).over(w_run))
     summary = local.groupBy(PID).agg(F.min_by("_gkey", POS).alias("_first_g"), F.max_by("_gkey", POS).alias("_last_g"),
                                      F.max_by("_fill", POS).alias("_last_v"))
-    earlier = (summary.where(F.col("_last_v").isNotNull())
-               .select(F.col(PID).alias("_q"), F.col("_last_g").alias("_qg"), F.col("_last_v").alias("_qv")))
-    seeds = (summary.join(earlier, (F.col("_q") < F.col(PID)) & F.col("_qg").eqNullSafe(F.col("_first_g")), "left")
-             .groupBy(PID, "_first_g").agg(F.max_by("_qv", "_q").alias("_seed")))
+    seeds = _handed_over(summary, F.last("_last_v", ignorenulls=True), "_seed")
     out = local.join(F.broadcast(seeds), PID)
     seeded = F.when(F.col("_gkey").eqNullSafe(F.col("_first_g")), F.col("_seed"))
     out = out.withColumn(out_col, F.coalesce(F.col("_fill"), seeded))

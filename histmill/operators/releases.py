@@ -141,7 +141,7 @@ def apply_release_rules(releases: DataFrame) -> DataFrame:
     for old, new in VERSION_ALIASES.items():
         _set(st, _ci_eq(rid, old), AffectsVersion=new)
     av = st["AffectsVersion"]
-    _set(st, _ci_in(F.left(av, F.lit(5)), PREFIXES_STRIPPED), AffectsVersion=F.substr(av, F.lit(6), F.lit(20)))
+    _set(st, _ci_in(F.left(av, F.lit(5)), PREFIXES_STRIPPED), AffectsVersion=F.substr(av, F.lit(6)))
     base = base.select("ReleaseLev", "ReleaseID", *[v.alias(k) for k, v in st.items()])
     st = {k: F.col(k) for k in ("IsReleased", "LanguageLabel", "HotfixLabel", "AffectsVersion")}
     st["FixedVersion"] = st["AffectsVersion"]

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histmill.functions import codes
-from histmill.session import ensure_checkpoint_dir, stage
+from histmill.session import stage
+
 
 def _nodes(defects: DataFrame, fixes: DataFrame, catalog: DataFrame, listed: Sequence[str],
            inherit_version: str | None) -> tuple[DataFrame, DataFrame]:
@@ -46,10 +47,9 @@ def _nodes(defects: DataFrame, fixes: DataFrame, catalog: DataFrame, listed: Seq
 
 
 def closure_issues(links: DataFrame, defects: DataFrame, fixes: DataFrame, catalog: DataFrame,
-                   releases: Sequence[str], inherit_version: str | None = None, max_rounds: int = 200) -> DataFrame:
+                   releases: Sequence[str], inherit_version: str | None = None) -> DataFrame:
     """FIX1 + FIX2: the ReleaseIssues table as rows (kind 'sdr'|'fix', id, ImportGroup, Branch, Version, round)."""
     spark = links.sparkSession
-    ensure_checkpoint_dir(spark)
     listed = list(releases)
     # the graph (nodes with their catalog values, distinct edges) is read by every
     # round: write it once instead of re-deriving it from the base tables per round
@@ -72,7 +72,7 @@ def closure_issues(links: DataFrame, defects: DataFrame, fixes: DataFrame, catal
         return u.where(F.col("kind") == kind).select(F.col("id").alias("_inc"))
 
     def keep(df: DataFrame) -> DataFrame:
-        staged = df.select("kind", "id", "ImportGroup", "Branch", "Version", "round").checkpoint(eager=True)
+        staged = stage(df.select("kind", "id", "ImportGroup", "Branch", "Version", "round"))
         pieces.append(staged)
         return staged
 
@@ -91,8 +91,6 @@ def closure_issues(links: DataFrame, defects: DataFrame, fixes: DataFrame, catal
         frontier, rnd = seed_f, 0
         while not frontier.isEmpty():
             rnd += 1
-            if rnd > max_rounds:
-                raise RuntimeError(f"closure for {release} did not converge in {max_rounds} rounds")
             reached = (frontier.select(F.col("id").alias("_ff"), F.col("Branch").alias("_fb"),
                                        F.col("Version").alias("_fv"))
                        .join(lk, F.col("_ff") == F.col("l_fix"))

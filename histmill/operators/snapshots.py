@@ -19,7 +19,7 @@ class LogPatterns:
 
     # ---- fixed values: line formats of the history listing ----
     header: str = r"^transaction (\d+);"
-    checkin: str = r"^  # SS \N+Time: (\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})".replace(r"\N", r"[^\n]")
+    checkin: str = r"^  # SS [^\n]+Time: (\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})"
     initial: str = r"^  # Import initial source"
 
 
@@ -67,8 +67,6 @@ def asof_labels(labels: DataFrame, checkins: DataFrame, label_times: Sequence[st
     bucket is taken (partial aggregation, at most len(labels)+1 rows), and a running
     max over that tiny table answers every label.
     """
-    if len(label_times) > 10_000:
-        raise ValueError("too many labels for a literal bucket array; use asof_labels_sorted")
     ordered = sorted({t for t in label_times})
     bounds = F.array(*[parse_iso(F.lit(t)) for t in ordered])
     bucket = F.aggregate(bounds, F.lit(0), lambda acc, t: acc + F.when(t < F.col(time_col), 1).otherwise(0))
@@ -110,12 +108,24 @@ def promote_set(checkins: DataFrame, initial: DataFrame, ga_time: str, tran_col:
     there is no initial transaction (DQ3)."""
     latest = checkins.groupBy(tran_col).agg(F.max(time_col).alias("_last"))
     picked = latest.where(F.col("_last") <= F.lit(ga_time).cast("timestamp_ntz")).select(tran_col)
-    checked = initial.select(
-        F.when(F.col("initial_tran").isNotNull(), F.col("initial_tran"))
-        .otherwise(F.raise_error(F.lit("Did not find initial transaction."))).cast("long").alias(tran_col))
+    # an aggregate without groups has a row even if the input has none
+    found = F.array_sort(F.collect_list("initial_tran")).alias("_found")
+    checked = initial.agg(found).select(F.explode(
+        F.when(F.size("_found") > 0, F.col("_found"))
+        .otherwise(F.raise_error(F.lit("Did not find initial transaction.")).cast("array<bigint>"))).alias(tran_col))
     return checked.unionByName(picked)
 
 
+def required_transaction(log: DataFrame, tran: int, file_col: str) -> DataFrame:
+    """DQ3: the log's transaction headers of ``tran`` (file, tran_num); fails if no file has it."""
+    hits = log.where(F.col("tran_num") == tran).select(file_col).distinct()
+    checked = hits.agg(F.array_sort(F.collect_set(file_col)).alias("_f")).select(F.explode(
+        F.when(F.size("_f") > 0, F.col("_f")).otherwise(
+            F.raise_error(F.lit(f"Did not find transaction {tran}.")).cast(
+                hits.select(F.collect_set(file_col)).schema[0].dataType))).alias(file_col))
+    return checked.withColumn("tran_num", F.lit(tran).cast("long"))
+
+
 XML_HEAD = '<?xml version="1.0" encoding="UTF-8"?>\n<transactions>'
 XML_TAIL = "</transactions>"
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmill.functions.text import flip_name, has_non_space, login_name, LOGIN_PATTERN
@@ -65,21 +65,20 @@ def apply_overrides(spark: SparkSession, users: DataFrame, overrides: UserOverri
     return out
 
 
-def require_parsable_logins(users: DataFrame) -> DataFrame:
-    """DQ3: fail the job on a login that is not DOMAIN\\user."""
-    return users.withColumn(
-        "_login_ok",
-        F.when(F.col("NTUserName").rlike(LOGIN_PATTERN), F.lit(True))
-        .otherwise(F.raise_error(F.concat(F.lit("Failed to parse "), F.coalesce("NTUserName", F.lit("NULL"))))),
-    ).drop("_login_ok")
+def required_login(login: Column) -> Column:
+    """DQ3: the user part of DOMAIN\\user; a login of another form fails the job.
+
+    The check is part of the value itself, so no optimiser rule can drop it.
+    """
+    return F.when(login.rlike(LOGIN_PATTERN), login_name(login)).otherwise(
+        F.raise_error(F.concat(F.lit("Failed to parse "), F.coalesce(login, F.lit("NULL")))).cast("string"))
 
 
 def build_users(users: DataFrame, profile: UserProfile = UserProfile(), strict: bool = True) -> DataFrame:
     """CMP8: one target user record per source user, keyed by ``UserName``."""
-    src = require_parsable_logins(users) if strict else users
-    login = login_name(F.col("NTUserName"))
+    login = required_login(F.col("NTUserName")) if strict else login_name(F.col("NTUserName"))
     active = F.col("Active") == F.lit(True)
-    return src.select(
+    return users.select(
         F.col("UserName").alias("user_key"),
         F.when(active, login).otherwise(F.concat(F.lit(profile.placeholder_prefix), login)).alias("name"),
         F.when(active, F.array(*[F.lit(g) for g in profile.active_groups])).alias("groups"),

@@ -7,7 +7,6 @@ from histmill.plans.common import CATALOG_SQL, catalog, v
 from histmill.plans.registry import query
 
 RELEASES = ("L0", "L1")
-MAX_LEVEL = 30
 
 
 def _closure_sql(releases=RELEASES) -> str:
@@ -37,12 +36,13 @@ seedf{i} as (select id from fixn where rel = '{rel}' and ('fix', id) not in (sel
 seedd{i} as (
   select id from sdrn where rel = '{rel}' and id not in (select d from listed_linked)
     and ('sdr', id) not in (select kind, id from prev{i})),
-reach{i}(kind, id, lvl) as (
+reach{i}(kind, id, lvl) using key (kind, id) as (
   select 'fix', id, 0 from seedf{i}
   union
-  select e.dk, e.dst, r.lvl + 1 from reach{i} r join edges e on e.sk = r.kind and e.src = r.id
-  where r.lvl < {MAX_LEVEL} and (e.dk, e.dst) not in (select kind, id from prev{i})),
-lvl{i} as (select kind, id, min(lvl) as lvl from reach{i} group by kind, id),
+  select e.dk, e.dst, min(r.lvl) + 1 from reach{i} r join edges e on e.sk = r.kind and e.src = r.id
+    left join recurring.reach{i} as seen on seen.kind = e.dk and seen.id = e.dst
+  where seen.id is null and (e.dk, e.dst) not in (select kind, id from prev{i}) group by e.dk, e.dst),
+lvl{i} as (select kind, id, lvl from reach{i}),
 inh{i} as (
   select d.id, max(fx.br) as mb, max(fx.ver) as mv
   from lvl{i} d join lnk l on l.d = d.id join lvl{i} fl on fl.kind = 'fix' and fl.id = l.f and fl.lvl < d.lvl

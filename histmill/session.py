@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,11 +26,11 @@ CLUSTER_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "histmill") -> SparkSession:
+                  app_name: str = "histmill", checkpoint_dir: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
     ``master`` and ``shuffle_partitions`` are only for local runs; on a cluster the
-    submitter supplies both.
+    submitter supplies both, and ``spark.checkpoint.dir``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -37,6 +38,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config("spark.driver.memory", os.environ.get("HISTMILL_DRIVER_MEM", "16g"))
     for key, value in CLUSTER_CONF.items():
         builder = builder.config(key, value)
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -66,8 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def stage(df):
     """Write an intermediate that later steps read several times (a stage table of the
-    original scripts: clean catalog, users, import scope, link table) to the reliable
-    checkpoint folder and return the staged frame. Later plans scan it instead of
-    re-deriving it from the base tables; it survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    original scripts: clean catalog, users, import scope, link table) as a parquet table
+    below the reliable checkpoint folder and return it. Later plans scan it, with column
+    pruning and pushed filters, instead of re-deriving it from the base tables; the folder
+    is shared, so the table survives executor loss."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,10 +1,9 @@
 """Domain entities expressed over the driver's test tables.
 
 Each view is one SQL statement that both Spark and DuckDB run unchanged, so
-the Spark query and its oracle read identical inputs. The Spark side only adds
-exact range predicates on joins of the form ``key = x % 200`` (the modulo
-bounds the key to [-199, 199]) so that the parquet scan of the small side is
-pruned and its join side stays tiny at any scale.
+the Spark query and its oracle read identical inputs: whole tables, whole texts.
+Where an entity needs a reference that the tables lack, its key is a number
+modulo the row count of the referenced table, so key counts grow with the data.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from histmill.sources.tables import memo, register_tables
+from histmill.sources.tables import register_tables
 
 _RELEASE_ID = (
     "'7.' || replace(p_brand, 'Brand#', '') || case p_size % 6 when 0 then '' when 1 then '_Spanish' "
@@ -40,7 +39,8 @@ select p_partkey as SDRNum, {_RELEASE_LEV} as Release, {_RELEASE_ID} as Version,
  case when p_size % 4 = 0 then 'E' else 'P' end as ProbEnh,
  case p_partkey % 4 when 0 then 'Regression' when 1 then 'Design Error' when 2 then 'Other' end as Source,
  case when p_size % 5 = 0 then p_name end as Introduced
-from part join orders on o_orderkey = p_partkey""",
+from part left join (select l_partkey, min(o_orderdate) as o_orderdate from lineitem join orders
+ on o_orderkey = l_orderkey group by l_partkey) as dates on l_partkey = p_partkey""",
     "v_resolution": f"""
 select o_orderkey as TransmittalId, 'L' || cast({_PRIO_DIGIT} % 5 as varchar(9)) as ReleaseLev,
  '7.' || cast(case when {_PRIO_DIGIT} % 5 + 5 * (o_custkey % 5) = 0 then 25
@@ -53,9 +53,11 @@ select o_orderkey as TransmittalId, 'L' || cast({_PRIO_DIGIT} % 5 as varchar(9))
  case when o_orderkey % 10 = 0 then 'see manual' end as DocoNotes,
  case when o_orderkey % 9 = 0 then o_orderpriority end as FunctionalArea,
  case when o_orderkey % 11 = 0 then o_custkey end as FeatOrEnhNum, text as ReadMe, o_orderdate
-from orders join documents on doc_id = o_orderkey % 200 /*RANGE doc_id*/""",
+from (select *, o_orderkey % (select count(*) from documents) as doc from orders) as o
+join documents on doc_id = doc""",
     "v_link": """
-select distinct l_orderkey as TransmittalID, l_partkey as SDR_Num from lineitem where l_quantity <= 2""",
+select distinct l_orderkey as TransmittalID, l_partkey as SDR_Num
+ from lineitem""",
     "v_file_change": """
 select l_orderkey as TransmittalID,
  case when l_returnflag = 'N' and l_linenumber = 1 then null else l_linenumber end as FCIndex,
@@ -65,7 +67,7 @@ select l_orderkey as TransmittalID,
  case when l_suppkey % 7 = 0 then 'n/a' else cast(cast(l_quantity as int) % 5 as varchar(9)) end as RevisionLevelFrom,
  cast(cast(l_quantity as int) % 5 + l_linenumber as varchar(9)) as RevisionLevelTo,
  l_shipdate, l_extendedprice, l_partkey, l_suppkey
-from lineitem join part on p_partkey = l_partkey % 200 /*RANGE p_partkey*/""",
+from lineitem join part on p_partkey = l_partkey""",
     "v_file_path": """
 select p_partkey as FilePathKey, '$/R75/' || replace(p_brand, '#', '') || '/' || p_type || '/'
   || replace(p_name, ' ', '_') || '_' || cast(p_partkey as varchar(9)) as Path,
@@ -73,27 +75,29 @@ select p_partkey as FilePathKey, '$/R75/' || replace(p_brand, '#', '') || '/' ||
 union all select distinct 1000000 + cast(replace(p_brand, 'Brand#', '') as bigint), '$/R75/' || replace(p_brand, '#', ''),
  true, p_brand in ('Brand#3', 'Brand#11') from part""",
     "v_file_rev": """
-select event_id as FileRevKey, event_id % 200 as FilePathKey, 1 + cast(floor(event_id / 200) as bigint) as Revision,
+select event_id as FileRevKey, event_id % (select count(*) from part) as FilePathKey,
+ 1 + cast(floor(event_id / (select count(*) from part)) as bigint) as Revision,
  'user' || cast(user_id % 2 as varchar(9)) as Usr,
  case when event_type in ('error', 'click') then 'fix it' when event_type = 'view' then ' fixit'
   when event_type = 'signup' then 'new' end as Comment, ts as CommitTime, event_type as Action from events""",
     "v_sdr_log": """
-select event_id, event_id % 200 as SDR_Num, ts as EntryDate,
+select event_id, event_id % (select count(*) from part) as SDR_Num, ts as EntryDate,
  case when user_id % 9 > 0 then 'user' || cast(user_id % 40 as varchar(9)) end as Person,
  case event_type when 'error' then 'Wait' when 'click' then 'Comment' when 'view' then 'ASSIGNED'
   when 'signup' then 'Reported' else 'Closed' end as LineType,
  case event_id % 8 when 0 then 'Fixed' when 1 then 'No Problem' when 2 then 'Duplicate' when 3 then ''
   when 4 then '0' when 5 then 'user7' when 6 then 'No Fix' end as ReasonCode,
- case when event_id % 5 > 0 then substring(text, 1, 120) end as Description
-from events join documents on doc_id = event_id % 200 /*RANGE doc_id*/""",
+ case when event_id % 5 > 0 then text end as Description
+from (select *, event_id % (select count(*) from documents) as doc from events) as e
+join documents on doc_id = doc""",
     "v_trans_log": """
-select event_id, event_id % 1500 as TransmittalID, ts as entrydate, 'user' || cast(user_id % 40 as varchar(9)) as person,
+select event_id, event_id % (select count(*) from orders) as TransmittalID, ts as entrydate, 'user' || cast(user_id % 40 as varchar(9)) as person,
  case event_type when 'error' then 'Transmit' when 'click' then 'Built' when 'view' then 'Tested'
   when 'signup' then 'Send Back' else 'Note' end as linetype,
  case event_id % 4 when 0 then 'to: Build' when 1 then ' ' when 2 then ' checked ' end as description,
  case when event_id % 3 = 0 then 'QA' else ' ' end as role from events""",
     "v_customer_report": """
-select c_custkey, c_custkey % 200 as sdr_no, case c_custkey % 3 when 0 then '1' when 1 then '0' end as CustWaiting,
+select c_custkey, c_custkey % (select count(*) from part) as sdr_no, case c_custkey % 3 when 0 then '1' when 1 then '0' end as CustWaiting,
  case when c_custkey % 5 > 0 then c_name || chr(10) end as customer,
  case when c_custkey % 4 = 0 then c_mktsegment end as cust_version,
  case c_custkey % 6 when 0 then '  ' when 1 then ' call back ' end as notes from customer""",
@@ -103,32 +107,17 @@ select 'DOM' || chr(92) || 'login' || cast(c_custkey as varchar(9)) as NTUserNam
  case when c_custkey % 4 > 0 then 'Last' || cast(c_custkey as varchar(9)) || ', First' || cast(c_custkey as varchar(9))
   else 'Mono' || cast(c_custkey as varchar(9)) end as ExchangeName,
  case when c_custkey % 3 > 0 then 'u' || cast(c_custkey as varchar(9)) || '@example.org' else ' ' end as EmailAddr,
- c_custkey % 5 > 0 as Active from customer where c_custkey < 30""",
+ c_custkey % 5 > 0 as Active from customer""",
 }
 
 _BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                 "events", "documents", "pages", "conversations")
-_RANGE_MARK = re.compile(r"/\*RANGE (\w+)\*/")
-
-
-def _spark_text(sql: str) -> str:
-    """Turn the range marker into an exact, pushable predicate for Spark."""
-    return _RANGE_MARK.sub(lambda m: f"and {m.group(1)} between -199 and 199", sql)
-
-
-def oracle_text(sql: str) -> str:
-    return _RANGE_MARK.sub("", sql)
-
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build one domain view as a DataFrame over the parquet tables in ``sf_dir``."""
     sql = VIEW_SQL[name]
-
-    def build() -> DataFrame:
-        register_tables(spark, sf_dir, [t for t in _BASE_TABLES if re.search(rf"\b{t}\b", sql)])
-        return spark.sql(_spark_text(sql))
-
-    return memo(spark, f"view:{sf_dir}:{name}", build)
+    register_tables(spark, sf_dir, [t for t in _BASE_TABLES if re.search(rf"\b{t}\b", sql)])
+    return spark.sql(sql)
 
 
 def oracle_with(query: str) -> str:
@@ -136,7 +125,7 @@ def oracle_with(query: str) -> str:
     used = [n for n in VIEW_SQL if re.search(rf"\b{n}\b", query)]
     if not used:
         return query
-    ctes = ",\n".join(f"{n} as ({oracle_text(VIEW_SQL[n])})" for n in used)
+    ctes = ",\n".join(f"{n} as ({VIEW_SQL[n]})" for n in used)
     head = re.match(r"(?is)^\s*with\s+(recursive\s+)?", query)
     if head:
         recursive = "recursive " if head.group(1) else ""

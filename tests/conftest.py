@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,9 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    from histmill.session import build_session, ensure_checkpoint_dir
+    from histmill.session import build_session
 
-    s = build_session("local[4]", shuffle_partitions=4, app_name="histmill-tests")
-    ensure_checkpoint_dir(s)
-    yield s
-    s.stop()
+    with tempfile.TemporaryDirectory(prefix="histmill-tests-") as folder:
+        s = build_session("local[4]", shuffle_partitions=4, app_name="histmill-tests", checkpoint_dir=folder)
+        yield s
+        s.stop()

@@ -187,7 +187,7 @@ def test_changesets_rules(spark):
         (6, 1, 6, "u2", "x\n", t + dt.timedelta(seconds=6)),          # lone LF kept -> new
         (7, 2, 1, "u9", "gone", t + dt.timedelta(seconds=7)),         # deleted path -> -1
     ], "FileRevKey long, FilePathKey long, Revision long, Usr string, Comment string, CommitTime timestamp_ntz")
-    got = {r.FileRevKey: r.PromoteSeq for r in revisions.changesets(revs, paths, partitions=3, max_group_rows=0).collect()}
+    got = {r.FileRevKey: r.PromoteSeq for r in revisions.changesets(revs, paths, partitions=3).collect()}
     assert got == {1: 1, 2: 1, 3: 2, 4: 2, 5: 2, 6: 3, 7: -1}
 
 
@@ -290,8 +290,8 @@ def test_changesets_plain_and_two_phase_agree(spark):
     revs = spark.createDataFrame(
         [(i, i % 5, i, users_[i % 6], comments[(i // 2) % 6], t + dt.timedelta(seconds=i)) for i in range(120)],
         "FileRevKey long, FilePathKey long, Revision long, Usr string, Comment string, CommitTime timestamp_ntz")
-    a = {r.FileRevKey: r.PromoteSeq for r in revisions.changesets(revs, paths, 5, max_group_rows=0).collect()}
-    b = {r.FileRevKey: r.PromoteSeq for r in revisions.changesets(revs, paths, max_group_rows=10_000).collect()}
+    a = {r.FileRevKey: r.PromoteSeq for r in revisions.changesets(revs, paths, 5).collect()}
+    b = {r.FileRevKey: r.PromoteSeq for r in revisions.changesets(revs, paths).collect()}
     assert a == b
 
 

@@ -14,7 +14,7 @@ def _rows(df, cols):
 def test_grouped_row_number_hot_group(spark):
     data = [(1 if i % 3 else i % 7, i) for i in range(600)] + [(None, i) for i in range(1000, 1010)]
     df = spark.createDataFrame(data, "g int, o int")
-    got = grouped_row_number(df, ["g"], ["o"], "rn", partitions=9, max_group_rows=0)
+    got = grouped_row_number(df, ["g"], ["o"], "rn", partitions=9)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     assert _rows(got, ["g", "o", "rn"]) == _rows(want, ["g", "o", "rn"])
 
@@ -23,7 +23,7 @@ def test_forward_fill_single_group_many_partitions(spark):
     data = [("f", i, (i if i % 37 == 0 else None)) for i in range(500)]
     data += [("g", i, None) for i in range(3)] + [("h", 5, 7), ("h", 6, None)]
     df = spark.createDataFrame(data, "f string, n int, v int")
-    got = forward_fill(df, ["f"], ["n"], "v", "filled", partitions=11, max_group_rows=0)
+    got = forward_fill(df, ["f"], ["n"], "v", "filled", partitions=11)
     w = Window.partitionBy("f").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("filled", F.last("v", ignorenulls=True).over(w))
     assert _rows(got, ["f", "n", "filled"]) == _rows(want, ["f", "n", "filled"])
@@ -31,7 +31,7 @@ def test_forward_fill_single_group_many_partitions(spark):
 
 def test_forward_fill_without_group(spark):
     df = spark.createDataFrame([(i, i if i % 50 == 3 else None) for i in range(400)], "n int, v int")
-    got = forward_fill(df, [], ["n"], "v", "filled", partitions=7, max_group_rows=0)
+    got = forward_fill(df, [], ["n"], "v", "filled", partitions=7)
     w = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("filled", F.last("v", ignorenulls=True).over(w))
     assert _rows(got, ["n", "filled"]) == _rows(want, ["n", "filled"])
@@ -46,7 +46,7 @@ def test_global_islands_equal_single_window(spark):
     comments = ["x", "x", "x", "x", "y", "y", "y", "z", "z"]
     data = [(i, users[i % 9], comments[(i // 2) % 9]) for i in range(300)]
     df = spark.createDataFrame(data, "t int, u string, c string")
-    got = global_islands(df, ["t"], _opens, ["u", "c"], "seq", partitions=13, max_group_rows=0)
+    got = global_islands(df, ["t"], _opens, ["u", "c"], "seq", partitions=13)
     w = Window.orderBy("t")
     flag = F.when(_opens({"u": F.lag("u").over(w), "c": F.lag("c").over(w)}, {"u": F.col("u"), "c": F.col("c")}),
                   1).otherwise(0)
@@ -58,9 +58,9 @@ def test_global_islands_equal_single_window(spark):
 def test_plain_path_equals_two_phase(spark):
     data = [(i % 5, i, i if i % 11 == 0 else None) for i in range(200)]
     df = spark.createDataFrame(data, "g int, o int, v int")
-    a = grouped_row_number(df, ["g"], ["o"], "rn", partitions=6, max_group_rows=0)
-    b = grouped_row_number(df, ["g"], ["o"], "rn", max_group_rows=10_000)
+    a = grouped_row_number(df, ["g"], ["o"], "rn", partitions=6)
+    b = grouped_row_number(df, ["g"], ["o"], "rn")
     assert _rows(a, ["g", "o", "rn"]) == _rows(b, ["g", "o", "rn"])
-    c = forward_fill(df, ["g"], ["o"], "v", "f", partitions=6, max_group_rows=0)
-    d = forward_fill(df, ["g"], ["o"], "v", "f", max_group_rows=10_000)
+    c = forward_fill(df, ["g"], ["o"], "v", "f", partitions=6)
+    d = forward_fill(df, ["g"], ["o"], "v", "f")
     assert _rows(c, ["g", "o", "f"]) == _rows(d, ["g", "o", "f"])
