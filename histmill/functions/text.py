@@ -61,6 +61,11 @@ def xml_escape(c: Column) -> Column:
     return F.replace(out, F.lit(">"), F.lit("&gt;"))
 
 
+def ci(c: Column) -> Column:
+    """Compare key under the source server's collation: case and trailing spaces do not count."""
+    return F.lower(F.rtrim(c))
+
+
 def sql_len(c: Column) -> Column:
     """SC8: T-SQL LEN ignores trailing spaces."""
     return F.length(F.rtrim(c))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from histmill.functions import codes
 from histmill.functions.dates import DEFAULT_UTC_OFFSET_HOURS, utc_iso
-from histmill.functions.text import (crlf_to_lf, first_sentence, has_non_space, trim_single_line, truthy,
+from histmill.functions.text import (ci, crlf_to_lf, first_sentence, has_non_space, trim_single_line, truthy,
                                      whitespace_to_underscore)
 from histmill.operators.releases import catalog_for_version
 from histmill.operators.status import defect_link_stats, derive_sdr_status, fix_link_stats
@@ -95,17 +95,48 @@ def direct_scope(defects: DataFrame, fixes: DataFrame, catalog: DataFrame) -> tu
     """Scope rows of every defect and fix with its own catalog release (the closure's seeds)."""
     c = catalog.select("ReleaseLev", "ReleaseID", "JIRABranch", "AffectsVersion", "FixedVersion")
     d = (defects.select("SDRNum", "Release", "Version")
-         .join(c, (F.col("Release") == F.col("ReleaseLev")) & (F.col("Version") == F.col("ReleaseID")))
+         .join(c, (ci(F.col("Release")) == ci(F.col("ReleaseLev"))) & (ci(F.col("Version")) == ci(F.col("ReleaseID"))))
          .select("SDRNum", F.col("Release").alias("ImportGroup"), F.col("JIRABranch").alias("Branch"),
                  F.col("AffectsVersion").alias("Version")))
     f = (fixes.select("TransmittalId", F.col("ReleaseLev").alias("_lev"), "RlsLevelTarget", "WaitingOn")
-         .join(c, (F.col("_lev") == F.col("ReleaseLev")) & (F.col("RlsLevelTarget") == F.col("ReleaseID")))
+         .join(c, (ci(F.col("_lev")) == ci(F.col("ReleaseLev"))) & (ci(F.col("RlsLevelTarget")) == ci(F.col("ReleaseID"))))
          .select("TransmittalId", F.col("_lev").alias("ImportGroup"), F.col("JIRABranch").alias("Branch"),
                  F.when(F.col("WaitingOn").isin(*codes.WAITING_DONE), F.col("FixedVersion"))
                  .otherwise(F.col("JIRABranch")).alias("Version")))
     return d, f
 
 
+def closure_scope(scope: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The closure's rows as the scope of defects and of fixes."""
+    def of(kind: str, key: str) -> DataFrame:
+        return scope.where(F.col("kind") == kind).select(F.col("id").alias(key), "ImportGroup", "Branch", "Version")
+
+    return of("sdr", "SDRNum"), of("fix", "TransmittalId")
+
+
+def user_references(defects: DataFrame, fixes: DataFrame, defect_log: DataFrame, fix_log: DataFrame,
+                    profile: ExportProfile) -> DataFrame:
+    """AGG7: one column ``ref`` with every user reference of the in-scope defects and fixes and
+    of their logs (blank ones included where the export writes the blank user)."""
+    keys = defects.select(F.col("SDRNum").alias("_k"))
+    log = defect_log.join(keys, F.col("SDR_Num") == F.col("_k"), "left_semi")
+    trans = fix_log.join(fixes.select(F.col("TransmittalId").alias("_k")), F.col("TransmittalID") == F.col("_k"),
+                         "left_semi")
+    parts = [
+        defects.where(truthy(F.col("Submitter"))).select(F.col("Submitter").alias("ref")),
+        defects.select(F.when(truthy(F.col("AssignedTo")), F.col("AssignedTo"))
+                       .otherwise(F.lit(profile.users.default_assignee)).alias("ref")),
+        log.where(truthy(F.col("Person"))).select(F.col("Person").alias("ref")),
+        log.where((F.lower("LineType") == "assigned") & truthy(F.col("ReasonCode"))).select(
+            F.col("ReasonCode").alias("ref")),
+        fixes.select(F.col("Analyst").alias("ref")), fixes.select(F.coalesce("QATester", "Analyst").alias("ref")),
+        trans.select(F.col("person").alias("ref"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def with_user(df: DataFrame, ref: str, out: str, records: DataFrame, profile: ExportProfile,
               only_if_truthy: bool = False) -> DataFrame:
     """JN11 applied to one column; ``only_if_truthy`` keeps falsy values as they are."""
@@ -369,7 +400,7 @@ def fix_issues(fixes: DataFrame, links: DataFrame, defects: DataFrame, tlog: Dat
         F.array(F.col("_scope_version")).alias("fixedVersions"),
         F.when(truthy(components), F.array(components)).alias("components"),
         summary.alias("summary"),
-        description.alias("description"),
+        F.when(truthy(description), description).alias("description"),
         F.lit("Resolution").alias("issueType"),
         F.when(F.size(labels) > 0, labels).alias("labels"),
         fields.alias("customFieldValues"),

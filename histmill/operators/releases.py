@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from histmill.functions.text import ci
+
 # ---- fixed values: release-id suffix rules, in source order ------------------
 # (suffixes, language label, hotfix label); a label of None leaves it untouched.
 SUFFIX_RULES: list[tuple[tuple[str, ...], str | None, str | None]] = [
@@ -189,10 +191,10 @@ def catalog_for_version(catalog: DataFrame, items: DataFrame, version_col: str,
     regrouped; the catalog columns (or only ``keep``) are appended to ``items``.
     """
     cols = catalog.columns  # starts with ReleaseLev, ReleaseID
-    exact = catalog.select(F.col("ReleaseID").alias("_cat_v"), F.col("ReleaseLev").alias("_cat_l"),
+    exact = catalog.select(ci(F.col("ReleaseID")).alias("_cat_v"), ci(F.col("ReleaseLev")).alias("_cat_l"),
                            F.struct(*cols).alias("_cat_exact"))
-    fallback = catalog.groupBy(F.col("ReleaseID").alias("_cat_fv")).agg(F.min(F.struct(*cols)).alias("_cat_fb"))
-    out = (items.join(exact, (F.col(version_col) == F.col("_cat_v")) & (F.col(level_col) == F.col("_cat_l")), "left")
-           .join(fallback, F.col(version_col) == F.col("_cat_fv"), "left")
+    fallback = catalog.groupBy(ci(F.col("ReleaseID")).alias("_cat_fv")).agg(F.min(F.struct(*cols)).alias("_cat_fb"))
+    out = (items.join(exact, (ci(F.col(version_col)) == F.col("_cat_v")) & (ci(F.col(level_col)) == F.col("_cat_l")), "left")
+           .join(fallback, ci(F.col(version_col)) == F.col("_cat_fv"), "left")
            .withColumn("_cat", F.coalesce("_cat_exact", "_cat_fb")))
     return out.select(*items.columns, *[F.col("_cat")[c].alias(c) for c in (keep or cols)])

@@ -13,17 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from histmill.functions.text import ci
 from histmill.operators.ordered import global_islands, grouped_running_sum
 from histmill.operators.texts import normalize_path
+from histmill.session import stage
 
 MONEY = "decimal(19,4)"
 
 
-def ci(c: Column) -> Column:
-    """Compare key under the source server's case-insensitive collation."""
-    return F.lower(c)
-
-
 # ---------------------------------------------------------------- duplicates ---
 
 def duplicate_groups(changes: DataFrame, keys: Sequence[str] = ("TransmittalID", "FCIndex")) -> DataFrame:
@@ -99,24 +96,32 @@ def live_children_of_deleted(paths: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ matching ---
 
-def _bucketed_range_join(claims: DataFrame, revs: DataFrame, lo: str, hi: str) -> DataFrame:
+def _range_join(claims: DataFrame, revs: DataFrame, lo: str, hi: str) -> DataFrame:
     """Join claims to revisions of the same path with ``lo < Revision <= hi``.
 
-    Instead of comparing every claim of a path with every revision of it, each
-    claim is exploded into the integer buckets ``floor(Revision)`` its range can
-    touch, clipped to the path's revision span, and equi-joined on
-    (path, bucket); the exact range test is the residual. With whole-number
-    revisions the work is proportional to the output.
+    Revisions of a path are numbered by the distributed running count, which also counts
+    them up to every bound that a claim names. A claim then covers the positions after its
+    lower bound's count up to its upper bound's: exactly the rows of the result, whatever
+    the gaps between revision numbers are, and an equi join on (path, position).
     """
-    span = revs.groupBy(F.col("FilePathKey").alias("_sp_key")).agg(
-        F.floor(F.min("Revision")).cast("long").alias("_min_b"), F.floor(F.max("Revision")).cast("long").alias("_max_b"))
-    c = claims.join(span, F.col("_c_path") == F.col("_sp_key"))
-    first_b = F.greatest(F.floor(F.col(lo)).cast("long"), F.col("_min_b"))
-    last_b = F.least(F.floor(F.col(hi)).cast("long"), F.col("_max_b"))
-    c = c.where(first_b <= last_b).withColumn("_b", F.explode(F.sequence(first_b, last_b)))
-    r = revs.select(F.col("FilePathKey").alias("_r_path"), F.floor("Revision").cast("long").alias("_rb"), "Revision", "FileRevKey")
-    j = c.join(r, (F.col("_c_path") == F.col("_r_path")) & (F.col("_b") == F.col("_rb")))
-    return j.where((F.col("Revision") > F.col(lo)) & (F.col("Revision") <= F.col(hi)))
+    wide = "decimal(23,4)"
+    known = revs.where(F.col("Revision").isNotNull()).select(
+        F.col("FilePathKey").alias("_path"), F.col("Revision").cast(wide).alias("_level"), F.lit(0).alias("_kind"),
+        F.col("FileRevKey").alias("_key"))
+    bounds = claims.select("_c_path", F.explode(F.array(F.col(lo).cast(wide), F.col(hi).cast(wide))).alias("_level"))
+    marks = bounds.distinct().select(F.col("_c_path").alias("_path"), "_level", F.lit(1).alias("_kind"),
+                                     F.lit(None).cast(revs.schema["FileRevKey"].dataType).alias("_key"))
+    counted = stage(grouped_running_sum(known.unionByName(marks), ["_path"], ["_level", "_kind", "_key"],
+                                        1 - F.col("_kind"), "_upto"))
+    upto = counted.where("_kind = 1").select("_path", "_level", "_upto")
+    low = upto.select(F.col("_path").alias("_lp"), F.col("_level").alias("_lv"), F.col("_upto").alias("_after"))
+    high = upto.select(F.col("_path").alias("_hp"), F.col("_level").alias("_hv"), F.col("_upto").alias("_until"))
+    placed = (claims.join(low, (F.col("_c_path") == F.col("_lp")) & (F.col(lo).cast(wide) == F.col("_lv")))
+              .join(high, (F.col("_c_path") == F.col("_hp")) & (F.col(hi).cast(wide) == F.col("_hv")))
+              .where("_until > _after").withColumn("_at", F.explode(F.sequence(F.col("_after") + 1, F.col("_until")))))
+    at = counted.where("_kind = 0").select(F.col("_path").alias("_r_path"), F.col("_upto").alias("_r_at"),
+                                           F.col("_key").alias("FileRevKey"))
+    return placed.join(at, (F.col("_c_path") == F.col("_r_path")) & (F.col("_at") == F.col("_r_at")))
 
 
 def _numeric_claims(changes: DataFrame) -> DataFrame:
@@ -137,7 +142,7 @@ def match_exact(changes: DataFrame, fixes: DataFrame, paths: DataFrame, revs: Da
     c = _numeric_claims(c.withColumn("_norm", normalize_path(F.col("FileChanged"), F.col("ReleaseLev"))))
     live = paths.where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_c_path"), ci(F.col("Path")).alias("_p"))
     c = c.join(live, ci(F.col("_norm")) == F.col("_p")).select("TransmittalID", "FCIndex", "_c_path", "_from", "_to")
-    m = _bucketed_range_join(c, revs, "_from", "_to")
+    m = _range_join(c, revs, "_from", "_to")
     return m.select("TransmittalID", "FCIndex", "FileRevKey")
 
 
@@ -153,7 +158,7 @@ def match_suffix(changes: DataFrame, fixes: DataFrame, paths: DataFrame, revs: D
     live = (paths.where(~F.col("Deleted") & (F.length(F.rtrim("Path")) > width))
             .select(F.col("FilePathKey").alias("_c_path"), ci(F.right(F.col("Path"), F.lit(width))).alias("_ps")))
     c = c.join(live, F.col("_suffix") == F.col("_ps")).select("TransmittalID", "FCIndex", "_c_path", "_from", "_to")
-    m = _bucketed_range_join(c, revs, "_from", "_to").select("TransmittalID", "FCIndex", "FileRevKey")
+    m = _range_join(c, revs, "_from", "_to").select("TransmittalID", "FCIndex", "FileRevKey")
     old = already.select(F.col("TransmittalID").alias("_o_fix"), F.col("FCIndex").alias("_o_idx"),
                          F.col("FileRevKey").alias("_o_rev"))
     return m.join(old, (F.col("TransmittalID") == F.col("_o_fix")) & (F.col("FCIndex") == F.col("_o_idx"))
@@ -162,11 +167,22 @@ def match_suffix(changes: DataFrame, fixes: DataFrame, paths: DataFrame, revs: D
 
 def match_all(changes, fixes, paths, revs, levels, width) -> DataFrame:
     """SET1: exact matches followed by the suffix matches that are new (link table)."""
-    exact = match_exact(changes, fixes, paths, revs, levels)
+    exact = stage(match_exact(changes, fixes, paths, revs, levels))
     return exact.withColumn("pass", F.lit(1)).unionByName(
         match_suffix(changes, fixes, paths, revs, levels, width, exact).withColumn("pass", F.lit(2)))
 
 
+def duplicate_links(links: DataFrame) -> DataFrame:
+    """DQ2 audit: link rows that occur more than once (must be empty)."""
+    return (links.groupBy("TransmittalID", "FCIndex", "FileRevKey").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1))
+
+
+def ungrouped_revisions(grouped: DataFrame) -> DataFrame:
+    """DQ2 audit: revisions without a changeset number (must be empty, the column is not nullable)."""
+    return grouped.where(F.col("PromoteSeq").isNull()).select("FileRevKey", "FilePathKey")
+
+
 def approximate_matches(links: DataFrame, changes: DataFrame, paths: DataFrame, revs: DataFrame) -> DataFrame:
     """DQ2 audit: link rows whose live path differs from the claimed path."""
     c = changes.select(F.col("TransmittalID").alias("_c_fix"), F.col("FCIndex").alias("_c_idx"), "FileChanged")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histmill.functions import codes
+from histmill.functions.text import ci
 from histmill.session import stage
 
 
@@ -30,16 +31,16 @@ def _nodes(defects: DataFrame, fixes: DataFrame, catalog: DataFrame, listed: Seq
     c = catalog.select("ReleaseLev", "ReleaseID", "JIRABranch", "AffectsVersion", "FixedVersion")
     fix_nodes = (fixes.where(F.col("ReleaseLev").isin(*listed))
                  .select("TransmittalId", F.col("ReleaseLev").alias("_lev"), "RlsLevelTarget", "WaitingOn")
-                 .join(c, (F.col("_lev") == F.col("ReleaseLev")) & (F.col("RlsLevelTarget") == F.col("ReleaseID")))
+                 .join(c, (ci(F.col("_lev")) == ci(F.col("ReleaseLev"))) & (ci(F.col("RlsLevelTarget")) == ci(F.col("ReleaseID"))))
                  .select(F.col("TransmittalId").cast("long").alias("fix"), F.col("_lev").alias("rel"),
                          F.col("JIRABranch").alias("f_branch"),
                          F.when(F.col("WaitingOn").isin(*codes.WAITING_DONE), F.col("FixedVersion"))
                          .otherwise(F.col("JIRABranch")).alias("f_version")))
     own = F.col("Release").isin(*listed)
     if inherit_version is not None:
-        own = own & (F.col("Version") != inherit_version)
+        own = own & (ci(F.col("Version")) != ci(F.lit(inherit_version)))
     defect_nodes = (defects.select("SDRNum", "Release", "Version")
-                    .join(c, (F.col("Release") == F.col("ReleaseLev")) & (F.col("Version") == F.col("ReleaseID")))
+                    .join(c, (ci(F.col("Release")) == ci(F.col("ReleaseLev"))) & (ci(F.col("Version")) == ci(F.col("ReleaseID"))))
                     .select(F.col("SDRNum").cast("long").alias("sdr"), F.col("Release").alias("rel"),
                             F.col("JIRABranch").alias("d_branch"), F.col("AffectsVersion").alias("d_version"),
                             F.coalesce(own, F.lit(False)).alias("own")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from histmill.functions import codes
 from histmill.operators.releases import apply_release_rules
 from histmill.session import stage
 from histmill.sources.views import view
@@ -18,6 +19,41 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(apply_release_rules(v(spark, sf_dir, "v_release")))
 
 
+def case_of(expr: str, table: dict, default: str | None = None) -> str:
+    """SQL for a code map of ``functions.codes``."""
+    arms = " ".join(f"when '{k}' then '{x}'" for k, x in table.items())
+    tail = "null" if default is None else f"'{default}'"
+    return f"case {expr} {arms} else {tail} end"
+
+
+DONE = ", ".join(f"'{w}'" for w in codes.WAITING_DONE)
+
+
+def link_stats_sql(name: str, keep: str = "true") -> str:
+    """CTE ``name``: per defect the number of its fixes, of the unresolved ones, and the least
+    of their highest defects; ``keep`` restricts the links."""
+    return f"""
+{name}_top as (
+  select TransmittalID, SDR_Num, max(SDR_Num) over (partition by TransmittalID) as top from v_link where {keep}),
+{name} as (
+  select t.SDR_Num, count(*) as TransCount, count(*) filter (coalesce(x.WaitingOn, '') not in ({DONE})) as UnresolvedCount,
+    min(t.top) as MinLastSDR
+  from {name}_top t join v_resolution x on x.TransmittalId = t.TransmittalID group by t.SDR_Num)"""
+
+
+# a defect's situation, from its row, its link statistics and its catalog row
+SITUATION_SQL = """coalesce(TransCount, 0) > 0 as has_fixes, coalesce(MinLastSDR = SDRNum, false) as leads,
+    coalesce(MinLastSDR > SDRNum, false) as follows,
+    coalesce(Status = 'C' and UnresolvedCount = 0 and IsReleased, false) as shipped"""
+STATUS_SQL = """if(has_fixes and leads, if(shipped, 'Resolved', 'Awaiting Resolutions'),
+    if(coalesce(Status, '') = 'O', 'Open', 'Resolved'))"""
+RESOLUTION_SQL = f"""case when has_fixes and follows then if(coalesce(Status, '') = 'O', '', 'Fixed Other')
+    when has_fixes then if(shipped, 'Fixed', 'Waiting')
+    when Status = 'W' then {case_of('ReasonCode', codes.WAITING_REASONS, '')}
+    when Status = 'C' then {case_of('ReasonCode', codes.CLOSED_REASONS, codes.CLOSED_REASON_DEFAULT)}
+    else '' end"""
+
+
 # Oracle twin of apply_release_rules over v_release, as staged CTEs in source order.
 # Every comparison is case-insensitive, as in the Spark rules.
 CATALOG_SQL = r"""
@@ -125,4 +161,5 @@ catalog as (
 
 def with_catalog(sql: str) -> str:
     """Prefix an oracle query that reads ``catalog`` with the staged catalog CTEs."""
-    return "with " + CATALOG_SQL.strip() + "\n" + sql.strip()
+    sql = sql.strip()
+    return "with " + CATALOG_SQL.strip() + ("" if sql.startswith(",") else "\n") + sql

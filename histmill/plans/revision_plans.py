@@ -43,10 +43,11 @@ paths as (
       and starts_with(lower(c.Path), lower(p.Path) || '/')) as Deleted
   from v_file_path c)"""
 
-NORM_SQL = """
-case when strpos(lower(np), 'r75/') between 1 and 3 then '$/R75/' || substring(np, strpos(lower(np), 'r75/') + 4, 99)
-     when strpos(lower(np), 'src/') between 1 and 7
-       then '$/R' || substring(replace(ReleaseLev, '.', ''), 1, 2) || '/' || substring(np, strpos(lower(np), 'src/'), 99)
+# a root marker within the first three characters, else a source marker within the first seven
+NORM_SQL = r"""
+case when regexp_matches(np, '(?is)^.{0,2}r75/') then regexp_replace(np, '(?is)^.{0,2}?r75/', '$/R75/')
+     when regexp_matches(np, '(?is)^.{0,6}src/')
+       then '$/R' || left(replace(ReleaseLev, '.', ''), 2) || '/' || regexp_replace(np, '(?is)^.{0,6}?(src/)', '\1')
      else np end"""
 
 CLAIMS_SQL = f"""
@@ -161,12 +162,12 @@ cs_flag as (
   from cs_rev where not Deleted
   window w as (order by CommitTime, u nulls first, FilePathKey, Revision, FileRevKey)),
 changesets as (
-  select FileRevKey, FilePathKey, Revision, Usr, Comment, CommitTime, Action,
+  select FileRevKey, FilePathKey, Revision, Usr, Comment, CommitTime, Action, Label,
     1 + sum(f) over (order by CommitTime, u nulls first, FilePathKey, Revision, FileRevKey
                      rows between unbounded preceding and current row) as PromoteSeq
   from cs_flag
   union all
-  select FileRevKey, FilePathKey, Revision, Usr, Comment, CommitTime, Action, -1 from cs_rev where Deleted)"""
+  select FileRevKey, FilePathKey, Revision, Usr, Comment, CommitTime, Action, Label, -1 from cs_rev where Deleted)"""
 
 
 def changeset_frame(spark, sf, paths=None):
@@ -182,7 +183,8 @@ def changesets(spark, sf):
 
 
 @query("history_report", oracle=f"""with {CHANGESET_SQL.strip()}
-select cast(c.PromoteSeq as bigint) as PromoteSeq, p.Path, c.Revision, c.Usr, c.CommitTime, c.Comment, c.Action
+select cast(c.PromoteSeq as bigint) as PromoteSeq, p.Path, c.Revision, c.Usr, c.CommitTime, c.Comment, c.Action,
+  c.Label
 from changesets c join paths p on p.FilePathKey = c.FilePathKey where not p.Deleted""")
 def history_report(spark, sf):
     """RPT1 + SRT1: live history with its changeset numbers, sorted by changeset then path descending."""
@@ -191,21 +193,20 @@ def history_report(spark, sf):
     p = paths.where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_pk"), "Path")
     return (cs.join(p, F.col("FilePathKey") == F.col("_pk"))
             .select(F.col("PromoteSeq").cast("long").alias("PromoteSeq"), "Path", "Revision", "Usr", "CommitTime",
-                    "Comment", "Action")
+                    "Comment", "Action", "Label")
             .orderBy(F.col("PromoteSeq").asc(), F.col("Path").desc(), F.col("Revision").asc()))
 
 
-@query("linkage_report", oracle=f"""with {RENUMBER_SQL.strip()}, {CHANGESET_SQL.strip()}, {CLAIMS_SQL.strip()}
-select cast(c.PromoteSeq as bigint) as PromoteSeq, p.Path, c.Revision, c.Usr, c.CommitTime, c.Action,
-  left(c.Comment, 40) as comment_first_40, xr.TransmittalID, xr.RevisionLevelFrom, xr.readme_first_40
-from changesets c join paths p on p.FilePathKey = c.FilePathKey
-left join (
-  select l.TransmittalID, l.FileRevKey, fc.RevisionLevelFrom, substring(fc.ReadMe, 1, 40) as readme_first_40
-  from links l left join (
-    select f.TransmittalID, f.FCIndex, f.RevisionLevelFrom, x.ReadMe
-    from renumbered f join v_resolution x on x.TransmittalId = f.TransmittalID) fc
-  on fc.TransmittalID = l.TransmittalID and fc.FCIndex = l.FCIndex) xr on xr.FileRevKey = c.FileRevKey
-where not p.Deleted""")
+@query("linkage_report", oracle=f"""with {RENUMBER_SQL.strip()}, {CHANGESET_SQL.strip()}, {CLAIMS_SQL.strip()},
+claimed as (
+  select n.TransmittalID, n.FCIndex, n.RevisionLevelFrom, left(x.ReadMe, 40) as excerpt
+  from renumbered n join v_resolution x on x.TransmittalId = n.TransmittalID),
+linked as (
+  select FileRevKey, links.TransmittalID, RevisionLevelFrom, excerpt from links left join claimed using (TransmittalID, FCIndex)),
+live as (select FilePathKey, Path from paths where not Deleted)
+select cast(PromoteSeq as bigint) as PromoteSeq, Path, Revision, Usr, CommitTime, Action,
+  left(Comment, 40) as comment_first_40, TransmittalID, RevisionLevelFrom, excerpt as readme_first_40
+from changesets join live using (FilePathKey) left join linked using (FileRevKey)""")
 def linkage_report(spark, sf):
     """RPT2 + JN9: history left-joined to (links left-joined to (claims joined to fixes)), 40-char excerpts."""
     paths, renum = propagated_paths(spark, sf), renumbered(spark, sf)
@@ -223,7 +224,22 @@ def linkage_report(spark, sf):
     out = cs.join(p, F.col("FilePathKey") == F.col("_pk")).join(right, F.col("FileRevKey") == F.col("_l_rev"), "left")
     return out.select(F.col("PromoteSeq").cast("long").alias("PromoteSeq"), "Path", "Revision", "Usr", "CommitTime",
                       "Action", F.left("Comment", F.lit(40)).alias("comment_first_40"), "TransmittalID",
-                      "RevisionLevelFrom", "readme_first_40")
+                      "RevisionLevelFrom", "readme_first_40").orderBy(
+                          F.col("TransmittalID").asc_nulls_first(), "PromoteSeq", "Path", "Revision")
+
+
+@query("audit_duplicate_links", oracle=f"""with {RENUMBER_SQL.strip()}, {PATHS_SQL.strip()}, {CLAIMS_SQL.strip()}
+select TransmittalID, FCIndex, FileRevKey, count(*) as n from links group by all having count(*) > 1""")
+def audit_duplicate_links(spark, sf):
+    """DQ2: link rows that occur more than once."""
+    return rv.duplicate_links(match_links(spark, sf))
+
+
+@query("audit_ungrouped_revisions", oracle=f"""with {CHANGESET_SQL.strip()}
+select FileRevKey, FilePathKey from changesets where PromoteSeq is null""")
+def audit_ungrouped_revisions(spark, sf):
+    """DQ2: revisions left without a changeset number (expected empty)."""
+    return rv.ungrouped_revisions(changeset_frame(spark, sf))
 
 
 TREE_SQL = f"""

@@ -9,8 +9,10 @@ from histmill.plans.registry import query
 RELEASES = ("L0", "L1")
 
 
-def _closure_sql(releases=RELEASES) -> str:
+def closure_ctes(releases=RELEASES, inherit_version: str | None = None) -> str:
+    """The closure as recursive CTEs; the last one is ``scope`` (kind, id, ImportGroup, Branch, Version)."""
     listed = "(" + ", ".join(f"'{r}'" for r in releases) + ")"
+    special = f" and lower(s.Version) <> lower('{inherit_version}')" if inherit_version else ""
     parts = [CATALOG_SQL.strip(), f"""
 fixn as (
   select r.TransmittalId as id, r.ReleaseLev as rel, c.JIRABranch as br,
@@ -19,7 +21,7 @@ fixn as (
   where r.ReleaseLev in {listed}),
 sdrn as (
   select s.SDRNum as id, s.Release as rel, c.JIRABranch as br, c.AffectsVersion as ver,
-    coalesce(s.Release in {listed}, false) as own
+    coalesce(s.Release in {listed}{special}, false) as own
   from v_sdr s join catalog c on c.ReleaseLev = s.Release and c.ReleaseID = s.Version),
 lnk as (select distinct TransmittalID as f, SDR_Num as d from v_link),
 listed_linked as (
@@ -58,15 +60,26 @@ rows{i} as (
   select 'sdr', s.id, '{rel}', n.br, n.ver from seedd{i} s join sdrn n on n.id = s.id
     where ('sdr', s.id) not in (select kind, id from lvl{i}))""")
         done = f"{done} union all select kind, id from rows{i}"
-    body = ",".join(parts)
     union = " union all ".join(f"select * from rows{i}" for i in range(len(releases)))
-    return f"with recursive {body}\nselect kind, id, ImportGroup, Branch, Version from ({union})"
+    return ",".join([*parts, f"\nscope as ({union})"])
 
 
-@query("closure_issues", oracle=_closure_sql())
+INHERITED = "7.11"
+
+
+@query("closure_issues", oracle=f"with recursive {closure_ctes()}\nselect kind, id, ImportGroup, Branch, Version from scope")
 def closure_issues(spark, sf):
     """FIX1 + FIX2 + FLT2 + SRT3: per listed release in order, seeds then alternating
     defect / fix expansion to a fixpoint (semi-naive, checkpointed frontiers)."""
     out = sc.closure_issues(v(spark, sf, "v_link"), v(spark, sf, "v_sdr"), v(spark, sf, "v_resolution"),
                             catalog(spark, sf), RELEASES)
     return out.select("kind", "id", "ImportGroup", "Branch", "Version")
+
+
+@query("closure_inherited", oracle=f"with recursive {closure_ctes(inherit_version=INHERITED)}\n"
+       "select kind, id, ImportGroup, Branch, Version from scope")
+def closure_inherited(spark, sf):
+    """FIX2: defects of the special version inherit branch and version from their fixes."""
+    out = sc.closure_issues(v(spark, sf, "v_link"), v(spark, sf, "v_sdr"), v(spark, sf, "v_resolution"),
+                            catalog(spark, sf), RELEASES, inherit_version=INHERITED)
+    return out.select("kind", "id", "ImportGroup", "Branch", "Version")

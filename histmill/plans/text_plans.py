@@ -8,6 +8,7 @@ from histmill.functions.text import crlf_to_lf, first_sentence, trim_single_line
 from histmill.operators import texts
 from histmill.plans.common import v
 from histmill.plans.registry import query
+from histmill.plans.revision_plans import NORM_SQL
 from histmill.sources.tables import read_table
 
 TAB = "chr(9)"
@@ -33,18 +34,12 @@ def first_sentence_q(spark, sf):
     return docs.select("doc_id", first_sentence(crlf_to_lf(F.col("text"))).alias("summary"))
 
 
-@query("path_normalize", oracle=r"""
-with np as (
+@query("path_normalize", oracle=f"""
+with claim_paths as (
   select f.TransmittalID, f.FCIndex, f.FileChanged, r.ReleaseLev,
-    replace(rtrim(ltrim(replace(f.FileChanged, chr(9), ''))), chr(92), '/') as p
+    replace(rtrim(ltrim(replace(f.FileChanged, chr(9), ''))), chr(92), '/') as np
   from v_file_change f join v_resolution r on r.TransmittalId = f.TransmittalID)
-select TransmittalID, FCIndex, FileChanged,
-  case when strpos(lower(p), 'r75/') between 1 and 3
-         then '$/R75/' || substring(p, strpos(lower(p), 'r75/') + 4, 99)
-       when strpos(lower(p), 'src/') between 1 and 7
-         then '$/R' || substring(replace(ReleaseLev, '.', ''), 1, 2) || '/' || substring(p, strpos(lower(p), 'src/'), 99)
-       else p end as NormalPath
-from np""")
+select TransmittalID, FCIndex, FileChanged, {NORM_SQL.strip()} as NormalPath from claim_paths""")
 def path_normalize(spark, sf):
     """SC3 + SC11: normalised claim path (needs the fix's release level)."""
     f = v(spark, sf, "v_file_change").select("TransmittalID", "FCIndex", "FileChanged")
@@ -54,9 +49,14 @@ def path_normalize(spark, sf):
                     texts.normalize_path(F.col("FileChanged"), F.col("ReleaseLev")).alias("NormalPath"))
 
 
+#: An invented pair for the optional namespace rewrite.
+NAMESPACE = ("\\Brand1", "\\Ns.BrandOne")
+REWRITES = texts.rewrite_pairs(NAMESPACE)
+
+
 def _rewrite_sql(expr: str) -> str:
     out = expr
-    for old, new in texts.PATH_REWRITES:
+    for old, new in REWRITES:
         pat = "".join("\\" + ch if ch in "\\.$[](){}*+?^|" else ch for ch in old)
         out = f"regexp_replace({out}, '{pat}', '{new.replace(chr(92), chr(92) * 2)}', 'gi')"
     return f"rtrim(ltrim({out}))"
@@ -67,7 +67,7 @@ select TransmittalID, FCIndex, FileChanged, {_rewrite_sql('FileChanged')} as Mod
 def path_rewrite(spark, sf):
     """SC1: ordered, case-insensitive rewrite chain on every claimed path."""
     f = v(spark, sf, "v_file_change").select("TransmittalID", "FCIndex", "FileChanged")
-    return f.withColumn("ModifiedFileChanged", texts.rewrite_path(F.col("FileChanged")))
+    return f.withColumn("ModifiedFileChanged", texts.rewrite_path(F.col("FileChanged"), REWRITES))
 
 
 MANIFEST_TARGET_LIKE = "7.1_%"
@@ -76,24 +76,29 @@ MANIFEST_EXCLUDED = ((32, 2), (33, 3))
 
 
 @query("copy_manifest", oracle=f"""
-select 0 as seq, cast(null as varchar) as path, 'set fromdir=c:' || chr(92) || 'fromdir' || chr(10) || 'set todir=c:' || chr(92) || 'todir' || chr(10) as line
+with wanted as (
+  select TransmittalId from v_resolution where RlsLevelTarget ilike '7.1_%'
+  union select TransmittalId from v_resolution where TransmittalId in (3, 5, 7)),
+excluded(fix, idx) as (values (32, 2), (33, 3)),
+picked as (
+  select f.FileChanged from v_file_change f semi join wanted w on w.TransmittalId = f.TransmittalID
+  where f.FileChanged > '' and not contains(lower(f.FileChanged), '/translation/transaction')
+    and not exists (select 1 from excluded e where e.fix = f.TransmittalID and (f.FCIndex is null or f.FCIndex = e.idx)))
+select 0 as seq, cast(null as varchar) as path,
+  concat('set fromdir=c:', chr(92), 'fromdir', chr(10), 'set todir=c:', chr(92), 'todir', chr(10)) as line
 union all
-select 1, m, 'XCOPY /Y "%fromdir%' || m || '" "%todir%' || m || '*"' || chr(10) from (
-  select distinct {_rewrite_sql('f.FileChanged')} as m
-  from v_resolution r join v_file_change f on f.TransmittalID = r.TransmittalId
-  where (r.RlsLevelTarget like '7.1_%' or r.TransmittalId in (3, 5, 7)) and f.FileChanged > ''
-    and not (r.TransmittalId = 32 and f.FCIndex = 2) and not (r.TransmittalId = 33 and f.FCIndex = 3)
-    and f.FileChanged not like '%/Translation/Transaction%')""")
+select 1, m, concat('XCOPY /Y "%fromdir%', m, '" "%todir%', m, '*"', chr(10))
+from (select distinct {_rewrite_sql('FileChanged')} as m from picked)""")
 def copy_manifest_q(spark, sf):
     """SNK6 + AGG5: copy commands for the distinct rewritten paths of the selected fixes."""
     r = v(spark, sf, "v_resolution").select("TransmittalId", "RlsLevelTarget")
     f = v(spark, sf, "v_file_change").select(F.col("TransmittalID").alias("_fix"), "FCIndex", "FileChanged")
-    cond = (F.col("RlsLevelTarget").like(MANIFEST_TARGET_LIKE) | F.col("TransmittalId").isin(*MANIFEST_FIX_IDS)) \
-        & (F.col("FileChanged") > "") & ~F.col("FileChanged").like("%/Translation/Transaction%")
+    cond = (F.col("RlsLevelTarget").ilike(MANIFEST_TARGET_LIKE) | F.col("TransmittalId").isin(*MANIFEST_FIX_IDS)) \
+        & (F.col("FileChanged") > "") & ~F.col("FileChanged").ilike("%/Translation/Transaction%")
     for fix, idx in MANIFEST_EXCLUDED:
         cond = cond & ~((F.col("TransmittalId") == fix) & (F.col("FCIndex") == idx))
     picked = r.join(f, F.col("TransmittalId") == F.col("_fix")).where(cond)
-    return texts.copy_manifest(picked.select(texts.rewrite_path(F.col("FileChanged")).alias("ModifiedFileChanged")))
+    return texts.copy_manifest(picked.select(texts.rewrite_path(F.col("FileChanged"), REWRITES).alias("ModifiedFileChanged")))
 
 
 PAYLOAD_LEVELS = ("L0", "L1", "L3")

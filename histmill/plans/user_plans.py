@@ -33,10 +33,7 @@ def suffix_rules(spark, sf):
         "ReleaseLev", "ReleaseID", "LanguageLabel", "HotfixLabel", "AffectsVersion")
 
 
-FLIP_SQL = """case when strpos(ExchangeName, ',') > 1
-  then ltrim(substring(ExchangeName, strpos(ExchangeName, ',') + 1, 35)) || ' '
-       || substring(ExchangeName, 1, strpos(ExchangeName, ',') - 1)
-  else ExchangeName end"""
+FLIP_SQL = r"regexp_replace(ExchangeName, '^([^,]+), *(.*)$', '\2 \1', 's')"
 
 
 @query("name_flip", oracle=f"select NTUserName, {FLIP_SQL} as FullName from v_user")

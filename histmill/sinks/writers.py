@@ -46,6 +46,10 @@ def write_report(report: DataFrame, path: str) -> None:
      .write.mode("overwrite").option("header", True).csv(path))
 
 
+#: Non-ASCII characters are written as escapes in every part of the import document.
+ASCII = {"writeNonAsciiCharacterAsCodePoint": "true"}
+
+
 def write_import(path: str, issue_docs: DataFrame, users: DataFrame, components: DataFrame, versions: DataFrame,
                  links: DataFrame, project_name: str, project_key: str) -> None:
     """SNK1 + CMP7: the import as four outputs under ``path``: ``issues/`` (one canonical
@@ -53,14 +57,14 @@ def write_import(path: str, issue_docs: DataFrame, users: DataFrame, components:
     ``links/`` and ``project/`` (name, key, sorted components and versions). Each is a
     distributed write; nothing is assembled into a single value."""
     write_issue_documents(issue_docs, f"{path}/issues")
-    user_doc = F.to_json(F.struct(*[F.col(c) for c in sorted(users.columns) if c != "user_key"]))
+    user_doc = F.to_json(F.struct(*[F.col(c) for c in sorted(users.columns) if c != "user_key"]), ASCII)
     users.orderBy("name").select(user_doc.alias("json")).write.mode("overwrite").text(f"{path}/users")
-    link_doc = F.to_json(F.struct("destinationId", "name", "sourceId"))
+    link_doc = F.to_json(F.struct("destinationId", "name", "sourceId"), ASCII)
     links.select(link_doc.alias("json")).write.mode("overwrite").text(f"{path}/links")
     comps = components.select(F.lit(0).alias("seq"), F.col("name"))
     vers = versions.select(F.lit(1).alias("seq"), F.col("name"))
     head = components.sparkSession.createDataFrame([(project_name, project_key)], "pname string, pkey string")
     rows = comps.unionByName(vers).orderBy("seq", "name").select(
         F.when(F.col("seq") == 0, F.lit("component")).otherwise(F.lit("version")).alias("kind"), "name")
-    head.write.mode("overwrite").json(f"{path}/project/header")
-    rows.write.mode("overwrite").json(f"{path}/project/entries")
+    head.write.mode("overwrite").options(**ASCII).json(f"{path}/project/header")
+    rows.write.mode("overwrite").options(**ASCII).json(f"{path}/project/entries")

@@ -79,7 +79,8 @@ select event_id as FileRevKey, event_id % (select count(*) from part) as FilePat
  1 + cast(floor(event_id / (select count(*) from part)) as bigint) as Revision,
  'user' || cast(user_id % 2 as varchar(9)) as Usr,
  case when event_type in ('error', 'click') then 'fix it' when event_type = 'view' then ' fixit'
-  when event_type = 'signup' then 'new' end as Comment, ts as CommitTime, event_type as Action from events""",
+  when event_type = 'signup' then 'new' end as Comment, ts as CommitTime, event_type as Action,
+ case when user_id % 7 = 0 then 'label ' || event_type end as Label from events""",
     "v_sdr_log": """
 select event_id, event_id % (select count(*) from part) as SDR_Num, ts as EntryDate,
  case when user_id % 9 > 0 then 'user' || cast(user_id % 40 as varchar(9)) end as Person,

@@ -35,9 +35,9 @@ def test_closure_unique_and_closed(spark):
     scope = Q["closure_issues"](spark, SF)
     assert scope.groupBy("kind", "id").count().where("count > 1").count() == 0
     cat = catalog(spark, SF)
-    fixes = (v(spark, SF, "v_resolution").where(F.col("ReleaseLev").isin(*RELEASES))
-             .join(cat, (F.col("RlsLevelTarget") == F.col("ReleaseID")) & (v(spark, SF, "v_resolution").ReleaseLev
-                                                                          == cat.ReleaseLev))
+    res = v(spark, SF, "v_resolution")
+    fixes = (res.where(F.col("ReleaseLev").isin(*RELEASES))
+             .join(cat, (F.col("RlsLevelTarget") == F.col("ReleaseID")) & (res.ReleaseLev == cat.ReleaseLev))
              .select(F.col("TransmittalId").alias("fix")))
     defects = (v(spark, SF, "v_sdr").join(cat, (F.col("Version") == F.col("ReleaseID"))
                                           & (F.col("Release") == F.col("ReleaseLev")))
