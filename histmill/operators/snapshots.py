@@ -6,11 +6,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmill.functions.dates import parse_iso
 from histmill.operators.ordered import forward_fill
+from histmill.session import stage
 
 
 @dataclass(frozen=True)
@@ -56,49 +57,32 @@ def labels_frame(spark: SparkSession, labels: Sequence[tuple[str, str]]) -> Data
             .withColumn("label_time", parse_iso(F.col("label_text"))).drop("label_text"))
 
 
-def asof_labels(labels: DataFrame, checkins: DataFrame, label_times: Sequence[str], tran_col: str = "tran_num",
+def asof_labels(labels: DataFrame, checkins: DataFrame, tran_col: str = "tran_num",
                 time_col: str = "checkin_time", order_col: str = "line_no") -> DataFrame:
     """JN13 + AGG11: for each label, the transaction of the latest check-in at or before the
-    label time (ties: the highest transaction), with that transaction's first check-in time.
-
-    ``label_times`` is the driver-side list of label times (its length bounds the
-    literal array below). No (check-in, label) pairs are formed: each check-in
-    gets the number of label times before it (its bucket), one grouped arg-max per
-    bucket is taken (partial aggregation, at most len(labels)+1 rows), and a running
-    max over that tiny table answers every label.
-    """
-    ordered = sorted({t for t in label_times})
-    bounds = F.array(*[parse_iso(F.lit(t)) for t in ordered])
-    bucket = F.aggregate(bounds, F.lit(0), lambda acc, t: acc + F.when(t < F.col(time_col), 1).otherwise(0))
-    best = F.struct(F.col(time_col).alias("t"), F.col(tran_col).alias("tran"))
-    per_bucket = checkins.groupBy(bucket.alias("_b")).agg(F.max(best).alias("_best"))
-    # label at sorted position j sees every bucket <= j: a running max over the
-    # dense bucket list (len(labels) rows, one small task), then an equi join
-    positions = labels.sparkSession.createDataFrame([(i, t) for i, t in enumerate(ordered)], "_j int, _lt string")
-    running = (positions.join(F.broadcast(per_bucket), F.col("_j") == F.col("_b"), "left")
-               .withColumn("_m", F.max("_best").over(Window.orderBy("_j").rowsBetween(Window.unboundedPreceding, 0))))
-    matched = running.select(parse_iso(F.col("_lt")).alias("_ltime"), F.col("_m.tran").alias("tran_num"),
-                             F.col("_m.t").alias("matched_time"))
-    found = matched.where(F.col("tran_num").isNotNull()).select(F.col("tran_num").alias("_ft"))
-    firsts = (checkins.join(F.broadcast(found), F.col(tran_col) == F.col("_ft"), "left_semi")
+    label time (ties: the highest transaction), with that transaction's first check-in time."""
+    matched = stage(asof_labels_sorted(labels, checkins, tran_col, time_col))
+    found = matched.where(F.col("tran_num").isNotNull()).select(F.col("tran_num").alias("_ft")).distinct()
+    firsts = (checkins.join(found, F.col(tran_col) == F.col("_ft"), "left_semi")
               .groupBy(F.col(tran_col).alias("_ft")).agg(F.min_by(time_col, order_col).alias("first_time")))
-    out = labels.join(F.broadcast(matched), F.col("label_time") == F.col("_ltime"), "left").drop("_ltime")
-    return out.join(firsts, F.col("tran_num") == F.col("_ft"), "left").drop("_ft")
+    return matched.join(firsts, F.col("tran_num") == F.col("_ft"), "left").drop("_ft")
 
 
 def asof_labels_sorted(labels: DataFrame, checkins: DataFrame, tran_col: str = "tran_num",
                        time_col: str = "checkin_time") -> DataFrame:
-    """JN13 for an unbounded label set: union both sides and carry the latest
-    transaction forward in time order (distributed forward fill).
+    """JN13 for any number of labels: union both sides and carry the latest check-in forward in
+    time order (distributed forward fill). No (check-in, label) pairs are formed.
 
     Check-ins at the same time are ordered by transaction, so the highest one wins.
     """
     events = checkins.select(F.col(time_col).alias("_t"), F.lit(0).alias("_kind"),
-                             F.col(tran_col).alias("_tran"), F.lit(None).cast("int").alias("seq"))
+                             F.col(tran_col).cast("long").alias("_tran"), F.lit(None).cast("int").alias("seq"))
     marks = labels.select(F.col("label_time").alias("_t"), F.lit(1).alias("_kind"),
                           F.lit(None).cast("long").alias("_tran"), "seq")
-    filled = forward_fill(events.unionByName(marks), [], ["_t", "_kind", "_tran"], "_tran", "tran_num")
-    return labels.join(filled.where(F.col("_kind") == 1).select("seq", "tran_num"), "seq", "left")
+    both = events.unionByName(marks).withColumn("_hit", F.when(F.col("_kind") == 0, F.struct("_tran", "_t")))
+    filled = forward_fill(both, [], ["_t", "_kind", "_tran"], "_hit", "_last")
+    return labels.join(filled.where(F.col("_kind") == 1).select(
+        "seq", F.col("_last._tran").alias("tran_num"), F.col("_last._t").alias("matched_time")), "seq", "left")
 
 
 def promote_set(checkins: DataFrame, initial: DataFrame, ga_time: str, tran_col: str = "tran_num",

@@ -84,7 +84,7 @@ from labels l left join m on m.seq = l.seq left join f on f.tran_num = m.tran_nu
 def asof_label(spark, sf):
     """JN13 + AGG11 + SRC6: snapshot labels resolved to the latest transaction at or before them."""
     labels = sn.labels_frame(spark, LABELS)
-    return sn.asof_labels(labels, checkins(spark, sf), [t for _, t in LABELS]).select(
+    return sn.asof_labels(labels, checkins(spark, sf)).select(
         "seq", "label", "label_time", "tran_num", "matched_time", "first_time")
 
 

@@ -1,8 +1,9 @@
 """File sources (SRC2, SRC3, SRC4, SRC7): line-oriented text and nested JSON.
 
-Text files are read with ``spark.read.text`` (splittable); the line order
-inside a file comes from ``monotonically_increasing_id``, which increases with
-the position in the file for a file read as ordered splits.
+Text files are read with ``spark.read.text`` (splittable). A line's number is the start of
+its block in the file plus its row number in the task: it rises along the file however the
+blocks are dealt to tasks, since a block has at least as many bytes as lines and only a
+file's last block shares its task with others.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ LEAD_LINE = r"^([^,]*),([^,\n]*)$"
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, value) for every line of the text files under ``path``."""
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return (spark.read.text(path)
-            .select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line_no"), "value"))
+            .select(F.col("_metadata.file_path").alias("file"),
+                    (F.col("_metadata.file_block_start") + in_task).alias("line_no"), "value"))
 
 
 def component_leads(lines: DataFrame, text_col: str = "value", order_col: str = "line_no") -> DataFrame:
