@@ -7,9 +7,8 @@
 3. A band bucket links its members to its smallest one: candidates, never all pairs. The
    packed bits give an estimate of the similarity by bit counts, corrected for the matches
    that two-bit values have by chance, and candidates more than five standard deviations
-   below the threshold go. The best candidate of each class is then confirmed on the full
-   sets, components are formed, and the other candidates are confirmed where they would
-   still join two components.
+   below the threshold go. The others (at most one per class and band) are confirmed on the
+   full sets, and components are formed.
 4. Where the members of a leader's buckets are still in more than one component, pairs
    across components are found by an exact prefix filter on the members' differences from
    the leader (``_cross_pairs``), tested by bit counts and confirmed. No pair that a bucket
@@ -254,34 +253,14 @@ def _labelled(df: DataFrame, node: str, label: str, labels: DataFrame) -> DataFr
             .withColumn(label, F.coalesce("__l", F.col(node))).drop("__n", "__l"))
 
 
-def _join_components(pending: DataFrame, links: DataFrame, texts: DataFrame, width: int, percent: int,
-                     picks: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Confirm candidates (a, b, est) until none could still join two components.
-
-    The first rounds take one candidate per class, its most similar; the last takes all
-    that are left. Returns the links and their components.
-    """
-    labels = stage(components(links))
-    for k in range(picks + 1):
-        split = _labelled(_labelled(pending, "a", "la", labels), "b", "lb", labels).filter("la <> lb")
-        split = stage(split.select("a", "b", "est"))
-        if split.isEmpty():
-            break
-        if k < picks:
-            best = split.groupBy("a").agg(F.max(F.struct("est", (-F.col("b")).alias("m"))).alias("x"))
-            now = stage(best.select("a", (-F.col("x.m")).alias("b")))
-            pending = stage(split.join(now, ["a", "b"], "left_anti"))
-        else:
-            now, pending = split, None
-        new = confirm(now, texts, width, percent)
-        links = stage(links.unionByName(new))
-        drop_stage(split)
-        if not new.isEmpty():
-            drop_stage(labels)
-            labels = stage(components(links))
-        if pending is None:
-            break
-    return links, labels
+def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: components of the labels that the links join, then applied."""
+    joined = _labelled(_labelled(links, "a", "la", labels), "b", "lb", labels)
+    over = components(joined.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    nodes = labels.select("node", "label").unionByName(
+        links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        .join(labels, "node", "left_anti").withColumn("label", F.col("node")))
+    return stage(_labelled(nodes, "label", "to", over).select("node", F.col("to").alias("label")))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -312,9 +291,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                 .select("a", "b", estimate("x", "y").alias("est")).filter(F.col("est") >= cut))
 
     stars = members.filter("node <> lo").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct()
-    pending = stage(with_bits(stars))
-    none = pending.select("a", "b").limit(0)
-    links, labels = _join_components(pending, none, texts, width, percent)
+    labels = components(confirm(with_bits(stars), texts, width, percent))
 
     # groups of a leader that are still in several components
     grouped = stage(_labelled(members.select("node", "lo").distinct(), "node", "label", labels))
@@ -325,7 +302,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     if not split.isEmpty():
         stars = stage(grouped.join(split, "lo").filter("node <> lo"))
         cross = _cross_pairs(stars, texts, width, percent)
-        links, labels = _join_components(stage(with_bits(cross)), links, texts, width, percent)
+        labels = _with_links(labels, confirm(with_bits(cross), texts, width, percent))
 
     of_class = stage(_labelled(classes, "rep", "label", labels).select("s1", "s2", "label"))
     of_rows = known.select("doc_id", "n_shingles", "s1", "s2").join(of_class, ["s1", "s2"])
