@@ -436,9 +436,12 @@ def labelled_pages(sources: list[str], seed: int = 9) -> list[Page]:
 
 
 def fit(pages: DataFrame) -> Model:
-    """Train on at most SAMPLE pages, those with the smallest hash."""
-    sample = (pages.filter("html is not null").select("html").orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
-              .collect())
+    """Train on at most SAMPLE different pages, those with the smallest hash."""
+    # the hashes first (8 bytes a row from each task), then the few pages that have them
+    hashed = pages.filter("html is not null").select("html", F.xxhash64("html").alias("__h"))
+    least = [r[0] for r in hashed.select("__h").distinct().orderBy("__h").limit(SAMPLE).collect()]
+    sample = hashed.filter(F.col("__h").isin(least)).select("html").distinct().collect() if least else []
+    sample = sorted(sample, key=lambda r: r["html"])
     return train(labelled_pages([r["html"] for r in sample]))
 
 
