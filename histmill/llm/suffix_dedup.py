@@ -8,8 +8,17 @@ others are sorted by their words (as hashes of ten-word blocks) and, a second ti
 words before them; in both orders a suffix meets its nearest neighbours from other
 documents. The sort is a range partitioning written to a stage table, so a passage that a
 third of all documents hold spreads over as many ranges as it fills, and each of its
-suffixes still has only four neighbours. Neighbours are extended word by word to the left
-and right in the full texts; matches of at least ``words`` words are the result.
+suffixes still has only four neighbours.
+
+The nearest neighbours need not be those that share ``words`` words around a suffix, so the
+windows of ``words`` words are compared as well. A suffix stands for the windows that choose
+it, and suffixes that agree in all words of these are one class. A class of several documents
+links its members to its first or last document. Windows of the other classes are hashed one
+by one and linked to the first or last document with the same hash, so that every repeated
+window has a partner, at a cost linear in the text.
+
+Pairs of both kinds are extended word by word to the left and right in the full texts;
+matches of at least ``words`` words are the result.
 
 Words are what white space (space, \\t..\\r) separates, with A-Z lower-cased.
 
@@ -21,6 +30,7 @@ one document, represented by its longest text; an empty table gives an empty res
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histmill.llm.common import ensure_columns, shuffle_partitions, small_batches, stage
+from histmill.llm.common import drop_stage, ensure_columns, shuffle_partitions, small_batches, stage
 
 WORDS = 50
 GRAM = 10
 WORD_CACHE = 1_000_000
+BASE = 0x9E3779B97F4A7C15
 
 
 class _WordHashes(dict):
@@ -63,12 +74,29 @@ def grams(w: np.ndarray) -> np.ndarray:
     return h
 
 
-def minimisers(h: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest (leftmost) hash of every window; none if the text is shorter."""
+def anchors(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the smallest (leftmost) hash of every window, the first window that chooses
+    each and the number of windows that do (they follow each other); none if the text is shorter."""
     if len(h) < window:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     at = np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(len(h) - window + 1)
-    return np.unique(at)
+    return np.unique(at, return_index=True, return_counts=True)
+
+
+def minimisers(h: np.ndarray, window: int) -> np.ndarray:
+    return anchors(h, window)[0]
+
+
+@lru_cache(maxsize=32)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
+
+
+def span_hashes(w: np.ndarray, start: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """Hashes of the ``size`` words from each start."""
+    n = 1 << len(w).bit_length()
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * _powers(BASE, n)[:len(w)])])
+    return _mix((sums[start + size] - sums[start]) * _powers(pow(BASE, -1, 1 << 64), n)[start])
 
 
 def _contexts(h: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -79,18 +107,22 @@ def _contexts(h: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
 
 
 def _suffix_batches(words: int) -> Callable:
-    names = ["g", "r1", "r2", "l1", "l2", "pos"]
+    names = ["g", "r1", "r2", "l1", "l2", "pos", "ctx", "first", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
             ids, cols = [], [[] for _ in names]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = grams(word_hashes(text, hashes))
-                at = minimisers(h, words - GRAM + 1)
+                w = word_hashes(text, hashes)
+                h = grams(w)
+                at, first, n = anchors(h, words - GRAM + 1)
                 if len(at):
                     ids.append(np.full(len(at), doc_id, np.int64))
-                    for c, v in zip(cols, [h[at].view(np.int64), *_contexts(h, at), at], strict=True):
+                    # the words of the windows that choose the suffix, and where in them it is
+                    ctx = _mix(span_hashes(w, first, n + (words - 1)) + (n * 64 + at - first).astype(np.uint64))
+                    for c, v in zip(cols, [h[at].view(np.int64), *_contexts(h, at), at, ctx.view(np.int64), first, n],
+                                    strict=True):
                         c.append(v)
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in [ids, *cols]],
@@ -99,9 +131,17 @@ def _suffix_batches(words: int) -> Callable:
     return run
 
 
+def _diagonals(links: DataFrame) -> DataFrame:
+    """One staged row per pair of documents with the diagonals that (a, pa, b, pb) lie on."""
+    swap = F.col("a") > F.col("b")
+    return stage(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                              F.when(swap, F.col("pa") - F.col("pb")).otherwise(F.col("pb") - F.col("pa")).alias("d"))
+                 .groupBy("a", "b").agg(F.collect_set("d").alias("diagonals")))
+
+
 def _neighbours(suffixes: DataFrame, keys: list[str]) -> DataFrame:
-    """(a, pa, b, pb): each suffix with the nearest one of another document on either side in
-    the order of ``keys``, doc_id and pos, if both begin with the same gram."""
+    """Pairs of documents with diagonals: each suffix with the nearest one of another document on
+    either side in the order of ``keys``, doc_id and pos, if both begin with the same gram."""
     order = [*keys, "doc_id", "pos"]
     n = shuffle_partitions(suffixes.sparkSession)
     ranged = stage(suffixes.select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -129,6 +169,64 @@ def _neighbours(suffixes: DataFrame, keys: list[str]) -> DataFrame:
                  .select(F.col("doc_id").alias("a"), F.col("pos").alias("pa"), F.col("o.doc_id").alias("b"),
                          F.col("o.pos").alias("pb")))
         out = found if out is None else out.unionByName(found)
+    out = _diagonals(out)
+    drop_stage(ranged)
+    return out
+
+
+def _window_batches(words: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for batch in batches:
+            cols: list[list] = [[], [], [], []]
+            for doc_id, runs, text in zip(batch.column("doc_id").to_pylist(), batch.column("runs"),
+                                          batch.column("text").to_pylist(), strict=True):
+                w = word_hashes(text, hashes)
+                packed = runs.values.to_numpy()
+                n = packed >> 1 & 0xFFFF
+                # every window of each run
+                start = np.repeat((packed >> 17) - np.cumsum(n) + n, n) + np.arange(n.sum())
+                lone = np.repeat(packed & 1, n).astype(bool)
+                inside = start + words <= len(w)
+                start, lone = start[inside], lone[inside]
+                for c, v in zip(cols, [span_hashes(w, start, words).view(np.int64), np.full(len(start), doc_id, np.int64),
+                                       start, lone], strict=True):
+                    c.append(v)
+            if cols[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols],
+                                                 names=["h", "doc_id", "pos", "lone"])
+
+    return run
+
+
+def _other(first: str, last: str) -> list:
+    """(a, pa, b, pb): a row's own place and the first, or else the last, place in another document."""
+    o = F.when(F.col(f"{first}.doc_id") != F.col("doc_id"), F.col(first)).otherwise(F.col(last))
+    return [F.col("doc_id").alias("a"), F.col("pos").alias("pa"), o["doc_id"].alias("b"), o["pos"].alias("pb")]
+
+
+def _window_pairs(kept: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Pairs of documents with diagonals: every repeated window of every document with one other
+    document that holds it."""
+    place = F.struct("doc_id", "pos")
+    ends = [F.min(place).alias("lo"), F.max(place).alias("hi")]
+    # staged, so that the joins on a hot class or window can be split
+    classes = stage(kept.groupBy("g", "ctx").agg(*ends).filter("lo <> hi"))
+    placed = stage(kept.select("g", "ctx", "doc_id", "pos", "first", "n", "mixed").join(classes, ["g", "ctx"], "left")
+                   .drop("g", "ctx"))
+    drop_stage(classes)
+    lone = F.coalesce(F.col("lo.doc_id") == F.col("hi.doc_id"), F.lit(True))
+    # a class of several documents is only looked for by others: two of its suffixes do
+    runs = (placed.filter(F.col("mixed") & (lone | (place == F.col("lo")) | (place == F.col("hi"))))
+            .groupBy("doc_id").agg(F.collect_list(F.shiftleft(F.col("first"), 17) + F.shiftleft(F.col("n"), 1)
+                                                  + lone.cast("long")).alias("runs")))
+    windows = stage(texts.join(runs, "doc_id").select("doc_id", "runs", "text")
+                    .mapInArrow(_window_batches(words), "h long, doc_id long, pos long, lone boolean"))
+    held = stage(windows.groupBy("h").agg(*ends).filter("lo.doc_id <> hi.doc_id"))
+    out = _diagonals(placed.filter(~lone).select(*_other("lo", "hi"))
+                     .unionByName(windows.filter("lone").join(held, "h").select(*_other("lo", "hi"))))
+    for staged in (placed, windows, held):
+        drop_stage(staged)
     return out
 
 
@@ -179,16 +277,17 @@ def repeated_passages(docs: DataFrame, words: int = WORDS) -> DataFrame:
     narrow = (docs.filter("doc_id is not null and text is not null")
               .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     suffixes = stage(narrow.mapInArrow(_suffix_batches(words), "doc_id long, g long, r1 long, r2 long, l1 long, l2 long, "
-                                                               "pos long"))
-    shared = stage(suffixes.groupBy("g").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"))
-                   .filter("x <> y").select("g"))
+                                                               "pos long, ctx long, first long, n long"))
+    # mixed: not all suffixes of the gram are of one class
+    shared = stage(suffixes.groupBy("g").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"),
+                                             (F.min("ctx") != F.max("ctx")).alias("mixed"))
+                   .filter("x <> y").select("g", "mixed"))
     kept = stage(suffixes.join(shared, "g"))
-    pairs = _neighbours(kept, ["g", "r1", "r2"]).unionByName(_neighbours(kept, ["g", "l1", "l2"]))
-    # one row per pair of documents with the diagonals its anchors lie on
-    swap = F.col("a") > F.col("b")
-    pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                               F.when(swap, F.col("pa") - F.col("pb")).otherwise(F.col("pb") - F.col("pa")).alias("d"))
-                  .groupBy("a", "b").agg(F.collect_set("d").alias("diagonals")))
+    drop_stage(suffixes)
+    pairs = (_neighbours(kept, ["g", "r1", "r2"]).unionByName(_neighbours(kept, ["g", "l1", "l2"]))
+             .unionByName(_window_pairs(kept, narrow, words)))
+    pairs = stage(pairs.groupBy("a", "b").agg(F.array_distinct(F.flatten(F.collect_list("diagonals"))).alias("diagonals")))
+    drop_stage(kept)
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = stage(narrow.join(involved, "doc_id", "left_semi"))
     twice = texts.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")

@@ -224,6 +224,27 @@ def test_passages(docs):
     assert cover
 
 
+def test_passages_of_frequent_lines(spark):
+    # many documents share more words on the left only and others on the right only
+    rng = np.random.default_rng(11)
+    lines = [prose(20, 100 + k).split() for k in range(24)]
+    texts = {i: [w for k in rng.integers(0, 24, 8) for w in lines[k]] for i in range(900)}
+    holders = defaultdict(set)
+    for i, w in texts.items():
+        for k in range(len(w) - 49):
+            holders[tuple(w[k:k + 50])].add(i)
+    df = stage(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string"))
+    cover = defaultdict(set)
+    for r in suffix_dedup.repeated_passages(df).collect():
+        assert r.other_id != r.doc_id and r.n_words >= 50
+        assert texts[r.doc_id][r.start:r.start + r.n_words] == texts[r.other_id][r.other_start:r.other_start + r.n_words]
+        cover[r.doc_id] |= set(range(r.start, r.start + r.n_words))
+    want = {i: {k + d for k in range(len(w) - 49) if len(holders[tuple(w[k:k + 50])]) > 1 for d in range(50)}
+            for i, w in texts.items()}
+    assert sum(map(len, want.values())) > 10_000
+    assert {i: len(want[i] - cover[i]) for i in texts if want[i] != cover[i]} == {}
+
+
 def test_toxicity_on_held_out_rows(spark):
     bad = ["grimble", "snarfy", "dolt", "blechlike"]
     rng = np.random.default_rng(6)
