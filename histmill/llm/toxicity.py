@@ -4,11 +4,12 @@ A text is cut into windows of 32 words that start every 16 words. A word enters
 vectors: one of its own, if training saw it often enough, and the mean of its characters'
 n-gram vectors. Both directions of the recurrent network read the window, attention pools
 their states, and a logistic unit gives the window's logit. A document's score comes from
-its highest window through a logistic fit on labelled documents that training left out.
+its highest window through a logistic fit on labelled documents that training left out, which
+are scored for it with all their windows, as any other text is.
 
 The network is fitted in numpy on the driver, on a sample with documented bounds
-(``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` documents, ``WINDOWS`` windows of each, taken by
-hash); it is a few MB whatever the corpus holds. Since a toxic document has harmless
+(``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` documents, ``WINDOWS`` windows of each for the
+gradient steps, taken by hash); it is a few MB whatever the corpus holds. Since a toxic document has harmless
 windows too, the second half of training keeps only those windows of toxic documents that
 the first half finds toxic, and the highest of each. Scoring covers every window of every
 text inside Arrow batches; projections of distinct words are remembered up to a bound.
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from histmill.llm.common import ensure_columns, small_batches
+from histmill.llm.common import drop_stage, ensure_columns, shuffle_partitions, small_batches, stage
 
 WINDOW, STRIDE = 32, 16
 SAMPLE_TOXIC, SAMPLE_CLEAN, WINDOWS = 1500, 4500, 12
@@ -309,28 +310,40 @@ class Scorer:
         """One logit for each list of at most WINDOW words."""
         return np.concatenate(self.logits(windows))
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        m, out = self.model, []
+    def highest(self, texts: list[str | None]) -> list[float | None]:
+        """The highest logit of each whole text; None without words."""
+        out = []
         for k in range(0, len(texts), 64):
-            best = [x.max() if len(x) else None for x in self.logits([words_of(t) for t in texts[k:k + 64]])]
-            out += [0.0 if b is None else float(_sigmoid(np.float64(m.slope * b + m.shift))) for b in best]
-        return np.array(out, np.float64)
+            out += [float(x.max()) if len(x) else None for x in self.logits([words_of(t) for t in texts[k:k + 64]])]
+        return out
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        m = self.model
+        return np.array([0.0 if b is None else float(_sigmoid(np.float64(m.slope * b + m.shift)))
+                         for b in self.highest(texts)], np.float64)
 
 
-def train(windows: list[list[list[bytes]]], labels: list[int], seed: int = 5) -> Model | None:
+def train(windows: list[list[list[bytes]]], labels: list[int], seed: int = 5,
+          whole: Callable[[Model, list[int]], list[float]] | None = None) -> Model | None:
     """Fit on documents given as lists of windows (lists of words) with labels 0 or 1.
 
-    Every fifth document only serves the fit from logits to scores. None without both labels.
+    Every fifth document only serves the fit from logits to scores. ``whole`` gives the highest
+    logits of the whole texts of documents by their numbers; without it the windows are taken
+    as all there are. None without both labels.
     """
     docs = [(w, y) for w, y in zip(windows, labels, strict=True) if w]
+    numbers = [i for i, w in enumerate(windows) if w]
     if len({y for _, y in docs}) < 2:
         return None
     rng = np.random.default_rng(seed)
-    rng.shuffle(docs)
+    order = list(range(len(docs)))
+    rng.shuffle(order)
+    docs, numbers = [docs[k] for k in order], [numbers[k] for k in order]
     aside = [d for i, d in enumerate(docs) if i % 5 == 4]
     fit = [d for i, d in enumerate(docs) if i % 5 != 4]
+    apart = numbers[4::5]
     if len({y for _, y in aside}) < 2 or len({y for _, y in fit}) < 2:
-        fit = aside = docs
+        fit, aside, apart = docs, docs, numbers
     per_doc = [{x for win in ws for x in win} for ws, _ in fit]
     seen = Counter(w for words in per_doc for w in words)
     names = sorted(seen)
@@ -369,8 +382,11 @@ def train(windows: list[list[list[bytes]]], labels: list[int], seed: int = 5) ->
         norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
         adam.step({k: v * min(1.0, 2.0 / (norm + 1e-9)) for k, v in g.items()}, RATE * (1 - 0.8 * step / steps))
     model = Model(p, own)
-    scorer = Scorer(model)
-    top = np.array([scorer.window_logits(ws).max() for ws, _ in aside])
+    if whole is None:
+        scorer = Scorer(model)
+        top = np.array([scorer.window_logits(ws).max() for ws, _ in aside])
+    else:
+        top = np.array(whole(model, apart))
     model.slope, model.shift = _fit_logistic(top, np.array([y for _, y in aside], float))
     return model
 
@@ -389,6 +405,17 @@ def _sampled_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["doc_id", "toxic", "words"])
 
 
+def _highest_batches(shared) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            best = scorer.highest(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.float64())],
+                                             names=["doc_id", "best"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Train on a bounded sample of the labelled documents that are not held out.
 
@@ -403,12 +430,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
               .unionByName(known.filter("toxic = 0").orderBy(order).limit(SAMPLE_CLEAN)))
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN ids: safe to broadcast
     wanted = spark.createDataFrame([tuple(r) for r in chosen.collect()], "doc_id long, toxic int")
-    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("doc_id", "toxic", "text")
+    small_batches(spark)
+    texts = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted), "doc_id")
+                  .select("doc_id", "toxic", "text"))
     got = texts.mapInPandas(_sampled_windows, "doc_id long, toxic int, words binary").toPandas()
     by_doc: dict[int, tuple[list, int]] = {}
     for doc_id, toxic, words in sorted(zip(got["doc_id"], got["toxic"], got["words"], strict=True)):
         by_doc.setdefault(doc_id, ([], int(toxic)))[0].append(bytes(words).split())
-    return train([w for w, _ in by_doc.values()], [y for _, y in by_doc.values()])
+    ids = list(by_doc)
+
+    def whole(model: Model, numbers: list[int]) -> list[float]:
+        # a fifth of the sample's ids at most
+        some = spark.createDataFrame([(int(ids[k]),) for k in numbers], "doc_id long")
+        run = _highest_batches(spark.sparkContext.broadcast(model))
+        best = (texts.join(F.broadcast(some), "doc_id").select("doc_id", "text")
+                .repartition(2 * shuffle_partitions(spark), F.xxhash64("doc_id", F.length("text")))
+                .mapInArrow(run, "doc_id long, best double").groupBy("doc_id").agg(F.max("best")).collect())
+        best = dict(map(tuple, best))
+        return [best[ids[k]] for k in numbers]
+
+    model = train([w for w, _ in by_doc.values()], [y for _, y in by_doc.values()], whole=whole)
+    drop_stage(texts)
+    return model
 
 
 def _score_batches(spark: SparkSession, model: Model, text_at: int) -> Callable:

@@ -318,6 +318,24 @@ def test_empty_tables(nothing):
     assert html_extract.main_text(nothing.select(F.col("text").alias("html"))).count() == 0
 
 
+def test_scores_are_fitted_on_whole_texts(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    texts = {}
+    for i in range(160):
+        w = [f"w{k}" for k in rng.integers(0, 200, 700)]
+        if i % 2:
+            w[int(rng.integers(700))] = "snarfy"
+        texts[i] = " ".join(w)
+    df = stage(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    lab = stage(spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, toxic int"))
+    tops, plain = [], toxicity._fit_logistic
+    monkeypatch.setattr(toxicity, "_fit_logistic", lambda x, y: tops.append((x, y)) or plain(x, y))
+    model = toxicity.fit(df, lab)
+    highest = toxicity.Scorer(model).highest(list(texts.values()))
+    for top, toxic in zip(*tops[0], strict=True):
+        assert min(abs(top - h) for i, h in zip(texts, highest, strict=True) if i % 2 == toxic) < 1e-4
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_its_sql(spark, name):
     res = compare(queries.QUERIES[name](spark, SF), duck(SF), queries.ORACLES[name])
