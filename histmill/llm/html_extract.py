@@ -18,8 +18,9 @@ styles, comments, controls and the like are no text. Character references are de
 white space becomes single spaces, blocks are joined by one line feed.
 
 Defined results: a null or empty page, or one without content, has an empty text; markup that
-is cut off, nested wrongly or unclosed is read as far as it goes; repeated rows give
-repeated results.
+is cut off, nested wrongly or unclosed is read as far as it goes (an unclosed script, style or
+other raw element takes the rest, of other silent elements only the start tag goes); repeated
+rows give repeated results.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ RAW = frozenset("script style textarea title noscript iframe template".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary "
                   "table tbody td tfoot th thead tr ul caption search".split())
+#: Silent elements that do not nest: a second start tag ends the first.
+FLAT = frozenset("button option select".split())
 #: A start tag of the key ends an open element of the values, up to the container that bounds the search.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
@@ -92,7 +95,27 @@ def _attributes(raw: str) -> tuple[list[str], int]:
             names += _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", html.unescape(value)).lower())
         elif key == "data-y":
             label = int(value.strip("\"'"))
-    return names[:12], label
+    return names, label
+
+
+def _silent_ends(source: str, tag: str, first: int, at: int) -> dict[int, int]:
+    """Where each silent element ends, by the place of its start tag, from the one at ``first``
+    whose tag ends at ``at``; those without an end are left out."""
+    ends, open_at = {}, [first]
+    for e in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).finditer(source, at):
+        if e[1]:
+            if open_at:
+                ends[open_at.pop()] = e.end()
+        elif e[0].endswith("/>"):
+            continue
+        elif tag in FLAT and open_at:
+            # the second start of a select is its end, others start anew
+            ends[open_at.pop()] = e.end() if tag == "select" else e.start()
+            if tag != "select":
+                open_at.append(e.start())
+        else:
+            open_at.append(e.start())
+    return ends
 
 
 def parse(source: str | None) -> Page:
@@ -125,6 +148,7 @@ def parse(source: str | None) -> Page:
         state["link"] = False
 
     source, at, n = source or "", 0, len(source or "")
+    silent_ends: dict[str, dict[int, int]] = {}
     while at < n:
         m = _TOKEN.search(source, at)
         if m is None:
@@ -143,13 +167,10 @@ def parse(source: str | None) -> Page:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
                 at = end.end() if end else n
             else:
-                # skip to the matching end tag
-                depth, seek = 1, re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>?", re.I)
-                while depth and (e := seek.search(source, at)):
-                    depth += -1 if e[1] else 1
-                    at = e.end()
-                if depth and tag != "head":
-                    at = n
+                # skip to the matching end tag; without one only the start tag goes
+                if tag not in silent_ends:
+                    silent_ends[tag] = _silent_ends(source, tag, m.start(), at)
+                at = max(at, silent_ends[tag].get(m.start(), at))
             continue
         if tag == "br":
             put(" ")

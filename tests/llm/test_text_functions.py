@@ -189,3 +189,27 @@ def test_extraction_learns_from_self_labelled_pages():
             body, source = page(tag, close)
             got += html_extract.extract([source], model)[0] == "\n".join(body)
         assert got >= 18
+
+
+@pytest.mark.parametrize("tag", sorted(html_extract.SILENT - html_extract.RAW - {"head"}))
+def test_unclosed_silent_elements_keep_the_rest(tag):
+    def text(source):
+        return " ".join(t for t in html_extract.parse(source).text if t)
+
+    assert "the article" in text(f"<p>before</p><{tag} class=x><div><p>the article</p></div>")
+    assert "the article" in text(f"<{tag}>one<{tag}>two</{tag}><p>the article</p>")
+    assert text(f"<p>a</p><{tag}><i>no</i></{tag}><p>b</p>") == "a b"
+
+
+def test_silent_elements_that_nest_or_do_not():
+    def text(source):
+        return " ".join(t for t in html_extract.parse(source).text if t)
+
+    assert text("<svg><svg>x</svg>y</svg><p>b</p>") == text("<svg><svg/>y</svg><p>b</p>") == "b"
+    assert text("<button>x<button>y</button><p>b</p>") == "b"
+    assert html_extract.parse("<svg>" * 3000 + "<p>b</p>").text[-1] == "b"
+
+
+def test_all_attribute_words_count():
+    page = html_extract.parse(f'<div class="{"px flex " * 20}" id="comments"><p>x</p></div>')
+    assert page.names[1][-1] == "comments"
