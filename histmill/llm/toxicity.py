@@ -1,8 +1,9 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling.
 
-A text is cut into windows of 32 words that start every 16 words. A word enters as two
-vectors: one of its own, if training saw it often enough, and the mean of its characters'
-n-gram vectors. Both directions of the recurrent network read the window, attention pools
+A text is cut into windows of 32 words that start every 16 words. What white space does not
+separate for more than ``PIECE`` characters enters as overlapping pieces, each a word. A word enters as two
+vectors: one of its own, if training saw it often enough, and the mean of the vectors of
+its beginnings and of all its character trigrams. Both directions of the recurrent network read the window, attention pools
 their states, and a logistic unit gives the window's logit. A document's score comes from
 its highest window through a logistic fit on labelled documents that training left out, which
 are scored for it with all their windows, as any other text is.
@@ -39,7 +40,11 @@ WINDOW, STRIDE = 32, 16
 SAMPLE_TOXIC, SAMPLE_CLEAN, WINDOWS = 1500, 4500, 12
 #: Documents of the sample that have to share a word or a character bucket for it to count.
 MIN_DOCS = 4
-WORDS, CHAR_BUCKETS, CHAR_FEATURES = 20_000, 1 << 15, 14
+#: Longest word in characters, and how far apart the pieces of a longer one start.
+PIECE, PIECE_STEP = 20, 10
+WORDS, CHAR_BUCKETS = 20_000, 1 << 15
+#: Four beginnings and as many trigrams as a word of PIECE characters has.
+CHAR_FEATURES = 4 + PIECE
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 12, 10, 12
 STEPS, PASSES, BATCH, RATE = 600, 6, 128, 0.008
 #: Share of the inputs that a training step leaves out.
@@ -60,10 +65,20 @@ def held_out(doc_id: Column) -> Column:
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words without ASCII punctuation at their ends (where something is left)."""
+    """Lower-cased words without ASCII punctuation at their ends (where something is left);
+    pieces of those over PIECE characters."""
     if not text:
         return []
-    return [w.strip(PUNCTUATION) or w for w in text.lower().encode("utf-8", "replace").split()]
+    words = [w.strip(PUNCTUATION) or w for w in text.lower().encode("utf-8", "replace").split()]
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [p for w in words for p in ((w,) if len(w) <= PIECE else pieces(w))]
+
+
+def pieces(word: bytes) -> list[bytes]:
+    """Runs of at most PIECE characters, every PIECE_STEP, until the last character is inside."""
+    chars = word.decode("utf-8", "replace")
+    return [chars[k:k + PIECE].encode() for k in range(0, max(len(chars) - PIECE + PIECE_STEP, 1), PIECE_STEP)]
 
 
 def window_starts(n: int) -> range:
@@ -72,13 +87,10 @@ def window_starts(n: int) -> range:
 
 
 def char_features(word: bytes) -> list[int]:
-    """Buckets of a word's beginnings and of its character trigrams, spread over the word."""
+    """Buckets of the beginnings and of all character trigrams of a word of at most PIECE characters."""
     chars = f"^{word.decode('utf-8', 'replace')}$"
     grams = [f"{k}<{chars[1:k + 1]}" for k in (3, 4, 5, 6) if len(chars) > k + 1]
     tri = [chars[i:i + 3] for i in range(max(1, len(chars) - 2))]
-    room = CHAR_FEATURES - len(grams)
-    if len(tri) > room:
-        tri = [tri[i * len(tri) // room] for i in range(room)]
     return [1 + zlib.crc32(g.encode()) % (CHAR_BUCKETS - 1) for g in grams + tri]
 
 

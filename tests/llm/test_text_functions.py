@@ -1,6 +1,7 @@
 """Operators' building blocks against brute force and exact round trips, without Spark."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -213,3 +214,22 @@ def test_silent_elements_that_nest_or_do_not():
 def test_all_attribute_words_count():
     page = html_extract.parse(f'<div class="{"px flex " * 20}" id="comments"><p>x</p></div>')
     assert page.names[1][-1] == "comments"
+
+
+@pytest.mark.parametrize("run", ["donaudampfschiffer", "abcdefghijklmnopqrst", "you_are_a_very-stupid_person_indeed",
+                                 "".join(chr(0x4e00 + k) for k in range(3001)), "ab\u00a0cd" * 700])
+def test_every_character_of_a_run_is_read(run):
+    words = toxicity.words_of(run)
+    texts = [w.decode() for w in words]
+    assert max(map(len, texts)) <= toxicity.PIECE
+    assert {run[k:k + 3] for k in range(len(run) - 2)} <= {t[k:k + 3] for t in texts for k in range(len(t) - 2)}
+    # whatever is as long as the overlap lies within one piece
+    n = toxicity.PIECE - toxicity.PIECE_STEP
+    assert all(any(run[k:k + n] in t for t in texts) for k in range(0, len(run) - n + 1, 97))
+    for w, t in zip(words, texts, strict=True):
+        seen = toxicity.char_features(w)
+        assert len(seen) <= toxicity.CHAR_FEATURES
+        assert {1 + zlib.crc32(g.encode()) % (toxicity.CHAR_BUCKETS - 1)
+                for g in (f"^{t}$"[k:k + 3] for k in range(len(t)))} <= set(seen)
+    ids, chars = toxicity.Vocabulary({}).rows(words)
+    assert (chars > 0).any(axis=1).all()
