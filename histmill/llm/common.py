@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,22 @@ def small_batches(spark: SparkSession, records: int = 500) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, records: int = 500, size: str = "16m") -> Iterator[None]:
+    """Inside, batches handed to Python workers hold ``records`` rows and ``size`` bytes at most
+    (or one row that is larger). For what is written inside; the session's own values return."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(records),
+              "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table below the checkpoint folder and read it back.
 
@@ -50,13 +68,17 @@ def stage(df: DataFrame) -> DataFrame:
     return out
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no later plan reads."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def drop_stage(df: DataFrame) -> None:
     """Delete a staged table that no later plan reads."""
     path = getattr(df, "_staged_path", None)
     if path:
-        spark = df.sparkSession
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        drop_folder(df.sparkSession, path)
 
 
 def ensure_columns(df: DataFrame, *names: str) -> None:

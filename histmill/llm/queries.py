@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmill.llm import byte_bpe, html_extract, line_dedup, minhash_dedup, multiset_hash, quality_rules, source_mix, suffix_dedup, toxicity, url_filter
+from histmill.llm import (byte_bpe, conversation_repair, digest_index, html_extract, line_dedup, minhash_dedup,
+                          multiset_hash, phrases, quality_rules, source_mix, suffix_dedup, toxicity, url_filter)
 from histmill.llm.common import small_batches, table, word_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +76,26 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+#: The table arrives in so many deliveries of ascending doc_id.
+DELIVERIES = 4
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = digest_index.scratch_index(spark)
+    verdicts = digest_index.judge(docs, index, DELIVERIES)
+    index.close()
+    return verdicts.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 OP9_SQL = """
 with line as (
   select row_number() over () as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
@@ -106,9 +127,15 @@ QUERIES: dict[str, QueryFn] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
     "op6_quality_rules": quality_rules.ORACLE,
     "op9_line_dedup": OP9_SQL,
+    "op11_phrase_mining": phrases.ORACLE,
+    "op12_exact_dedup": digest_index.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
