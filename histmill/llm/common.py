@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -81,6 +83,15 @@ def drop_stage(df: DataFrame) -> None:
         drop_folder(df.sparkSession, path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: the driver outlives the training of a model."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def ensure_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

@@ -315,15 +315,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group (its smallest doc_id).
 
-    Rows that repeat a kept doc_id are one document, of which the row with the smallest
-    text stays; rows without doc_id stay.
+    Rows that share a doc_id but not their text are documents of their own, each under the hash
+    of id and text; of rows equal in both one stays. Rows without doc_id stay.
     """
-    near = near_duplicates(docs, width, percent)
-    keep = near.filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == keep["__id"], "left_semi")
-    twice = stage(kept.groupBy("doc_id").agg(F.count("*").alias("__n")).filter("__n > 1").select("doc_id"))
-    single = kept.join(twice, "doc_id", "left_anti").select(docs.columns)
-    others = (kept.join(twice, "doc_id", "left_semi").select(docs.columns)
-              .groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.coalesce("text", F.lit("")))).alias("r"))
-              .select("r.*"))
-    return single.unionByName(others).unionByName(docs.filter("doc_id is null"))
+    ensure_columns(docs, "doc_id", "text")
+    there = docs.filter("doc_id is not null")
+    repeated = stage(there.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+                     .select(F.col("doc_id").alias("__shared_id")))
+    if repeated.isEmpty():
+        keyed = there.withColumn("__key", F.col("doc_id").cast("long"))
+    else:
+        own = F.xxhash64("doc_id", F.col("text").isNull(), "text").bitwiseAND(F.lit((1 << 63) - 1))
+        keyed = (there.join(repeated, F.col("doc_id") == F.col("__shared_id"), "left")
+                 .withColumn("__key", F.when(F.col("__shared_id").isNull(), F.col("doc_id").cast("long")).otherwise(-1 - own))
+                 .drop("__shared_id"))
+    near = near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"), width, percent)
+    keep = near.filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
+    kept = keyed.join(keep, F.col("__key") == F.col("__keep"), "left_semi")
+    if not repeated.isEmpty():
+        twice = F.col("doc_id") == F.col("__shared_id")
+        equal = (kept.join(repeated, twice, "left_semi").groupBy("__key")
+                 .agg(F.first(F.struct(*docs.columns)).alias("r")).select("__key", "r.*"))
+        kept = kept.join(repeated, twice, "left_anti").unionByName(equal)
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))

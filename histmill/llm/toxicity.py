@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from histmill.llm.common import drop_stage, ensure_columns, shuffle_partitions, small_batches, stage
+from histmill.llm.common import drop_stage, ensure_columns, give_back, shuffle_partitions, small_batches, stage
 
 WINDOW, STRIDE = 32, 16
 SAMPLE_TOXIC, SAMPLE_CLEAN, WINDOWS = 1500, 4500, 12
@@ -454,15 +454,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     def whole(model: Model, numbers: list[int]) -> list[float]:
         # a fifth of the sample's ids at most
         some = spark.createDataFrame([(int(ids[k]),) for k in numbers], "doc_id long")
-        run = _highest_batches(spark.sparkContext.broadcast(model))
+        shared = spark.sparkContext.broadcast(model)
+        run = _highest_batches(shared)
         best = (texts.join(F.broadcast(some), "doc_id").select("doc_id", "text")
                 .repartition(2 * shuffle_partitions(spark), F.xxhash64("doc_id", F.length("text")))
                 .mapInArrow(run, "doc_id long, best double").groupBy("doc_id").agg(F.max("best")).collect())
+        shared.destroy()
         best = dict(map(tuple, best))
         return [best[ids[k]] for k in numbers]
 
+    del got
     model = train([w for w, _ in by_doc.values()], [y for _, y in by_doc.values()], whole=whole)
     drop_stage(texts)
+    by_doc.clear()
+    give_back()
     return model
 
 
