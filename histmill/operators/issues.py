@@ -489,9 +489,10 @@ ISSUE_COLUMNS = ["issue_num", "kind", "externalId", "status", "resolution", "pri
                  "description", "issueType", "labels", "customFieldValues"]
 
 
-def nested_parts(defect_log: DataFrame, customer: DataFrame, trans: DataFrame, fix_rows: DataFrame,
-                 records: DataFrame, profile: ExportProfile) -> DataFrame:
-    """AGG8: per issue, the ordered history and comment arrays (one grouped aggregation)."""
+def nested_entries(defect_log: DataFrame, customer: DataFrame, trans: DataFrame, fix_rows: DataFrame,
+                   records: DataFrame, profile: ExportProfile) -> DataFrame:
+    """AGG8 input: (externalId, ord, h, c), one row per log line or report: its place in the
+    issue, its history entry and its comment (either may be NULL)."""
     hist_t = f"struct<author:string,created:string,items:array<{ITEM_TYPE}>>"
     com_t = "struct<author:string,body:string,created:string>"
     null_h, null_c = F.lit(None).cast(hist_t), F.lit(None).cast(com_t)
@@ -528,19 +529,73 @@ def nested_parts(defect_log: DataFrame, customer: DataFrame, trans: DataFrame, f
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    u = u.where(F.col("h").isNotNull() | F.col("c").isNotNull())
-    g = u.groupBy("externalId").agg(F.array_sort(F.collect_list(F.struct("ord", "h", "c"))).alias("_p"))
+    return u.where(F.col("h").isNotNull() | F.col("c").isNotNull())
+
+
+def nest(entries: DataFrame) -> DataFrame:
+    """AGG8: per issue, the ordered history and comment arrays (one grouped aggregation), for
+    issues whose entries fit in one value; ``document_fragments`` has no such bound."""
+    g = entries.groupBy("externalId").agg(F.sort_array(F.collect_list(F.struct("ord", "h", "c"))).alias("_p"))
     hist = F.filter(F.transform("_p", lambda s: s["h"]), lambda h: h.isNotNull())
     com = F.filter(F.transform("_p", lambda s: s["c"]), lambda c: c.isNotNull())
     return g.select(F.col("externalId").alias("_nk"), F.when(F.size(hist) > 0, hist).alias("history"),
                     F.when(F.size(com) > 0, com).alias("comments"))
 
 
+DOCUMENT_FIELDS = sorted(["affectedVersions", "assignee", "comments", "components", "created", "customFieldValues",
+                          "description", "externalId", "fixedVersions", "history", "issueType", "labels", "priority",
+                          "reporter", "resolution", "resolutionDate", "status", "summary", "updated"])
+NESTED_FIELDS = {"comments": "c", "history": "h"}
+JSON_OPTIONS = {"writeNonAsciiCharacterAsCodePoint": "true"}
+
+
 def issue_documents(issue_rows: DataFrame, nested: DataFrame) -> DataFrame:
     """CMP7 + SNK1: one canonical JSON line per issue, keys sorted, non-ASCII escaped."""
     j = issue_rows.join(nested, F.col("externalId") == F.col("_nk"), "left")
-    fields = sorted(["affectedVersions", "assignee", "comments", "components", "created", "customFieldValues",
-                     "description", "externalId", "fixedVersions", "history", "issueType", "labels", "priority",
-                     "reporter", "resolution", "resolutionDate", "status", "summary", "updated"])
-    doc = F.to_json(F.struct(*[F.col(c) for c in fields]), {"writeNonAsciiCharacterAsCodePoint": "true"})
+    doc = F.to_json(F.struct(*[F.col(c) for c in DOCUMENT_FIELDS]), JSON_OPTIONS)
     return j.select("externalId", "kind", doc.alias("json"))
+
+
+def document_fragments(issue_rows: DataFrame, entries: DataFrame) -> DataFrame:
+    """CMP7: the documents of ``issue_documents`` as fragments (externalId, slot, ord, first, text).
+
+    In the order (externalId, slot, ord) the fragments of an issue, a comma before each nested
+    entry that is not the ``first`` of its slot, are the document and its line feed. Even slots
+    hold the fields around the nested arrays, odd slots one entry a row: an issue of any size
+    is many rows and never one value. Entries without an issue row are left out, as by the join.
+    """
+    counts = entries.groupBy(F.col("externalId").alias("_k")).agg(
+        *[F.count(c).alias(f"_n_{name}") for name, c in NESTED_FIELDS.items()],
+        *[F.min(F.when(F.col(c).isNotNull(), F.col("ord"))).alias(f"_first_{name}") for name, c in NESTED_FIELDS.items()])
+    rows = issue_rows.join(counts, F.col("externalId") == F.col("_k"), "left")
+    nested = [f for f in DOCUMENT_FIELDS if f in NESTED_FIELDS]
+    edges = [-1, *[DOCUMENT_FIELDS.index(f) for f in nested], len(DOCUMENT_FIELDS)]
+    groups = [DOCUMENT_FIELDS[a + 1:b] for a, b in zip(edges, edges[1:])]
+    place = entries.schema["ord"].dataType
+    slots, anything = [], F.lit(False)
+    for k, group in enumerate(groups):
+        inner = F.to_json(F.struct(*[F.col(c) for c in group]), JSON_OPTIONS)
+        inner = F.substring(inner, F.lit(2), F.length(inner) - 2)
+        parts = [F.lit("{") if k == 0 else F.when(has, F.lit("]")).otherwise(F.lit(""))]
+        filled = inner != ""
+        parts.append(F.when(filled, F.concat(F.when(anything, F.lit(",")).otherwise(F.lit("")), inner)).otherwise(F.lit("")))
+        anything = anything | filled
+        if k < len(nested):
+            has = F.coalesce(F.col(f"_n_{nested[k]}") > 0, F.lit(False))
+            parts.append(F.when(has, F.concat(F.when(anything, F.lit(",")).otherwise(F.lit("")),
+                                              F.lit(f'"{nested[k]}":['))).otherwise(F.lit("")))
+            anything = anything | has
+        else:
+            parts.append(F.lit("}\n"))
+        slots.append(F.struct(F.lit(2 * k).alias("slot"), F.concat(*parts).alias("text")))
+    fixed = rows.select("externalId", F.explode(F.array(*slots)).alias("_s")).select(
+        "externalId", "_s.slot", F.lit(None).cast(place).alias("ord"), F.lit(True).alias("first"), "_s.text")
+    firsts = rows.select(F.col("externalId").alias("_k"), *[f"_first_{name}" for name in nested])
+    at_home = entries.join(firsts, F.col("externalId") == F.col("_k"))
+    out = fixed
+    for k, name in enumerate(nested):
+        entry = F.col(NESTED_FIELDS[name])
+        out = out.unionByName(at_home.where(entry.isNotNull()).select(
+            "externalId", F.lit(2 * k + 1).alias("slot"), "ord", (F.col("ord") == F.col(f"_first_{name}")).alias("first"),
+            F.to_json(entry, JSON_OPTIONS).alias("text")))
+    return out

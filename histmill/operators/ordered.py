@@ -142,6 +142,20 @@ def global_islands(df: DataFrame, order: Sequence[str | Column], opens_island, c
     return out.drop("_open", "_run", "_carry", PID, POS)
 
 
+def running_max(df: DataFrame, order: Sequence[str | Column], value: str, out_col: str,
+                partitions: int | None = None) -> DataFrame:
+    """``max(value) over (order by order rows unbounded preceding)`` in one global order: a local
+    running maximum per range partition, and the maximum of all earlier partitions from the
+    per-partition summary. NULL until the first value."""
+    staged = stage_by_range(df, order, partitions)
+    upto = Window.partitionBy(PID).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    local = staged.withColumn("_local", F.max(value).over(upto))
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    carry = staged.groupBy(PID).agg(F.max(value).alias("_top")).select(PID, F.max("_top").over(before).alias("_carry"))
+    out = local.join(F.broadcast(carry), PID)
+    return out.withColumn(out_col, F.greatest("_local", "_carry")).drop("_local", "_carry", PID, POS)
+
+
 def forward_fill(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], value_col: str, out_col: str,
                  partitions: int | None = None) -> DataFrame:
     """``last(value, ignorenulls) over (partition by group order by order rows unbounded preceding)``

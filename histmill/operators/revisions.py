@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histmill.functions.text import ci
-from histmill.operators.ordered import global_islands, grouped_running_sum
+from histmill.operators.ordered import global_islands, grouped_running_sum, running_max
+from histmill.operators.skew import salted_join
 from histmill.operators.texts import normalize_path
 from histmill.session import stage
 
@@ -70,19 +71,30 @@ def proper_ancestors(path: Column) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
+def interval_key(path: Column) -> Column:
+    """A text whose order puts a path's descendants, and nothing else, right behind the path:
+    hexadecimal segments parted by '!', which comes before every digit."""
+    return F.array_join(F.transform(F.split(F.lower(path), "/", -1), lambda x: F.hex(x)), "!")
+
+
 def propagate_deletes(paths: DataFrame) -> DataFrame:
     """JN7: a live path below a deleted project becomes deleted (one pass, input flags).
 
-    The prefix theta join is re-expressed as an equi join: every proper ancestor
-    of a live path is exploded and semi-joined to the deleted projects.
+    In the order of ``interval_key`` the descendants of a project are one interval, which begins
+    at its key with '!' and ends before its key with '"'. Intervals are nested or apart, so a path
+    is covered exactly if the farthest end of the intervals begun before it lies behind it: a
+    running maximum over paths and begin marks, carried from task to task by the ordered scan. No
+    ancestor is exploded, and no project gathers its descendants in one task.
     """
-    deleted_projects = (paths.where(F.col("IsProject") & F.col("Deleted"))
-                        .select(ci(F.col("Path")).alias("_anc")).distinct())
-    live = paths.where(~F.col("Deleted")).select("FilePathKey", F.explode(proper_ancestors(F.col("Path"))).alias("_a"))
-    hit = (live.join(deleted_projects, ci(F.col("_a")) == F.col("_anc"), "left_semi")
-           .select(F.col("FilePathKey").alias("_hit")).distinct())
-    out = paths.join(hit, F.col("FilePathKey") == F.col("_hit"), "left")
-    return out.withColumn("Deleted", F.col("Deleted") | F.col("_hit").isNotNull()).drop("_hit")
+    key = interval_key(F.rtrim("Path"))
+    begins = paths.where(F.col("IsProject") & F.col("Deleted")).select(
+        F.concat(key, F.lit("!")).alias("_at"), F.lit(0).alias("_kind"), F.concat(key, F.lit('"')).alias("_end")).distinct()
+    rows = paths.select("*", interval_key(F.col("Path")).alias("_at"), F.lit(1).alias("_kind"),
+                        F.lit(None).cast("string").alias("_end"))
+    scanned = running_max(rows.unionByName(begins, allowMissingColumns=True), ["_at", "_kind"], "_end", "_reach")
+    covered = F.coalesce(F.col("_reach") > F.col("_at"), F.lit(False))
+    return (scanned.where("_kind = 1").withColumn("Deleted", F.col("Deleted") | covered)
+            .select(paths.columns))
 
 
 def live_children_of_deleted(paths: DataFrame) -> DataFrame:
@@ -131,45 +143,58 @@ def _numeric_claims(changes: DataFrame) -> DataFrame:
             .where(F.col("_from").isNotNull() & F.col("_to").isNotNull()))
 
 
-def match_exact(changes: DataFrame, fixes: DataFrame, paths: DataFrame, revs: DataFrame,
-                levels: Sequence[str] | None) -> DataFrame:
-    """JN5: claims of fixes in ``levels`` whose normalised path equals a live path and
-    whose revision range ``(From, To]`` contains the revision."""
+def _claims(changes: DataFrame, fixes: DataFrame, levels: Sequence[str] | None) -> DataFrame:
+    """Claims with numeric revision levels of the fixes in ``levels`` (None: all)."""
     f = fixes.select(F.col("TransmittalId").alias("_fix"), "ReleaseLev")
     c = changes.join(f, F.col("TransmittalID") == F.col("_fix"))
     if levels:
         c = c.where(F.col("ReleaseLev").isin(*levels))
-    c = _numeric_claims(c.withColumn("_norm", normalize_path(F.col("FileChanged"), F.col("ReleaseLev"))))
+    return _numeric_claims(c).select("TransmittalID", "FCIndex", "FileChanged", "ReleaseLev", "_from", "_to")
+
+
+CLAIMED = ("TransmittalID", "FCIndex", "_c_path", "_from", "_to")
+
+
+def _exact_claims(claims: DataFrame, paths: DataFrame) -> DataFrame:
+    """Claims with the live path that equals their normalised path."""
     live = paths.where(~F.col("Deleted")).select(F.col("FilePathKey").alias("_c_path"), ci(F.col("Path")).alias("_p"))
-    c = c.join(live, ci(F.col("_norm")) == F.col("_p")).select("TransmittalID", "FCIndex", "_c_path", "_from", "_to")
-    m = _range_join(c, revs, "_from", "_to")
-    return m.select("TransmittalID", "FCIndex", "FileRevKey")
+    c = claims.withColumn("_norm", ci(normalize_path(F.col("FileChanged"), F.col("ReleaseLev"))))
+    return c.join(live, F.col("_norm") == F.col("_p")).select(*CLAIMED)
 
 
-def match_suffix(changes: DataFrame, fixes: DataFrame, paths: DataFrame, revs: DataFrame,
-                 levels: Sequence[str] | None, width: int, already: DataFrame) -> DataFrame:
-    """JN6: second pass on the last ``width`` characters, for paths longer than ``width``,
-    minus the rows found by the first pass (null-unsafe key comparison, as in SQL)."""
-    f = fixes.select(F.col("TransmittalId").alias("_fix"), "ReleaseLev")
-    c = changes.join(f, F.col("TransmittalID") == F.col("_fix"))
-    if levels:
-        c = c.where(F.col("ReleaseLev").isin(*levels))
-    c = _numeric_claims(c).withColumn("_suffix", ci(F.right(F.col("FileChanged"), F.lit(width))))
+def _suffix_claims(claims: DataFrame, paths: DataFrame, width: int) -> DataFrame:
+    """Claims with the live paths longer than ``width`` that end as they do. Claims of a suffix
+    that is found to be hot are dealt over all tasks, its few paths are sent to each."""
+    c = claims.withColumn("_suffix", ci(F.right(F.col("FileChanged"), F.lit(width))))
     live = (paths.where(~F.col("Deleted") & (F.length(F.rtrim("Path")) > width))
             .select(F.col("FilePathKey").alias("_c_path"), ci(F.right(F.col("Path"), F.lit(width))).alias("_ps")))
-    c = c.join(live, F.col("_suffix") == F.col("_ps")).select("TransmittalID", "FCIndex", "_c_path", "_from", "_to")
-    m = _range_join(c, revs, "_from", "_to").select("TransmittalID", "FCIndex", "FileRevKey")
-    old = already.select(F.col("TransmittalID").alias("_o_fix"), F.col("FCIndex").alias("_o_idx"),
-                         F.col("FileRevKey").alias("_o_rev"))
-    return m.join(old, (F.col("TransmittalID") == F.col("_o_fix")) & (F.col("FCIndex") == F.col("_o_idx"))
-                  & (F.col("FileRevKey") == F.col("_o_rev")), "left_anti")
-
-
-def match_all(changes, fixes, paths, revs, levels, width) -> DataFrame:
-    """SET1: exact matches followed by the suffix matches that are new (link table)."""
-    exact = stage(match_exact(changes, fixes, paths, revs, levels))
-    return exact.withColumn("pass", F.lit(1)).unionByName(
-        match_suffix(changes, fixes, paths, revs, levels, width, exact).withColumn("pass", F.lit(2)))
+    return salted_join(c, live, "_suffix", "_ps").select(*CLAIMED)
+
+
+def match_exact(changes: DataFrame, fixes: DataFrame, paths: DataFrame, revs: DataFrame,
+                levels: Sequence[str] | None) -> DataFrame:
+    """JN5: claims of fixes in ``levels`` whose normalised path equals a live path and
+    whose revision range ``(From, To]`` contains the revision."""
+    m = _range_join(_exact_claims(_claims(changes, fixes, levels), paths), revs, "_from", "_to")
+    return m.select("TransmittalID", "FCIndex", "FileRevKey")
+
+
+def match_all(changes: DataFrame, fixes: DataFrame, paths: DataFrame, revs: DataFrame, levels: Sequence[str] | None,
+              width: int) -> DataFrame:
+    """JN6 + SET1: exact matches (pass 1) followed by the matches on the last ``width`` characters
+    that are new (pass 2, null-unsafe key comparison, as in SQL).
+
+    The claims are built once, and one range scan numbers the revisions for both passes."""
+    claims = stage(_claims(changes, fixes, levels))
+    both = stage(_exact_claims(claims, paths).withColumn("pass", F.lit(1)).unionByName(
+        _suffix_claims(claims, paths, width).withColumn("pass", F.lit(2))))
+    found = stage(_range_join(both, revs, "_from", "_to").select("TransmittalID", "FCIndex", "FileRevKey", "pass"))
+    exact, approximate = found.where("pass = 1"), found.where("pass = 2")
+    old = exact.select(F.col("TransmittalID").alias("_o_fix"), F.col("FCIndex").alias("_o_idx"),
+                       F.col("FileRevKey").alias("_o_rev"))
+    return exact.unionByName(approximate.join(
+        old, (F.col("TransmittalID") == F.col("_o_fix")) & (F.col("FCIndex") == F.col("_o_idx"))
+        & (F.col("FileRevKey") == F.col("_o_rev")), "left_anti"))
 
 
 def duplicate_links(links: DataFrame) -> DataFrame:

@@ -6,16 +6,24 @@ of a listed release are seeds, then defect and fix expansion alternate until
 a round adds nothing. Fixes expand only into listed releases; defects into
 every release that has a catalog row.
 
-The loop is semi-naive: a node first reached in round k can only be linked to
-nodes reached in round k-1 (otherwise it would have been reached earlier), so
-each round joins only the last frontier, and the inherited branch/version of a
-defect (the max over its included fixes) is the max over that frontier. Each
-frontier is written to the reliable checkpoint folder, which cuts the lineage
-and survives executor loss; the only driver round-trip is the emptiness test.
+The loop is semi-naive and needs no table of what was reached before. Defects and fixes are the
+two sides of an undirected graph (nodes without a catalog row, and fixes of releases that are not
+listed, are not in it), so rounds are the levels of a breadth-first search, and a link joins two
+successive levels: what a frontier links to is either new or in the level just before it. Each
+round therefore anti-joins one level, whose size does not grow with the rounds done. The closure
+of a release is closed under links, so a later release's search never meets it; only its seeds
+are held against all earlier rows. The inherited branch and version of a defect (the max over its
+included fixes) is the max over the frontier that first reached it.
+
+Links are staged twice, bucketed by fix and by defect, and nodes bucketed by id, so a round
+shuffles its frontier and never the graph. Rounds are written to one folder, a subfolder each,
+which cuts the lineage and survives executor loss; the only driver round-trip is the emptiness
+test, and the result is one scan of the folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,7 +31,10 @@ from pyspark.sql import functions as F
 
 from histmill.functions import codes
 from histmill.functions.text import ci
-from histmill.session import stage
+from histmill.session import ensure_checkpoint_dir, forget_bucketed, stage, stage_bucketed
+
+CLOSURE = ("kind", "id", "ImportGroup", "Branch", "Version", "round")
+CLOSURE_SCHEMA = "kind string, id long, ImportGroup string, Branch string, Version string, round int"
 
 
 def _nodes(defects: DataFrame, fixes: DataFrame, catalog: DataFrame, listed: Sequence[str],
@@ -52,74 +63,68 @@ def closure_issues(links: DataFrame, defects: DataFrame, fixes: DataFrame, catal
     """FIX1 + FIX2: the ReleaseIssues table as rows (kind 'sdr'|'fix', id, ImportGroup, Branch, Version, round)."""
     spark = links.sparkSession
     listed = list(releases)
-    # the graph (nodes with their catalog values, distinct edges) is read by every
-    # round: write it once instead of re-deriving it from the base tables per round
-    defect_nodes, fix_nodes = (stage(n) for n in _nodes(defects, fixes, catalog, listed, inherit_version))
+    defect_nodes, fix_nodes = _nodes(defects, fixes, catalog, listed, inherit_version)
+    defect_nodes, fix_nodes = stage_bucketed(defect_nodes, "sdr"), stage_bucketed(fix_nodes, "fix")
     lk = stage(links.select(F.col("TransmittalID").cast("long").alias("l_fix"),
                             F.col("SDR_Num").cast("long").alias("l_sdr")).distinct())
+    by_fix, by_sdr = stage_bucketed(lk, "l_fix"), stage_bucketed(lk, "l_sdr")
     listed_fix_ids = fixes.where(F.col("ReleaseLev").isin(*listed)).select(
         F.col("TransmittalId").cast("long").alias("_lf"))
     linked_to_listed = stage(lk.join(listed_fix_ids, F.col("l_fix") == F.col("_lf"), "left_semi").select(
         F.col("l_sdr").alias("_ls")).distinct())
 
-    pieces: list[DataFrame] = []
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/closure-{uuid.uuid4().hex}"
+    steps = 0
 
-    def included(kind: str) -> DataFrame:
-        if not pieces:
-            return spark.createDataFrame([], "_inc long")
-        u = pieces[0]
-        for p in pieces[1:]:
-            u = u.unionByName(p)
-        return u.where(F.col("kind") == kind).select(F.col("id").alias("_inc"))
+    def write(df: DataFrame) -> DataFrame:
+        nonlocal steps
+        steps += 1
+        path = f"{folder}/step={steps}"
+        df.select(*CLOSURE).write.parquet(path)
+        return spark.read.schema(df.select(*CLOSURE).schema).parquet(path)
 
-    def keep(df: DataFrame) -> DataFrame:
-        staged = stage(df.select("kind", "id", "ImportGroup", "Branch", "Version", "round"))
-        pieces.append(staged)
-        return staged
+    def ids(df: DataFrame, kind: str) -> DataFrame:
+        return df.where(F.col("kind") == kind).select(F.col("id").alias("_inc"))
 
+    earlier: list[DataFrame] = []  # whole releases
     for release in listed:
-        seed_f = keep(fix_nodes.where(F.col("rel") == release)
-                      .join(included("fix"), F.col("fix") == F.col("_inc"), "left_anti")
-                      .select(F.lit("fix").alias("kind"), F.col("fix").alias("id"),
-                              F.col("rel").alias("ImportGroup"), F.col("f_branch").alias("Branch"),
-                              F.col("f_version").alias("Version"), F.lit(0).alias("round")))
-        keep(defect_nodes.where(F.col("rel") == release)
-             .join(linked_to_listed, F.col("sdr") == F.col("_ls"), "left_anti")
-             .join(included("sdr"), F.col("sdr") == F.col("_inc"), "left_anti")
-             .select(F.lit("sdr").alias("kind"), F.col("sdr").alias("id"), F.col("rel").alias("ImportGroup"),
-                     F.col("d_branch").alias("Branch"), F.col("d_version").alias("Version"),
-                     F.lit(0).alias("round")))
-        frontier, rnd = seed_f, 0
+        first = steps
+
+        def seeds(nodes: DataFrame, node: str, kind: str, branch: str, version: str) -> DataFrame:
+            new = nodes.where(F.col("rel") == release)
+            for done in earlier:
+                new = new.join(ids(done, kind), F.col(node) == F.col("_inc"), "left_anti")
+            return new.select(F.lit(kind).alias("kind"), F.col(node).alias("id"), F.col("rel").alias("ImportGroup"),
+                              F.col(branch).alias("Branch"), F.col(version).alias("Version"), F.lit(0).alias("round"))
+
+        frontier = write(seeds(fix_nodes, "fix", "fix", "f_branch", "f_version"))
+        alone = defect_nodes.join(linked_to_listed, F.col("sdr") == F.col("_ls"), "left_anti")
+        write(seeds(alone, "sdr", "sdr", "d_branch", "d_version"))
+        before, rnd = None, 0
         while not frontier.isEmpty():
             rnd += 1
             reached = (frontier.select(F.col("id").alias("_ff"), F.col("Branch").alias("_fb"),
                                        F.col("Version").alias("_fv"))
-                       .join(lk, F.col("_ff") == F.col("l_fix"))
-                       .join(defect_nodes, F.col("l_sdr") == F.col("sdr"))
-                       .join(included("sdr"), F.col("sdr") == F.col("_inc"), "left_anti")
-                       .groupBy("sdr", "own", "d_branch", "d_version")
-                       .agg(F.max("_fb").alias("_mb"), F.max("_fv").alias("_mv")))
-            new_d = reached.select(
+                       .join(by_fix, F.col("_ff") == F.col("l_fix"))
+                       .groupBy("l_sdr").agg(F.max("_fb").alias("_mb"), F.max("_fv").alias("_mv"))
+                       .join(defect_nodes, F.col("l_sdr") == F.col("sdr")))
+            if before is not None:
+                reached = reached.join(ids(before, "sdr"), F.col("sdr") == F.col("_inc"), "left_anti")
+            new_d = write(reached.select(
                 F.lit("sdr").alias("kind"), F.col("sdr").alias("id"), F.lit(release).alias("ImportGroup"),
                 F.when(F.col("own"), F.col("d_branch")).otherwise(F.col("_mb")).alias("Branch"),
                 F.when(F.col("own"), F.col("d_version")).otherwise(F.col("_mv")).alias("Version"),
-                F.lit(2 * rnd - 1).alias("round"))
+                F.lit(2 * rnd - 1).alias("round")))
             new_f = (new_d.select(F.col("id").alias("_nd"))
-                     .join(lk, F.col("_nd") == F.col("l_sdr"))
-                     .join(fix_nodes, F.col("l_fix") == F.col("fix"))
-                     .join(included("fix"), F.col("fix") == F.col("_inc"), "left_anti")
-                     .select("fix", "f_branch", "f_version").distinct()
-                     .select(F.lit("fix").alias("kind"), F.col("fix").alias("id"),
-                             F.lit(release).alias("ImportGroup"), F.col("f_branch").alias("Branch"),
-                             F.col("f_version").alias("Version"), F.lit(2 * rnd).alias("round")))
-            # one write per round: the defect step and the fix step it feeds
-            step = keep(new_d.unionByName(new_f))
-            new_f = step.where(F.col("kind") == "fix")
-            frontier = new_f
-    out = pieces[0]
-    for p in pieces[1:]:
-        out = out.unionByName(p)
-    return out
+                     .join(by_sdr, F.col("_nd") == F.col("l_sdr")).select("l_fix").distinct()
+                     .join(ids(frontier, "fix"), F.col("l_fix") == F.col("_inc"), "left_anti")
+                     .join(fix_nodes, F.col("l_fix") == F.col("fix")).select("fix", "f_branch", "f_version").distinct())
+            before, frontier = new_d, write(new_f.select(
+                F.lit("fix").alias("kind"), F.col("fix").alias("id"), F.lit(release).alias("ImportGroup"),
+                F.col("f_branch").alias("Branch"), F.col("f_version").alias("Version"), F.lit(2 * rnd).alias("round")))
+        earlier.append(spark.read.schema(CLOSURE_SCHEMA).parquet(*[f"{folder}/step={k}" for k in range(first + 1, steps + 1)]))
+    forget_bucketed(defect_nodes, fix_nodes, by_fix, by_sdr)
+    return spark.read.schema(CLOSURE_SCHEMA).parquet(*[f"{folder}/step={k}" for k in range(1, steps + 1)])
 
 
 def check_unique(scope: DataFrame) -> DataFrame:

@@ -76,3 +76,23 @@ def stage(df):
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df, key: str, buckets: int | None = None):
+    """Write ``df`` as a table below the checkpoint folder, bucketed and sorted by ``key``: joins
+    and groupings on that key, however many, read it without a shuffle. ``buckets`` defaults to
+    the session's shuffle partitions, so that shuffled sides lie alike."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"stage_{uuid.uuid4().hex}"
+    (df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key)
+     .option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
+    out = spark.table(name)
+    out._table_name = name
+    return out
+
+
+def forget_bucketed(*tables) -> None:
+    """Drop the names of staged bucketed tables that no later plan reads; their files stay."""
+    for df in tables:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._table_name}")
