@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histmill.functions.dates import parse_iso
@@ -39,6 +39,17 @@ def parse_tran_log(lines: DataFrame, file_col: str, line_col: str, text_col: str
                          F.col(text_col).rlike(patterns.initial).alias("is_initial")).drop("_hdr")
 
 
+def parse_transactions(records: DataFrame, patterns: LogPatterns = LogPatterns()) -> DataFrame:
+    """SRC4 on records of ``sources.files.read_transactions``: (file, at, tran_num, pos, checkin_time,
+    is_initial), one row per line, in the tasks that read the listing. Empty lines at the end of
+    a record are no lines (the last one of a file ends with its line feed)."""
+    text = F.regexp_replace("value", r"\n++\z", "")
+    lines = records.select("file", "at", "tran_num", F.posexplode(F.split(text, "\n", -1)).alias("pos", "_line"))
+    checkin = F.when(F.col("_line").rlike(patterns.checkin), parse_iso(F.regexp_extract("_line", patterns.checkin, 1)))
+    return lines.select("file", "at", "tran_num", "pos", checkin.alias("checkin_time"),
+                        F.col("_line").rlike(patterns.initial).alias("is_initial"))
+
+
 def transaction_times(log: DataFrame) -> DataFrame:
     """(file, tran_num, line, checkin_time) for check-in lines that follow a header."""
     return log.where(F.col("checkin_time").isNotNull() & F.col("tran_num").isNotNull())
@@ -60,8 +71,26 @@ def labels_frame(spark: SparkSession, labels: Sequence[tuple[str, str]]) -> Data
 def asof_labels(labels: DataFrame, checkins: DataFrame, tran_col: str = "tran_num",
                 time_col: str = "checkin_time", order_col: str = "line_no") -> DataFrame:
     """JN13 + AGG11: for each label, the transaction of the latest check-in at or before the
-    label time (ties: the highest transaction), with that transaction's first check-in time."""
-    matched = stage(asof_labels_sorted(labels, checkins, tran_col, time_col))
+    label time (ties: the highest transaction), with that transaction's first check-in time.
+
+    ``labels`` is a list built on the driver (SRC6). A check-in first counts for the earliest label
+    that is not before it, so each task keeps the latest check-in of every gap between labels; a
+    running maximum over the labels does the rest. The log itself is not shuffled. Use
+    ``asof_labels_sorted`` for labels that are a table.
+    """
+    spark = labels.sparkSession
+    times = [r[0] for r in labels.select("label_time").where("label_time is not null").distinct()
+             .orderBy("label_time").collect()]
+    known = F.array(*[F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in times]).cast("array<timestamp_ntz>")
+    hit = F.struct(F.col(time_col).alias("_t"), F.col(tran_col).cast("long").alias("_tran"))
+    tops = (checkins.where(F.col(time_col).isNotNull())
+            .select(F.size(F.filter(known, lambda x: x < F.col(time_col))).alias("_gap"), hit.alias("_hit"))
+            .where(F.col("_gap") < len(times)).groupBy("_gap").agg(F.max("_hit").alias("_hit")))
+    gaps = spark.createDataFrame(list(enumerate(times)), "_gap int, _time timestamp_ntz")
+    upto = Window.orderBy("_gap").rowsBetween(Window.unboundedPreceding, 0)  # one row per label time
+    best = (gaps.join(tops, "_gap", "left").withColumn("_best", F.max("_hit").over(upto))
+            .select("_time", F.col("_best._tran").alias("tran_num"), F.col("_best._t").alias("matched_time")))
+    matched = stage(labels.join(best, F.col("label_time") == F.col("_time"), "left").drop("_time"))
     found = matched.where(F.col("tran_num").isNotNull()).select(F.col("tran_num").alias("_ft")).distinct()
     firsts = (checkins.join(found, F.col(tran_col) == F.col("_ft"), "left_semi")
               .groupBy(F.col(tran_col).alias("_ft")).agg(F.min_by(time_col, order_col).alias("first_time")))

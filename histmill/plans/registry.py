@@ -32,8 +32,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def _load_all() -> None:
     # Importing the plan modules fills the registry.
     from histmill.plans import (  # noqa: F401
-        component_plans, issue_plans, relational_plans, revision_plans, scope_plans, snapshot_plans, text_plans,
-        user_plans,
+        component_plans, issue_plans, quality_plans, relational_plans, revision_plans, scope_plans, snapshot_plans,
+        text_plans, user_plans,
     )
 
 

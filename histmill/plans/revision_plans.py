@@ -124,6 +124,14 @@ def audit_live_children(spark, sf):
     return rv.live_children_of_deleted(propagated_paths(spark, sf))
 
 
+@query("audit_live_children_input", oracle="""
+select p.Path as parent_path, c.Path as child_path from v_file_path p join v_file_path c
+  on p.IsProject and p.Deleted and not c.Deleted and starts_with(lower(c.Path), lower(p.Path) || '/')""")
+def audit_live_children_input(spark, sf):
+    """DQ2: the same audit before propagation, where it has rows to find."""
+    return rv.live_children_of_deleted(v(spark, sf, "v_file_path"))
+
+
 @query("match_range", oracle=f"""with {RENUMBER_SQL.strip()}, {PATHS_SQL.strip()}, {CLAIMS_SQL.strip()}
 select TransmittalID, FCIndex, FileRevKey from exact""")
 def match_range(spark, sf):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from histmill.operators import snapshots as sn
 from histmill.plans.registry import query
+from histmill.session import ensure_checkpoint_dir
+from histmill.sources.files import read_transactions
 from histmill.sources.tables import read_table
 
 # snapshot labels: (name, local time text); the first lies before every check-in
@@ -68,6 +72,23 @@ def log_forward_fill(spark, sf):
     return sn.parse_tran_log(log_lines(spark, sf), "file", "line_no", "value")
 
 
+@query("log_records", oracle=f"""with {LOG_SQL}
+select line_no // 30 as tran_num, cast(row_number() over (partition by line_no // 30 order by line_no) - 1 as integer) as pos,
+  case when regexp_matches(value, '^  # SS [^\\n]+Time: ')
+    then strptime(regexp_extract(value, 'Time: (\\d{{4}}-\\d{{2}}-\\d{{2}}T\\d{{2}}:\\d{{2}}:\\d{{2}})', 1), '%Y-%m-%dT%H:%M:%S')
+  end as checkin_time,
+  regexp_matches(value, '^  # Import initial source') as is_initial
+from lines""")
+def log_records(spark, sf):
+    """SRC4: the listing written as text files (a transaction stays in one) and read back by
+    transaction records, without ordering its lines again."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/listing-{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (log_lines(spark, sf).withColumn("tran", F.expr("line_no div 30")).repartitionByRange(n, "tran")
+     .sortWithinPartitions("line_no").select("value").write.text(path))
+    return sn.parse_transactions(read_transactions(spark, path)).select("tran_num", "pos", "checkin_time", "is_initial")
+
+
 def checkins(spark, sf):
     ev = read_table(spark, sf, "events", ["event_id", "ts"])
     return ev.select(F.expr("event_id div 10").alias("tran_num"), F.date_trunc("second", "ts").alias("checkin_time"),

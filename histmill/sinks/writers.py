@@ -4,13 +4,25 @@ text outputs carry their sort key and are written with a global ``orderBy``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from histmill.sinks.versions import VersionedTable
+
 
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK3/SNK4: create-or-replace (or append) a stage table as parquet."""
-    df.write.mode(mode).parquet(path)
+    """SNK3/SNK4: create or replace a stage table (as the next version of
+    ``sinks.versions.VersionedTable``, so that a failed write leaves the old one; read it with
+    ``read_stage``), or append to a plain parquet folder."""
+    if mode == "overwrite":
+        VersionedTable(df.sparkSession, path).replace(df)
+    else:
+        df.write.mode(mode).parquet(path)
+
+
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a stage table."""
+    return VersionedTable(spark, path).read()
 
 
 def write_by_group(df: DataFrame, path: str, group_col: str = "ImportGroup",

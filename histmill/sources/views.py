@@ -3,7 +3,9 @@
 Each view is one SQL statement that both Spark and DuckDB run unchanged, so
 the Spark query and its oracle read identical inputs: whole tables, whole texts.
 Where an entity needs a reference that the tables lack, its key is a number
-modulo the row count of the referenced table, so key counts grow with the data.
+modulo the row count of the referenced table, so key counts grow with the data. (The check-in
+user has two values, so that neighbouring check-ins can belong together.) Rows whose document
+does not exist keep an empty text.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ _RELEASE_ID = (
     "when 2 then '_Hotfix' when 3 then '_FrenchHF' when 4 then '_JE' else '_Utility' end"
 )
 _RELEASE_LEV = "'L' || cast(cast(replace(p_brand, 'Brand#', '') as int) % 5 as varchar(9))"
+# users that log rows and issues name: every customer's, and three that no customer has
+_USERS = "(select count(*) + 3 from customer)"
 _PRIO_DIGIT = "cast(substring(o_orderpriority, 1, 1) as int)"
 
 VIEW_SQL: dict[str, str] = {
@@ -32,8 +36,8 @@ select p_partkey as SDRNum, {_RELEASE_LEV} as Release, {_RELEASE_ID} as Version,
  case p_partkey % 3 when 0 then 'O' when 1 then 'W' else 'C' end as Status,
  case p_partkey % 7 when 0 then 'Future Release' when 1 then 'Need More Info' when 2 then 'Mystery'
   when 3 then 'No Problem' when 4 then 'No Fix' when 5 then 'Duplicate' end as ReasonCode,
- 'user' || cast(p_partkey % 40 as varchar(9)) as Submitter,
- case when p_partkey % 6 > 0 then 'user' || cast(p_size % 40 as varchar(9)) end as AssignedTo,
+ 'user' || cast(p_partkey % {_USERS} as varchar(9)) as Submitter,
+ case when p_partkey % 6 > 0 then 'user' || cast(p_partkey * 7 % {_USERS} as varchar(9)) end as AssignedTo,
  o_orderdate as Date_Reported, case when p_partkey % 3 = 2 then o_orderdate end as DateClosed,
  p_type as Level2, case when p_size % 2 = 0 then p_brand end as Level3, p_name as ProblemBrief,
  case when p_size % 4 = 0 then 'E' else 'P' end as ProbEnh,
@@ -48,13 +52,13 @@ select o_orderkey as TransmittalId, 'L' || cast({_PRIO_DIGIT} % 5 as varchar(9))
  case o_orderstatus when 'F' then 'Done' when 'P' then 'Pull' else case o_custkey % 5 when 0 then 'QA'
   when 1 then 'Build' when 2 then 'Analyst' when 3 then 'Team Leader' else 'Release Mgr' end end as WaitingOn,
  case o_orderkey % 3 when 0 then 'F' when 1 then 'S' else 'E' end as TransmittalType,
- 'user' || cast(o_custkey % 40 as varchar(9)) as Analyst,
- case when o_custkey % 4 > 0 then 'user' || cast(o_custkey % 37 as varchar(9)) end as QATester,
+ 'user' || cast(o_custkey % {_USERS} as varchar(9)) as Analyst,
+ case when o_custkey % 4 > 0 then 'user' || cast(o_orderkey % {_USERS} as varchar(9)) end as QATester,
  case when o_orderkey % 10 = 0 then 'see manual' end as DocoNotes,
  case when o_orderkey % 9 = 0 then o_orderpriority end as FunctionalArea,
  case when o_orderkey % 11 = 0 then o_custkey end as FeatOrEnhNum, text as ReadMe, o_orderdate
-from (select *, o_orderkey % (select count(*) from documents) as doc from orders) as o
-join documents on doc_id = doc""",
+from (select *, o_orderkey % (select max(doc_id) + 1 from documents) as doc from orders) as o
+left join documents on doc_id = doc""",
     "v_link": """
 select distinct l_orderkey as TransmittalID, l_partkey as SDR_Num
  from lineitem""",
@@ -81,18 +85,18 @@ select event_id as FileRevKey, event_id % (select count(*) from part) as FilePat
  case when event_type in ('error', 'click') then 'fix it' when event_type = 'view' then ' fixit'
   when event_type = 'signup' then 'new' end as Comment, ts as CommitTime, event_type as Action,
  case when user_id % 7 = 0 then 'label ' || event_type end as Label from events""",
-    "v_sdr_log": """
+    "v_sdr_log": f"""
 select event_id, event_id % (select count(*) from part) as SDR_Num, ts as EntryDate,
- case when user_id % 9 > 0 then 'user' || cast(user_id % 40 as varchar(9)) end as Person,
+ case when user_id % 9 > 0 then 'user' || cast(user_id % {_USERS} as varchar(9)) end as Person,
  case event_type when 'error' then 'Wait' when 'click' then 'Comment' when 'view' then 'ASSIGNED'
   when 'signup' then 'Reported' else 'Closed' end as LineType,
  case event_id % 8 when 0 then 'Fixed' when 1 then 'No Problem' when 2 then 'Duplicate' when 3 then ''
   when 4 then '0' when 5 then 'user7' when 6 then 'No Fix' end as ReasonCode,
  case when event_id % 5 > 0 then text end as Description
-from (select *, event_id % (select count(*) from documents) as doc from events) as e
-join documents on doc_id = doc""",
-    "v_trans_log": """
-select event_id, event_id % (select count(*) from orders) as TransmittalID, ts as entrydate, 'user' || cast(user_id % 40 as varchar(9)) as person,
+from (select *, event_id % (select max(doc_id) + 1 from documents) as doc from events) as e
+left join documents on doc_id = doc""",
+    "v_trans_log": f"""
+select event_id, event_id % (select count(*) from orders) as TransmittalID, ts as entrydate, 'user' || cast(user_id % {_USERS} as varchar(9)) as person,
  case event_type when 'error' then 'Transmit' when 'click' then 'Built' when 'view' then 'Tested'
   when 'signup' then 'Send Back' else 'Note' end as linetype,
  case event_id % 4 when 0 then 'to: Build' when 1 then ' ' when 2 then ' checked ' end as description,
