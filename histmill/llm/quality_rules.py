@@ -3,11 +3,14 @@
 Each text gives a few whole-number rates. Per language and source, every rate is summarised
 in a mergeable quantile sketch: counts of logarithmic buckets (exact below 64, within 1/32
 above), made by one grouped count with map-side combining, so a source that holds a third
-of all rows costs its buckets only. Sketches of small groups are too coarse to trust; the
-sketch of the language, which is the sum of its sources' sketches, stands in for them, and
-it also caps what a mostly spoilt source can make normal. A document fails a rule if its
-rate lies beyond its group's upper (or lower) quartile by more than three quartile ranges;
-a floor per rate says what spread is harmless anyway.
+of all rows costs its buckets only. The sketch of a language is the sum of its sources'
+sketches, that of the corpus the sum of the languages'. A quartile of few documents says
+little, so every quartile is drawn towards the next wider group's as if ``PRIOR`` documents
+of that had been counted in: ``(n * own + PRIOR * wider) div (n + PRIOR)``, for a source
+towards its language and for a language towards the corpus, by the one formula at every size.
+The language also caps what a mostly spoilt source can make normal. A document fails a rule
+if its rate lies beyond its group's upper (or lower) quartile by more than three quartile
+ranges; a floor per rate says what spread is harmless anyway.
 
 The texts are read once; thresholds are joined to the staged rates.
 
@@ -27,8 +30,8 @@ from histmill.llm.common import ensure_columns, stage
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-#: Documents that a group needs for thresholds of its own.
-MIN_GROUP = 100
+#: Documents that the wider group's quartiles count for beside a group's own.
+PRIOR = 100
 #: Quartile ranges beyond the quartile, and how much wider the language's cap is.
 SPREAD, CAP = 3, 2
 #: rate -> (upper limit?, spread that is harmless in any group); rates are per 10,000, but
@@ -127,23 +130,28 @@ def quartiles(sketch: DataFrame, *group: str) -> DataFrame:
         .select(*group, "rate", "total", F.expr(bucket_top("b1")).alias("q1"), F.expr(bucket_top("b3")).alias("q3")))
 
 
+def drawn(own: str, wider: str, total: str) -> Column:
+    """A quartile of ``total`` documents drawn towards the wider group's."""
+    return F.expr(f"({total} * {own} + {PRIOR} * {wider}) div ({total} + {PRIOR})")
+
+
 def thresholds(sketch: DataFrame) -> DataFrame:
     """Per (lang, source) a map rate -> limit."""
-    by_source = quartiles(sketch, "lang", "source")
     merged = sketch.groupBy("lang", "rate", "bucket").agg(F.sum("n").alias("n"))
-    by_lang = quartiles(merged, "lang").select(
-        F.col("lang").alias("l_lang"), F.col("rate").alias("l_rate"), F.col("q1").alias("l_q1"),
-        F.col("q3").alias("l_q3"))
+    corpus = merged.groupBy("rate", "bucket").agg(F.sum("n").alias("n"))
+    whole = quartiles(corpus).select(F.col("rate").alias("c_rate"), F.col("q1").alias("c_q1"), F.col("q3").alias("c_q3"))
+    by_lang = (quartiles(merged, "lang").join(whole, F.col("rate") == F.col("c_rate"))
+               .select(F.col("lang").alias("l_lang"), F.col("rate").alias("l_rate"),
+                       drawn("q1", "c_q1", "total").alias("l_q1"), drawn("q3", "c_q3", "total").alias("l_q3")))
     floor = F.create_map(*[F.lit(x) for r, (_, f) in RATES.items() for x in (r, f)])
     upper = F.create_map(*[F.lit(x) for r, (u, _) in RATES.items() for x in (r, u)])
-    both = (by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rate") == F.col("l_rate")))
+    both = (quartiles(sketch, "lang", "source")
+            .join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rate") == F.col("l_rate")))
+            .withColumn("q1", drawn("q1", "l_q1", "total")).withColumn("q3", drawn("q3", "l_q3", "total"))
             .withColumn("floor", floor[F.col("rate")]).withColumn("up", upper[F.col("rate")]))
     room = F.greatest(SPREAD * (F.col("q3") - F.col("q1")), F.col("floor"))
     l_room = F.greatest(SPREAD * (F.col("l_q3") - F.col("l_q1")), F.col("floor"))
-    small = F.col("total") < MIN_GROUP
-    limit = (F.when(F.col("up") & small, F.col("l_q3") + l_room)
-             .when(F.col("up"), F.least(F.col("q3") + room, F.col("l_q3") + CAP * l_room))
-             .when(small, F.col("l_q1") - l_room)
+    limit = (F.when(F.col("up"), F.least(F.col("q3") + room, F.col("l_q3") + CAP * l_room))
              .otherwise(F.greatest(F.col("q1") - room, F.col("l_q1") - CAP * l_room)))
     return (both.withColumn("limit", limit.cast("long"))
             .groupBy("lang", "source").agg(F.map_from_entries(F.collect_list(F.struct("rate", "limit"))).alias("limits")))
@@ -221,23 +229,29 @@ with doc as (
   from (select *, sum(n) over (partition by lang, source, rate order by b) as upto,
                sum(n) over (partition by lang, source, rate) as whole from cum) group by all
 ), lng as (
-  select lang, rate, min(b) filter (4 * upto >= whole) as b1, min(b) filter (4 * upto >= 3 * whole) as b3
+  select lang, rate, max(whole) as total, min(b) filter (4 * upto >= whole) as b1, min(b) filter (4 * upto >= 3 * whole) as b3
   from (select lang, rate, b, sum(n) over (partition by lang, rate order by b) as upto,
                sum(n) over (partition by lang, rate) as whole
         from (select lang, rate, b, sum(n) as n from cum group by all)) group by all
+), everything as (
+  select rate, min(b) filter (4 * upto >= whole) as b1, min(b) filter (4 * upto >= 3 * whole) as b3
+  from (select rate, b, sum(n) over (partition by rate order by b) as upto, sum(n) over (partition by rate) as whole
+        from (select rate, b, sum(n) as n from cum group by all)) group by all
+), lang_fence as (
+  select lang, rate, (total * {top.format(b='g.b1')} + {PRIOR} * {top.format(b='c.b1')}) // (total + {PRIOR}) as g1,
+         (total * {top.format(b='g.b3')} + {PRIOR} * {top.format(b='c.b3')}) // (total + {PRIOR}) as g3
+  from lng g join everything c using (rate)
 ), fence as (
-  select s.lang, s.source, s.rate, s.up, total, {top.format(b='s.b1')} as q1, {top.format(b='s.b3')} as q3,
-         {top.format(b='g.b1')} as g1, {top.format(b='g.b3')} as g3, least_room
-  from src s join lng g on s.lang is not distinct from g.lang and s.rate = g.rate
+  select s.lang, s.source, s.rate, s.up, g1, g3, least_room,
+         (total * {top.format(b='s.b1')} + {PRIOR} * g1) // (total + {PRIOR}) as q1,
+         (total * {top.format(b='s.b3')} + {PRIOR} * g3) // (total + {PRIOR}) as q3
+  from src s join lang_fence g on s.lang is not distinct from g.lang and s.rate = g.rate
 ), room as (
   select *, greatest({SPREAD} * (q3 - q1), least_room) as r, greatest({SPREAD} * (g3 - g1), least_room) as gr
   from fence
 ), lim as (
   select lang, source, rate,
-         case when up and total < {MIN_GROUP} then g3 + gr
-              when up then least(q3 + r, g3 + {CAP} * gr)
-              when total < {MIN_GROUP} then g1 - gr
-              else greatest(q1 - r, g1 - {CAP} * gr) end as bound
+         case when up then least(q3 + r, g3 + {CAP} * gr) else greatest(q1 - r, g1 - {CAP} * gr) end as bound
   from room
 ), broken as (
   select distinct t.rid from rated t join lim on t.lang is not distinct from lim.lang
