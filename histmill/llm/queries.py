@@ -20,8 +20,9 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return source_mix.mix(docs).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                                                    F.xxhash64("text").alias("mark"))
+    return source_mix.mix(docs, mark="mark").select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
