@@ -18,9 +18,11 @@ styles, comments, controls and the like are no text. Character references are de
 white space becomes single spaces, blocks are joined by one line feed.
 
 Defined results: a null or empty page, or one without content, has an empty text; markup that
-is cut off, nested wrongly or unclosed is read as far as it goes (an unclosed script, style or
-other raw element takes the rest, of other silent elements only the start tag goes); repeated
-rows give repeated results.
+is cut off, nested wrongly or unclosed is read as far as it goes (an unclosed script, style,
+textarea, title or comment takes the rest, of other silent elements only the start tag goes);
+end tags that match nothing end a text block only; repeated rows give repeated results; an
+empty table gives an empty result, from a model of the built-in pages; a column named like the
+result is replaced by it. Reading a page takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,9 @@ from pyspark.sql import functions as F
 from histmill.llm.common import ensure_columns, small_batches
 
 SAMPLE, VARIANTS = 300, 3
+#: Blocks of a long article that its training variants are made of, and blocks that go to the
+#: pool of other pages' comments; picked at random over the whole article.
+BLOCKS, SPARE = 40, 6
 FEATURES = 1 << 13
 ROUNDS, RATE, DECAY = 160, 0.15, 1e-4
 
@@ -45,7 +51,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is never text.
 SILENT = frozenset("script style noscript template svg math iframe object head title select textarea button option "
                    "canvas audio video map datalist".split())
-RAW = frozenset("script style textarea title noscript iframe template".split())
+RAW = frozenset("script style textarea title".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary "
                   "table tbody td tfoot th thead tr ul caption search".split())
@@ -123,6 +129,7 @@ def parse(source: str | None) -> Page:
     page = Page()
     root = page.add(-1, "#root", [])
     stack: list[tuple[str, int]] = [("#root", root)]
+    places: defaultdict[str, list[int]] = defaultdict(list)  # tag -> its places in the stack
     marks = [-1]
     words: list[str] = []
     state = {"link": False, "linked": 0}
@@ -143,10 +150,15 @@ def parse(source: str | None) -> Page:
 
     def pop_to(k: int) -> None:
         flush()
+        for gone, _ in stack[k:]:
+            places[gone].pop()
         del stack[k:]
         del marks[k:]
         state["link"] = False
 
+    def innermost(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
+
     source, at, n = source or "", 0, len(source or "")
     silent_ends: dict[str, dict[int, int]] = {}
     while at < n:
@@ -178,8 +190,7 @@ def parse(source: str | None) -> Page:
             state["link"] = not closing
         elif tag in BLOCK:
             if closing:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-                if k:
+                if k := innermost((tag,)):
                     pop_to(k)
                 else:
                     flush()
@@ -190,16 +201,14 @@ def parse(source: str | None) -> Page:
                 pop_to(k + 1)
             if tag in ENDS:
                 kinds, bounds = ENDS[tag]
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in kinds:
-                        pop_to(k)
-                        break
-                    if stack[k][0] in bounds:
-                        break
+                k = innermost(kinds)
+                if k > innermost(bounds):
+                    pop_to(k)
             if tag in VOID:
                 continue
             names, label = _attributes(raw) if raw else ([], -1)
             marks.append(label if label >= 0 else marks[-1])
+            places[tag].append(len(stack))
             stack.append((tag, page.add(stack[-1][1], tag, names, label=marks[-1])))
     flush()
     return page
@@ -449,8 +458,14 @@ def labelled_pages(sources: list[str], seed: int = 9) -> list[Page]:
     rng = np.random.default_rng(seed)
     own = [p for p in map(self_labelled, sources) if p is not None]
     articles = [[t for t, y in zip(p.text, p.label, strict=True) if t and y == 1] for p in own]
-    articles = [a[:40] for a in articles if a] * VARIANTS + [_BUILT_IN] * 40
-    spare = [t for a in articles for t in a[:6]]
+    picks = np.random.default_rng(seed + 1)
+
+    def some(blocks: list[str], most: int) -> list[str]:
+        chosen = picks.permutation(len(blocks))[:most]
+        return [blocks[k] for k in sorted(chosen)]
+
+    articles = [some(a, BLOCKS) for a in articles * VARIANTS if a] + [_BUILT_IN] * 40
+    spare = [t for a in articles for t in some(a, SPARE)]
     # some articles are a line or two among a full set of menus
     articles = [a[:int(rng.integers(1, 3))] if rng.random() < 0.25 else a for a in articles]
     return own + [parse(variant(a, spare, rng)) for a in articles]
