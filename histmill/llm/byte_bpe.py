@@ -34,8 +34,12 @@ from pyspark.sql import functions as F
 
 from histmill.llm.common import ensure_columns, small_batches
 
-#: Pieces, pairs and states that a worker remembers before it starts anew.
+#: Pieces and pairs that a worker remembers before it starts anew.
 CACHE = 500_000
+#: States of the transducer that a worker remembers, give or take a block.
+STATES = 200_000
+#: Bytes of a piece between looks at that bound.
+BLOCK = 16_384
 #: Ids that the streaming decoder is fed at a time.
 CHUNK = 8192
 
@@ -203,22 +207,35 @@ class Transducer:
             end -= self.length[token]
         return path[::-1]
 
-    def feed(self, piece: bytes) -> list[int]:
-        if len(self._states) > CACHE:
-            self._reset()
-        state, ids, hops = self.START, [], self.hops
-        for byte in piece:
-            state, out = hops.get(state << 8 | byte) or self.step(state, byte)
-            if out:
-                ids += out
+    def _restart(self, number: int) -> int:
+        """Forget all states but the one a piece has reached; return its new number."""
+        state = self._states[number]
+        self._reset()
+        if state not in self._numbers:
+            self._numbers[state] = len(self._states)
+            self._states.append(state)
+        return self._numbers[state]
+
+    def feed(self, piece: bytes) -> array:
+        state, packed = self.START, array("I")
+        for at in range(0, len(piece), BLOCK):
+            ids, hops = [], self.hops
+            for byte in piece[at:at + BLOCK]:
+                state, out = hops.get(state << 8 | byte) or self.step(state, byte)
+                if out:
+                    ids += out
+            packed.extend(ids)
+            if len(self._states) > STATES:
+                state = self._restart(state)
         lasts = self._states[state][1]
-        return ids + self._path(lasts, len(lasts))
+        packed.extend(self._path(lasts, len(lasts)))
+        return packed
 
     def encode_piece(self, piece: str) -> bytes:
         """Little-endian 32-bit ids; a piece that is a token as a whole is that token."""
         raw = piece.encode("utf-8", "replace")
         whole = self.ranks.get(raw)
-        return array("I", [whole] if whole is not None else self.feed(raw)).tobytes()
+        return (array("I", [whole]) if whole is not None else self.feed(raw)).tobytes()
 
 
 class _Pieces(dict):
