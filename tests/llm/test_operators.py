@@ -375,3 +375,59 @@ def test_rows_that_share_an_id_lose_no_text(spark):
     assert got[1, None] == 1 and got[3, ""] == 1 and got[3, other] == 1
     assert texts[prose(50, 73)] == 1 and got[4, prose(50, 74)] == 1 and got[7, "twice"] == 1
     assert minhash_dedup.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_mix_comes_near_each_target_on_skewed_sizes(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, "abcd"[i % 4], int(n)) for i, n in enumerate(np.minimum(rng.pareto(1.1, 4000) * 30 + 5, 5000))]
+    got = source_mix.mix(spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["copies"] * r["size"]
+        target[r["source"]] = r["target"]
+        assert 0 <= r["copies"] <= 3
+    assert all(abs(taken[s] - t) <= 0.01 * t for s, t in target.items())
+
+
+def test_mixed_rows_share_the_copies_of_equal_rows(spark):
+    rows = [(None, "same text here", "a", k) for k in range(7)] + [(1, "one", "a", 0), (1, "two", "a", 1), (2, None, None, 0),
+                                                                  (3, "long " * 50, "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    mixed = source_mix.mixed_rows(docs)
+    assert mixed.columns == docs.columns
+    once, again = (Counter(map(tuple, source_mix.mixed_rows(docs.repartition(n)).collect())) for n in (1, 3))
+    assert once == again and set(once) <= set(rows) and max(once.values()) <= 3
+    words = sum(n * len((r[1] or "").split()) for r, n in once.items())
+    sizes = {"a": 23, "b": 50, None: 0}
+    assert abs(words - sum(source_mix.source_targets(sizes).values())) <= 53
+    assert source_mix.mixed_rows(docs.limit(0)).count() == 0
+
+
+def test_fingerprint_ranges_split_one_id_and_rows_without(spark):
+    rows = [(None, f"none {k}") for k in range(60)] + [(5, f"five {k}") for k in range(60)] + [(k, f"text {k}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = multiset_hash.edited_against_next(docs).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    order = [r["text"] for r in docs.select("text", F.xxhash64("text").alias("th"), "doc_id").orderBy(
+        F.col("doc_id").asc_nulls_first(), "th").collect()]
+    wanted = [hashlib.sha256(multiset_hash.edited_text(t, order[(k + 1) % len(order)]).encode()).hexdigest()
+              for k, t in enumerate(order)]
+    assert sorted(r["edited_sha256"] for r in got) == sorted(wanted)
+    find = multiset_hash.range_of(np.array([5, 5, 5, 9]))
+    parts = spark.range(2000).select(find(F.lit(5).cast("long"), F.xxhash64("id")).alias("r")).groupBy("r").count().collect()
+    assert {r["r"] for r in parts} == {0, 1, 2, 3} and max(r["count"] for r in parts) < 700
+
+
+def test_limits_move_without_a_jump_as_a_group_grows(spark):
+    def rows(n):
+        words = " ".join(f"word{j}" for j in range(80))
+        own = [(k, words + " #" * (k % 5), "en", "small") for k in range(n)]
+        return own + [(1000 + k, words + " other#" * (k % 9), "en", "large") for k in range(300)]
+
+    limits = []
+    for n in range(98, 103):
+        rated = quality_rules.base_counts(spark.createDataFrame(rows(n), "doc_id long, text string, lang string, source string"))
+        got = {r["source"]: r["limits"] for r in quality_rules.thresholds(quality_rules.sketches(rated)).collect()}
+        limits.append(got["small"])
+    for a, b in zip(limits, limits[1:], strict=False):
+        assert all(abs(a[r] - b[r]) <= 0.05 * max(abs(a[r]), 100) for r in a)

@@ -1,6 +1,9 @@
 """Operators' building blocks against brute force and exact round trips, without Spark."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -233,3 +236,76 @@ def test_every_character_of_a_run_is_read(run):
                 for g in (f"^{t}$"[k:k + 3] for k in range(len(t)))} <= set(seen)
     ids, chars = toxicity.Vocabulary({}).rows(words)
     assert (chars > 0).any(axis=1).all()
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_size_classes_leave_a_short_document(seed):
+    rng = np.random.default_rng(seed)
+    size = np.concatenate([rng.integers(5, 200, 900), rng.integers(2000, 9000, 30), [60_000]]).astype(float)
+    p = np.full(len(size), 0.37)
+    wanted = float(p @ size)
+    rest = source_mix.round_by_class(p, size, rng)
+    assert rest < 0 or size[rest] <= 4 * size.min()
+    assert abs(float(p @ size) - wanted) < 1
+    assert all(x in (0.0, 1.0) for k, x in enumerate(p) if k != rest)
+
+
+def test_size_classes_keep_each_expectation():
+    size = np.array([700.0, 300, 130, 120, 60, 50, 45, 20, 15, 9, 4, 3])
+    total = np.zeros(len(size))
+    for seed in range(6000):
+        p = np.full(len(size), 0.4)
+        source_mix.round_by_class(p, size, np.random.default_rng(seed))
+        total += p
+    assert np.abs(total / 6000 - 0.4).max() < 0.05
+
+
+def test_likeness_of_long_repetitive_texts():
+    long, shorter = (multiset_hash.Fingerprint("word " * n) for n in (100_000, 95_000))
+    assert 0.99 < long.likeness(shorter) < 1
+    assert multiset_hash.Fingerprint("word " * 33_000).likeness(multiset_hash.Fingerprint("word " * 32_000)) > 0.99
+
+
+def test_unmatched_tags_on_a_deep_page_take_linear_time():
+    import time
+
+    for many in ("</section>", "</p>", "<li></li>", "<tr></tr>"):
+        source = "<div>" * 8000 + many * 100_000 + "<p>the article</p>"
+        began = time.process_time()
+        assert html_extract.parse(source).text[-1] == "the article"
+        assert time.process_time() - began < 5
+
+
+def test_long_articles_are_sampled_over_their_whole_length(monkeypatch):
+    seen = []
+    monkeypatch.setattr(html_extract, "variant", lambda a, spare, rng: seen.append(a) or "<p data-y=1>x</p>")
+    blocks = [f"Paragraph number {k} of the article." for k in range(200)]
+    html_extract.labelled_pages(["<html><body><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article></body></html>"])
+    whole = max(seen, key=lambda a: sum(b in blocks for b in a))
+    assert any(b in blocks[150:] for a in seen for b in a) and len(whole) <= html_extract.BLOCKS
+
+
+def test_states_are_bounded_inside_a_piece(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "STATES", 3000)
+    monkeypatch.setattr(byte_bpe, "BLOCK", 512)
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rnd = random.Random(4)
+    run = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=120_000))
+    library = tiktoken.Encoding("b", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    transducer = byte_bpe.Transducer(ranks)
+    assert list(transducer.feed(run.encode())) == library.encode_ordinary(run)
+    assert len(transducer._states) <= 3000 + 512 + 1
+
+
+def test_a_long_run_of_letters_fits_in_little_memory():
+    code = """
+import resource, numpy as np, public_tokenizers
+from histmill.llm import byte_bpe
+transducer = byte_bpe.Transducer(byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+run = bytes(np.random.default_rng(5).integers(97, 123, 1_000_000, dtype=np.uint8))
+assert b"".join(transducer.bytes_of[i] for i in transducer.feed(run)) == run
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                          env={**os.environ, "PYTHONPATH": os.pathsep.join(p for p in sys.path if p)})
+    assert int(done.stdout.split()[-1]) < 500
