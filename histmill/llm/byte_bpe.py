@@ -37,7 +37,7 @@ from histmill.llm.common import ensure_columns, small_batches
 #: Pieces and pairs that a worker remembers before it starts anew.
 CACHE = 500_000
 #: States of the transducer that a worker remembers, give or take a block.
-STATES = 200_000
+STATES = 400_000
 #: Bytes of a piece between looks at that bound.
 BLOCK = 16_384
 #: Ids that the streaming decoder is fed at a time.
