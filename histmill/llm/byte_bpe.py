@@ -20,10 +20,12 @@ complete and replaces malformed sequences by U+FFFD.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -80,24 +82,27 @@ class Transducer:
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"the ranks lack {len(missing)} single bytes")
         self.length = {r: len(t) for t, r in ranks.items()}
-        self.trie: dict[int, int] = {}
-        self.token_at: dict[int, int] = {}
-        self.grows: set[int] = set()
         self._build_trie()
         self._stable: dict[int, bool] = {}
         self._spines: dict[int, tuple[list[int], list[int]]] = {}
         self._reset()
 
     def _build_trie(self) -> None:
-        """Trie of the tokens; node 0 is the root, the child by a byte is at node * 256 + byte."""
+        """Trie of the tokens: the children of each node by byte (None at a leaf), and the token
+        that ends there (-1 if none). Node 0 is the root."""
+        self.children: list[dict[int, int] | None] = [None]
+        self.token_at: list[int] = [-1]
         for token, rank in self.ranks.items():
             node = 0
             for byte in token:
-                key = node << 8 | byte
-                child = self.trie.get(key)
+                below = self.children[node]
+                if below is None:
+                    below = self.children[node] = {}
+                child = below.get(byte)
                 if child is None:
-                    child = self.trie[key] = len(self.trie) + 1
-                self.grows.add(node)
+                    child = below[byte] = len(self.children)
+                    self.children.append(None)
+                    self.token_at.append(-1)
                 node = child
             self.token_at[node] = rank
 
@@ -160,18 +165,22 @@ class Transducer:
     def step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Determinise one transition."""
         before, lasts, open_ = self._states[number]
+        children, length = self.children, self.length
         token, still = -1, []
         for start, node in open_:  # ascending boundaries: the longest token first
-            child = self.trie.get(node << 8 | byte)
+            child = children[node].get(byte)
             if child is None:
                 continue
             if token < 0:
-                t = self.token_at.get(child, -1)
-                if t >= 0 and self._spine(t)[0]:
+                t = self.token_at[child]
+                if t >= 0:
                     prior = lasts[start - 1] if start else before
-                    if prior < 0 or self.stable(prior, t):
+                    known = self._stable.get(prior << 32 | t) if prior >= 0 else None
+                    if known is None:  # a token that merging does not give is stable after none
+                        known = bool(self._spine(t)[0]) and (prior < 0 or self.stable(prior, t))
+                    if known:
                         token = t
-            if child in self.grows:
+            if children[child] is not None:
                 still.append((start, child))
         lasts = (*lasts, token)
         still.append((len(lasts), 0))
@@ -182,9 +191,9 @@ class Transducer:
                 break
             while start != cut:
                 if start > cut:
-                    start -= self.length[lasts[start - 1]]
+                    start -= length[lasts[start - 1]]
                 else:
-                    cut -= self.length[lasts[cut - 1]]
+                    cut -= length[lasts[cut - 1]]
         out: tuple[int, ...] = ()
         if cut:
             out = tuple(self._path(lasts, cut))
@@ -387,8 +396,23 @@ class StreamDecoder:
 @lru_cache
 def _coders(path: str, pattern: str) -> tuple[Encoder, StreamDecoder]:
     """One pair per worker process, kept between tasks."""
-    encoder = Encoder(load_ranks(path), pattern)
-    return encoder, StreamDecoder(encoder.transducer.bytes_of)
+    with _no_cycle_search():
+        encoder = Encoder(load_ranks(path), pattern)
+        return encoder, StreamDecoder(encoder.transducer.bytes_of)
+
+
+@contextmanager
+def _no_cycle_search() -> Iterator[None]:
+    """States are tuples without cycles, freed by their counts; searching them for cycles again
+    and again takes a quarter of the time. What is made inside is left out of later searches."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.freeze()
+        if was:
+            gc.enable()
 
 
 def _batches(path: str, pattern: str, keep_ids: bool) -> Callable:
@@ -397,17 +421,18 @@ def _batches(path: str, pattern: str, keep_ids: bool) -> Callable:
         names = ["ids"] * keep_ids + ["n_tokens", "ids_sha256", "decoded_sha256"]
         for batch in batches:
             n, ids_sha, decoded_sha, all_ids = [], [], [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                ids = encoder.encode(text or "")
-                digest = hashlib.sha256()
-                for k in range(0, len(ids), CHUNK):
-                    digest.update(decoder.feed(ids[k:k + CHUNK]))
-                digest.update(decoder.finish())
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                decoded_sha.append(digest.hexdigest())
-                if keep_ids:
-                    all_ids.append(ids.astype(np.int32))
+            with _no_cycle_search():
+                for text in batch.column(batch.num_columns - 1).to_pylist():
+                    ids = encoder.encode(text or "")
+                    digest = hashlib.sha256()
+                    for k in range(0, len(ids), CHUNK):
+                        digest.update(decoder.feed(ids[k:k + CHUNK]))
+                    digest.update(decoder.finish())
+                    n.append(len(ids))
+                    ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                    decoded_sha.append(digest.hexdigest())
+                    if keep_ids:
+                        all_ids.append(ids.astype(np.int32))
             more = [pa.array(all_ids, pa.list_(pa.int32()))] if keep_ids else []
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *more, pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
