@@ -24,7 +24,10 @@ Words are what white space (space, \\t..\\r) separates, with A-Z lower-cased.
 
 Defined results: null, empty and shorter texts have no passages; a passage that repeats only
 within one document is none; rows without doc_id are left out; rows that share a doc_id are
-one document, represented by its longest text; an empty table gives an empty result.
+one document, of which every text is searched (positions are within a row's text; rows equal in
+doc_id and words give their passages once); an empty table gives an empty result.
+
+Texts are read once: a stage table holds the hashes of their words, which all later steps use.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ from histmill.llm.common import drop_stage, ensure_columns, shuffle_partitions,
 WORDS = 50
 GRAM = 10
 WORD_CACHE = 1_000_000
+#: Words that a task handles at a time, give or take a row.
+CHUNK = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -74,13 +79,30 @@ def grams(w: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchors(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of the smallest (leftmost) hash of every window, the first window that chooses
-    each and the number of windows that do (they follow each other); none if the text is shorter."""
-    if len(h) < window:
+def _smallest(h: np.ndarray, window: int) -> np.ndarray:
+    """Position of the smallest (leftmost) hash of every window, by windows of doubled length."""
+    value, at, size = h, np.arange(len(h)), 1
+    while size < window:
+        step = min(size, window - size)  # the last two halves overlap
+        later = value[step:] < value[:-step]
+        value = np.where(later, value[step:], value[:-step])
+        at = np.where(later, at[step:], at[:-step])
+        size += step
+    return at
+
+
+def anchors(h: np.ndarray, window: int, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the smallest (leftmost) hash of every window (or of those at ``starts``, ascending),
+    the first window that chooses each and the number of windows that do (they follow each other)."""
+    if len(h) < window or starts is not None and not len(starts):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(len(h) - window + 1)
-    return np.unique(at, return_index=True, return_counts=True)
+    at = _smallest(h, window)
+    if starts is None:
+        starts = np.arange(len(at))
+    else:
+        at = at[starts]
+    edge = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[edge], starts[edge], np.diff(np.append(edge, len(at)))
 
 
 def minimisers(h: np.ndarray, window: int) -> np.ndarray:
@@ -99,40 +121,80 @@ def span_hashes(w: np.ndarray, start: np.ndarray, size: np.ndarray | int) -> np.
     return _mix((sums[start + size] - sums[start]) * _powers(pow(BASE, -1, 1 << 64), n)[start])
 
 
-def _contexts(h: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """Two longs of the four blocks after each position, two of the four before it."""
-    low = np.concatenate([np.zeros(4 * GRAM, np.uint64), h & np.uint64(0xFFFFFFFF), np.zeros(5 * GRAM, np.uint64)])
-    c = [low[at + (4 + k) * GRAM] for k in (1, 2, 3, 4, -1, -2, -3, -4)]
-    return [((c[k] << np.uint64(32)) | c[k + 1]).view(np.int64) for k in (0, 2, 4, 6)]
+def _contexts(h: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[np.ndarray]:
+    """Two longs of the four blocks after each position, two of the four before it; blocks that do
+    not begin between ``lo`` and ``hi``, the first and last gram of the text, are 0."""
 
+    def block(k: int) -> np.ndarray:
+        j = at + k * GRAM
+        return np.where((j >= lo) & (j <= hi), h[np.clip(j, 0, len(h) - 1)] & np.uint64(0xFFFFFFFF), np.uint64(0))
 
-def _suffix_batches(words: int) -> Callable:
-    names = ["g", "r1", "r2", "l1", "l2", "pos", "ctx", "first", "n"]
+    return [((block(a) << np.uint64(32)) | block(b)).view(np.int64) for a, b in ((1, 2), (3, 4), (-1, -2), (-3, -4))]
+
+
+def _hash_batches(words: int) -> Callable:
+    """Rows of ``words`` words or more, as the hashes of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            ids, cols = [], [[] for _ in names]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids, packed = [], []
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 w = word_hashes(text, hashes)
-                h = grams(w)
-                at, first, n = anchors(h, words - GRAM + 1)
-                if len(at):
-                    ids.append(np.full(len(at), doc_id, np.int64))
-                    # the words of the windows that choose the suffix, and where in them it is
-                    ctx = _mix(span_hashes(w, first, n + (words - 1)) + (n * 64 + at - first).astype(np.uint64))
-                    for c, v in zip(cols, [h[at].view(np.int64), *_contexts(h, at), at, ctx.view(np.int64), first, n],
-                                    strict=True):
-                        c.append(v)
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in [ids, *cols]],
-                                                 names=["doc_id", *names])
+                if len(w) >= words:
+                    ids.append(doc_id)
+                    packed.append(w.tobytes())
+            marks = [xxhash.xxh3_64_intdigest(p) - (1 << 63) for p in packed]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()),
+                                              pa.array(packed, pa.binary())], names=["doc_id", "mark", "words"])
+
+    return run
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint64)
+
+
+def _suffix_columns(texts: list[np.ndarray], words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of texts of ``words`` words or more, laid one behind the other: the number of the text of
+    each suffix, and its columns."""
+    sizes = np.array([len(w) for w in texts])
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    w = np.concatenate(texts)
+    h = grams(w)
+    n_windows = sizes - words + 1
+    # the windows inside one text
+    starts = np.repeat(begins - np.cumsum(n_windows) + n_windows, n_windows) + np.arange(n_windows.sum())
+    at, first, n = anchors(h, words - GRAM + 1, starts)
+    of = np.searchsorted(ends, at, side="right")
+    # the words of the windows that choose the suffix, and where in them it is
+    ctx = _mix(span_hashes(w, first, n + (words - 1)) + (n * 64 + at - first).astype(np.uint64))
+    return of, [h[at].view(np.int64), *_contexts(h, at, begins[of], ends[of] - GRAM), at - begins[of],
+                ctx.view(np.int64), first - begins[of], n]
+
+
+def _suffix_batches(words: int) -> Callable:
+    names = ["doc_id", "row", "g", "r1", "r2", "l1", "l2", "pos", "ctx", "first", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, rows = (batch.column(c).to_numpy() for c in ("doc_id", "row"))
+            packed = batch.column("words")
+            begin, held = 0, 0
+            for k in range(len(packed)):
+                held += len(packed[k].as_buffer()) // 8
+                if held >= CHUNK or k == len(packed) - 1:
+                    of, cols = _suffix_columns([unpack(p.as_buffer()) for p in packed[begin:k + 1]], words)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c) for c in (ids[begin:k + 1][of], rows[begin:k + 1][of], *cols)], names=names)
+                    begin, held = k + 1, 0
 
     return run
 
 
 def _diagonals(links: DataFrame) -> DataFrame:
-    """One staged row per pair of documents with the diagonals that (a, pa, b, pb) lie on."""
+    """One staged row per pair of rows with the diagonals that (a, pa, b, pb) lie on."""
     swap = F.col("a") > F.col("b")
     return stage(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                               F.when(swap, F.col("pa") - F.col("pb")).otherwise(F.col("pb") - F.col("pa")).alias("d"))
@@ -140,13 +202,14 @@ def _diagonals(links: DataFrame) -> DataFrame:
 
 
 def _neighbours(suffixes: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of documents with diagonals: each suffix with the nearest one of another document on
-    either side in the order of ``keys``, doc_id and pos, if both begin with the same gram."""
-    order = [*keys, "doc_id", "pos"]
+    """Pairs of rows with diagonals: each suffix with the nearest one of another document on
+    either side in the order of ``keys``, doc_id, row and pos, if both begin with the same gram."""
+    order = [*keys, "doc_id", "row", "pos"]
     n = shuffle_partitions(suffixes.sparkSession)
     ranged = stage(suffixes.select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order)
                    .withColumn("pid", F.spark_partition_id()))
-    me = F.struct("g", "doc_id", "pos")
+    own = ["g", "doc_id", "row", "pos"]
+    me = F.struct(*own)
     out = None
     for forward in (True, False):
         sort = order if forward else [F.col(c).desc() for c in order]
@@ -155,9 +218,9 @@ def _neighbours(suffixes: DataFrame, keys: list[str]) -> DataFrame:
         filled = (ranged.withColumn("was", F.lag(me).over(w))
                   .withColumn("other", F.last(F.when(F.col("was.doc_id") != F.col("doc_id"), F.col("was")),
                                               ignorenulls=True).over(upto))
-                  .select("pid", "g", "doc_id", "pos", "other", F.row_number().over(w).alias("rn")))
+                  .select("pid", *own, "other", F.row_number().over(w).alias("rn")))
         # what the range before hands over: its last suffix, and that one's own neighbour. One row per range.
-        last = (filled.groupBy("pid").agg(F.max_by(F.struct("g", "doc_id", "pos"), "rn").alias("last"),
+        last = (filled.groupBy("pid").agg(F.max_by(me, "rn").alias("last"),
                                           F.max_by("other", "rn").alias("older")))
         # the ranges are few (one row per partition), so one window over them is bounded
         across = Window.orderBy("pid" if forward else F.col("pid").desc())
@@ -166,7 +229,7 @@ def _neighbours(suffixes: DataFrame, keys: list[str]) -> DataFrame:
         joined = filled.join(F.broadcast(edge), "pid")
         best = F.coalesce("other", F.when(F.col("e1.doc_id") != F.col("doc_id"), F.col("e1")), F.col("e2"))
         found = (joined.withColumn("o", best).filter("o.g = g and o.doc_id <> doc_id")
-                 .select(F.col("doc_id").alias("a"), F.col("pos").alias("pa"), F.col("o.doc_id").alias("b"),
+                 .select(F.col("row").alias("a"), F.col("pos").alias("pa"), F.col("o.row").alias("b"),
                          F.col("o.pos").alias("pb")))
         out = found if out is None else out.unionByName(found)
     out = _diagonals(out)
@@ -176,12 +239,11 @@ def _neighbours(suffixes: DataFrame, keys: list[str]) -> DataFrame:
 
 def _window_batches(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
         for batch in batches:
-            cols: list[list] = [[], [], [], []]
-            for doc_id, runs, text in zip(batch.column("doc_id").to_pylist(), batch.column("runs"),
-                                          batch.column("text").to_pylist(), strict=True):
-                w = word_hashes(text, hashes)
+            cols: list[list] = [[] for _ in range(5)]
+            for doc_id, row, runs, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(),
+                                               batch.column("runs"), batch.column("words"), strict=True):
+                w = unpack(text.as_buffer())
                 packed = runs.values.to_numpy()
                 n = packed >> 1 & 0xFFFF
                 # every window of each run
@@ -190,11 +252,11 @@ def _window_batches(words: int) -> Callable:
                 inside = start + words <= len(w)
                 start, lone = start[inside], lone[inside]
                 for c, v in zip(cols, [span_hashes(w, start, words).view(np.int64), np.full(len(start), doc_id, np.int64),
-                                       start, lone], strict=True):
+                                       np.full(len(start), row, np.int64), start, lone], strict=True):
                     c.append(v)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols],
-                                                 names=["h", "doc_id", "pos", "lone"])
+                                                 names=["h", "doc_id", "row", "pos", "lone"])
 
     return run
 
@@ -202,26 +264,26 @@ def _window_batches(words: int) -> Callable:
 def _other(first: str, last: str) -> list:
     """(a, pa, b, pb): a row's own place and the first, or else the last, place in another document."""
     o = F.when(F.col(f"{first}.doc_id") != F.col("doc_id"), F.col(first)).otherwise(F.col(last))
-    return [F.col("doc_id").alias("a"), F.col("pos").alias("pa"), o["doc_id"].alias("b"), o["pos"].alias("pb")]
+    return [F.col("row").alias("a"), F.col("pos").alias("pa"), o["row"].alias("b"), o["pos"].alias("pb")]
 
 
 def _window_pairs(kept: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Pairs of documents with diagonals: every repeated window of every document with one other
+    """Pairs of rows with diagonals: every repeated window of every document with one other
     document that holds it."""
-    place = F.struct("doc_id", "pos")
+    place = F.struct("doc_id", "row", "pos")
     ends = [F.min(place).alias("lo"), F.max(place).alias("hi")]
     # staged, so that the joins on a hot class or window can be split
     classes = stage(kept.groupBy("g", "ctx").agg(*ends).filter("lo <> hi"))
-    placed = stage(kept.select("g", "ctx", "doc_id", "pos", "first", "n", "mixed").join(classes, ["g", "ctx"], "left")
+    placed = stage(kept.select("g", "ctx", "doc_id", "row", "pos", "first", "n", "mixed").join(classes, ["g", "ctx"], "left")
                    .drop("g", "ctx"))
     drop_stage(classes)
     lone = F.coalesce(F.col("lo.doc_id") == F.col("hi.doc_id"), F.lit(True))
     # a class of several documents is only looked for by others: two of its suffixes do
     runs = (placed.filter(F.col("mixed") & (lone | (place == F.col("lo")) | (place == F.col("hi"))))
-            .groupBy("doc_id").agg(F.collect_list(F.shiftleft(F.col("first"), 17) + F.shiftleft(F.col("n"), 1)
+            .groupBy("row").agg(F.collect_list(F.shiftleft(F.col("first"), 17) + F.shiftleft(F.col("n"), 1)
                                                   + lone.cast("long")).alias("runs")))
-    windows = stage(texts.join(runs, "doc_id").select("doc_id", "runs", "text")
-                    .mapInArrow(_window_batches(words), "h long, doc_id long, pos long, lone boolean"))
+    windows = stage(texts.join(runs, "row").select("doc_id", "row", "runs", "words")
+                    .mapInArrow(_window_batches(words), "h long, doc_id long, row long, pos long, lone boolean"))
     held = stage(windows.groupBy("h").agg(*ends).filter("lo.doc_id <> hi.doc_id"))
     out = _diagonals(placed.filter(~lone).select(*_other("lo", "hi"))
                      .unionByName(windows.filter("lone").join(held, "h").select(*_other("lo", "hi"))))
@@ -246,19 +308,16 @@ def matches(wa: np.ndarray, wb: np.ndarray, diagonals: list[int], words: int) ->
 
 
 def _extend_batches(words: int) -> Callable:
-    columns = ["doc_id", "start", "n_words", "other_id", "other_start"]
+    columns = ["doc_id", "mark", "start", "n_words", "other_id", "other_start"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last, wb = _WordHashes(), None, None
         for batch in batches:
             out: list[tuple] = []
-            for a, b, diagonals, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "diagonals", "ta", "tb")),
-                                               strict=True):
-                if b != last:
-                    last, wb = b, word_hashes(tb, hashes)
-                for sa, sb, n in matches(word_hashes(ta, hashes), wb, diagonals, words):
-                    out += [(a, sa, n, b, sb), (b, sb, n, a, sa)]
-            cols = list(zip(*out, strict=True)) if out else [[]] * 5
+            a, mark_a, b, mark_b, diagonals = (batch.column(c).to_pylist() for c in ("a", "ma", "b", "mb", "diagonals"))
+            for k, (wa, wb) in enumerate(zip(batch.column("wa"), batch.column("wb"), strict=True)):
+                for sa, sb, n in matches(unpack(wa.as_buffer()), unpack(wb.as_buffer()), diagonals[k], words):
+                    out += [(a[k], mark_a[k], sa, n, b[k], sb), (b[k], mark_b[k], sb, n, a[k], sa)]
+            cols = list(zip(*out, strict=True)) if out else [[]] * len(columns)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=columns)
 
     return run
@@ -276,8 +335,11 @@ def repeated_passages(docs: DataFrame, words: int = WORDS) -> DataFrame:
     small_batches(docs.sparkSession)
     narrow = (docs.filter("doc_id is not null and text is not null")
               .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    suffixes = stage(narrow.mapInArrow(_suffix_batches(words), "doc_id long, g long, r1 long, r2 long, l1 long, l2 long, "
-                                                               "pos long, ctx long, first long, n long"))
+    texts = stage(narrow.mapInArrow(_hash_batches(words), "doc_id long, mark long, words binary")
+                  .withColumn("row", F.monotonically_increasing_id()))
+    suffixes = stage(texts.select("doc_id", "row", "words").mapInArrow(
+        _suffix_batches(words), "doc_id long, row long, g long, r1 long, r2 long, l1 long, l2 long, pos long, ctx long, "
+                                "first long, n long"))
     # mixed: not all suffixes of the gram are of one class
     shared = stage(suffixes.groupBy("g").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"),
                                              (F.min("ctx") != F.max("ctx")).alias("mixed"))
@@ -285,19 +347,17 @@ def repeated_passages(docs: DataFrame, words: int = WORDS) -> DataFrame:
     kept = stage(suffixes.join(shared, "g"))
     drop_stage(suffixes)
     pairs = (_neighbours(kept, ["g", "r1", "r2"]).unionByName(_neighbours(kept, ["g", "l1", "l2"]))
-             .unionByName(_window_pairs(kept, narrow, words)))
+             .unionByName(_window_pairs(kept, texts, words)))
     pairs = stage(pairs.groupBy("a", "b").agg(F.array_distinct(F.flatten(F.collect_list("diagonals"))).alias("diagonals")))
     drop_stage(kept)
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(narrow.join(involved, "doc_id", "left_semi"))
-    twice = texts.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    twice = stage(twice)
-    texts = texts.join(twice, "doc_id", "left_anti").unionByName(
-        texts.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(
-            F.max_by("text", F.struct(F.length("text"), "text")).alias("text")))
-    both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-            .select("a", "b", "diagonals", "ta", "tb"))
-    found = both.mapInArrow(_extend_batches(words), "doc_id long, start long, n_words long, other_id long, other_start long")
-    return (found.groupBy("doc_id", "start", "n_words").agg(F.min(F.struct("other_id", "other_start")).alias("o"))
+
+    def end(side: str) -> DataFrame:
+        return texts.select(F.col("row").alias(side), F.col("doc_id").alias(f"d{side}"), F.col("mark").alias(f"m{side}"),
+                            F.col("words").alias(f"w{side}"))
+
+    both = (pairs.join(end("a"), "a").join(end("b"), "b")
+            .select(F.col("da").alias("a"), "ma", F.col("db").alias("b"), "mb", "diagonals", "wa", "wb"))
+    found = both.mapInArrow(_extend_batches(words), "doc_id long, mark long, start long, n_words long, other_id long, "
+                                                    "other_start long")
+    return (found.groupBy("doc_id", "mark", "start", "n_words").agg(F.min(F.struct("other_id", "other_start")).alias("o"))
             .select("doc_id", "start", "n_words", "o.other_id", "o.other_start"))

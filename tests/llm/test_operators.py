@@ -224,6 +224,16 @@ def test_passages(docs):
     assert cover
 
 
+def test_passages_in_every_row_of_a_doc_id(spark):
+    shared, again = prose(60, 1).split(), prose(70, 2).split()
+    rows = [(1, " ".join(prose(9, 3).split() + shared)), (1, prose(300, 4)), (1, " ".join(again)), (1, " ".join(again)),
+            (2, " ".join(shared + prose(5, 5).split())), (3, " ".join(again)), (4, prose(49, 6)), (5, prose(49, 6)),
+            (6, prose(80, 7)), (6, prose(80, 7)), (None, " ".join(shared)), (7, ""), (8, None)]
+    df = stage(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(tuple(r) for r in suffix_dedup.repeated_passages(df).collect())
+    assert got == [(1, 0, 70, 3, 0), (1, 9, 60, 2, 0), (2, 0, 60, 1, 9), (3, 0, 70, 1, 0)]
+
+
 def test_passages_of_frequent_lines(spark):
     # many documents share more words on the left only and others on the right only
     rng = np.random.default_rng(11)

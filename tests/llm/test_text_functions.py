@@ -121,6 +121,9 @@ def test_shared_passages_share_a_minimiser():
         w = [f"{side}{i}" for i in range(77)] + shared + [f"{side}x{i}" for i in range(30)]
         h = suffix_dedup.grams(suffix_dedup.word_hashes(" ".join(w), hashes))
         kept.append(set(h[suffix_dedup.minimisers(h, 41)].tolist()))
+        plain = [k + int(h[k:k + 41].argmin()) for k in range(len(h) - 40)]
+        at, first, n = suffix_dedup.anchors(h, 41)
+        assert [(p, plain.index(p), plain.count(p)) for p in sorted(set(plain))] == list(zip(at, first, n, strict=True))
     assert kept[0] & kept[1]
 
 
