@@ -46,6 +46,8 @@ from histmill.llm.common import drop_stage, ensure_columns, shuffle_partitions,
 WORDS = 50
 GRAM = 10
 WORD_CACHE = 1_000_000
+#: Bytes kept of a word's hash. Two words that differ are taken as equal with a chance of 2^-48.
+WIDTH = 6
 #: Words that a task handles at a time, give or take a row.
 CHUNK = 1 << 18
 BASE = 0x9E3779B97F4A7C15
@@ -143,7 +145,7 @@ def _hash_batches(words: int) -> Callable:
                 w = word_hashes(text, hashes)
                 if len(w) >= words:
                     ids.append(doc_id)
-                    packed.append(w.tobytes())
+                    packed.append(pack(w))
             marks = [xxhash.xxh3_64_intdigest(p) - (1 << 63) for p in packed]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()),
                                               pa.array(packed, pa.binary())], names=["doc_id", "mark", "words"])
@@ -151,8 +153,15 @@ def _hash_batches(words: int) -> Callable:
     return run
 
 
+def pack(w: np.ndarray) -> bytes:
+    return w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].tobytes()
+
+
 def unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, np.uint64)
+    raw = np.frombuffer(packed, np.uint8).reshape(-1, WIDTH)
+    w = np.zeros((len(raw), 8), np.uint8)
+    w[:, :WIDTH] = raw
+    return w.view("<u8").ravel()
 
 
 def _suffix_columns(texts: list[np.ndarray], words: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -183,7 +192,7 @@ def _suffix_batches(words: int) -> Callable:
             packed = batch.column("words")
             begin, held = 0, 0
             for k in range(len(packed)):
-                held += len(packed[k].as_buffer()) // 8
+                held += len(packed[k].as_buffer()) // WIDTH
                 if held >= CHUNK or k == len(packed) - 1:
                     of, cols = _suffix_columns([unpack(p.as_buffer()) for p in packed[begin:k + 1]], words)
                     yield pa.RecordBatch.from_arrays(
