@@ -349,3 +349,20 @@ def test_write_import(spark, tmp_path):
     assert list(user) == sorted(user) and user["name"] == "bob"
     entries = spark.read.json(str(tmp_path / "project" / "entries")).collect()
     assert sorted((r.kind, r.name) for r in entries) == [("component", "A"), ("component", "B"), ("version", "7.1")]
+
+
+def test_range_matching_of_few_and_many(spark, monkeypatch):
+    """Paths with few revisions or claims are joined on the path, the others by position."""
+    monkeypatch.setattr(revisions, "FEW", 3)
+    paths = spark.createDataFrame([(k, f"$/R75/a/{k}.c", False, False) for k in (1, 2, 3)],
+                                  "FilePathKey long, Path string, IsProject boolean, Deleted boolean")
+    counts = {1: 2, 2: 9, 3: 9}
+    rev_rows = [(100 * k + i, k, 2 * i) for k, n in counts.items() for i in range(1, n + 1)] + [(999, 2, None)]
+    revs = spark.createDataFrame(rev_rows, "FileRevKey long, FilePathKey long, Revision long")
+    fixes = spark.createDataFrame([(1, "7.50")], "TransmittalId long, ReleaseLev string")
+    claims = [(1, 10 * k + j, f"$/R75/a/{k}.c", str(j), str(2 * j)) for k, n in ((1, 6), (2, 2), (3, 7)) for j in range(n)]
+    changes = spark.createDataFrame(claims, "TransmittalID long, FCIndex int, FileChanged string, "
+                                            "RevisionLevelFrom string, RevisionLevelTo string")
+    got = sorted((r.FCIndex, r.FileRevKey) for r in revisions.match_exact(changes, fixes, paths, revs, ["7.50"]).collect())
+    assert got == sorted((c[1], r[0]) for c in claims for r in rev_rows
+                         if c[2] == f"$/R75/a/{r[1]}.c" and r[2] and int(c[3]) < r[2] <= int(c[4]))

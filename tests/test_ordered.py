@@ -1,9 +1,11 @@
 """The distributed order-dependent scans equal their single-window definitions,
 including a hot group spanning many partitions and empty partitions."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from histmill.operators import ordered
 from histmill.operators.ordered import forward_fill, global_islands, grouped_row_number
 
 
@@ -64,3 +66,21 @@ def test_plain_path_equals_two_phase(spark):
     c = forward_fill(df, ["g"], ["o"], "v", "f", partitions=6)
     d = forward_fill(df, ["g"], ["o"], "v", "f")
     assert _rows(c, ["g", "o", "f"]) == _rows(d, ["g", "o", "f"])
+
+
+def test_ordered_scans_shuffle_nothing_after_staging(spark):
+    """The stage table is bucketed as its rows lie: windows by partition id need no exchange."""
+    df = spark.range(200).selectExpr("id % 7 as g", "id as o", "id % 3 as v")
+    plan = ordered.stage_by_range(df, ["g", "o"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_group_first_of_groups_that_span_partitions(spark, parts):
+    rows = [(None if i % 5 == 4 else i % 5 if i < 40 else 2, i % 3 or None, (i * 37) % 101) for i in range(120)]
+    df = spark.createDataFrame(rows, "g int, h int, o int")
+    got = ordered.with_group_first(df, ["g", "h"], ["o"], "first", partitions=parts).collect()
+    least = {}
+    for g, h, o in rows:
+        least[g, h] = min(o, least.get((g, h), o))
+    assert len(got) == len(rows) and all(r["first"]["o"] == least[r.g, r.h] for r in got)
