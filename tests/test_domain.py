@@ -366,3 +366,13 @@ def test_range_matching_of_few_and_many(spark, monkeypatch):
     got = sorted((r.FCIndex, r.FileRevKey) for r in revisions.match_exact(changes, fixes, paths, revs, ["7.50"]).collect())
     assert got == sorted((c[1], r[0]) for c in claims for r in rev_rows
                          if c[2] == f"$/R75/a/{r[1]}.c" and r[2] and int(c[3]) < r[2] <= int(c[4]))
+
+
+def test_version_alias_moves_first_sentences_only(spark):
+    """The summary needs a text's first sentence: it is cut out before the shuffle of the fixes."""
+    from histmill.plans.registry import all_queries
+
+    plan = all_queries()["version_alias"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    cut = next(x for x in plan.splitlines() if "AS _sentence" in x)
+    assert "Join" in plan and plan.index("Join") < plan.index(cut)
+    assert not any("AS description" in x for x in plan.splitlines())
