@@ -376,3 +376,24 @@ def test_version_alias_moves_first_sentences_only(spark):
     cut = next(x for x in plan.splitlines() if "AS _sentence" in x)
     assert "Join" in plan and plan.index("Join") < plan.index(cut)
     assert not any("AS description" in x for x in plan.splitlines())
+
+
+def test_single_line_trim_equals_its_regex(spark):
+    import itertools
+    import re
+
+    texts = ["".join(t) for n in range(6) for t in itertools.product("a \n\r", repeat=n)] + ["\u00a0x\u2028 ", "\x0b\x0cx y\t", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", T.trim_single_line(F.col("t")).alias("y"))
+    want = [t if t is None else re.sub(r"^\s*(.*?)\s*$", r"\1", t, count=1, flags=re.ASCII) for t in texts]
+    assert {r.i: r.y for r in got.collect()} == dict(enumerate(want))
+
+
+def test_log_texts_are_trimmed_once_without_a_regex(spark):
+    log = spark.createDataFrame([(1, 5, None, None, "Comment", None, " a text \n")], "event_id int, SDR_Num int, EntryDate timestamp_ntz, "
+                                "Person string, LineType string, ReasonCode string, Description string")
+    defects = spark.createDataFrame([(5, "L3", "7.1")], "SDRNum int, Release string, Version string")
+    records = spark.createDataFrame([], "user_key string, name string")
+    rows = iss.defect_log_entries(log, defects, records, iss.ExportProfile(origin_release="L3")).where(F.col("body").isNotNull())
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "(.*?)" not in plan and plan.count("replace(Description") == 1
+    assert [r.body for r in rows.collect()] == ["a text"]
