@@ -397,3 +397,48 @@ def test_log_texts_are_trimmed_once_without_a_regex(spark):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "(.*?)" not in plan and plan.count("replace(Description") == 1
     assert [r.body for r in rows.collect()] == ["a text"]
+
+
+def test_texts_by_number_give_the_rows_of_the_view(spark, tmp_path):
+    """Repeated document ids and fixes, documents that are missing or null: the same fixes as from whole texts."""
+    from histmill.plans import issue_plans as plans
+    from histmill.sources.views import view, view_by_text
+
+    sf = str(tmp_path)
+    spark.createDataFrame([(0, "Zero. More"), (1, "one\r\ntwo"), (1, "another"), (2, None), (None, "lost"), (4, "")],
+                          "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    orders = [(k, k, "F", dt.datetime(2020, 1, 1 + k), f"{1 + k % 5}-X") for k in [*range(12), 1, 6]]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, "
+                                  "o_orderpriority string").write.parquet(f"{sf}/orders.parquet")
+    spark.createDataFrame([(k,) for k in range(9)], "c_custkey long").write.parquet(f"{sf}/customer.parquet")
+    whole = view(spark, sf, "v_resolution")
+    numbered, texts = view_by_text(spark, sf, "v_resolution")
+    names = [c for c in whole.columns if c != "ReadMe"]
+    joined = numbered.join(texts, F.col("ReadMe") == F.col("text_id"), "left").select(*names, "text")
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(key, joined.collect())) == sorted(map(key, whole.select(*names, "ReadMe").collect()))
+
+    as_df = spark.createDataFrame
+    links = as_df([(3, 7)], "TransmittalID long, SDR_Num long")
+    defects = as_df([(7, "L1", "P", "a", "b", "brief")], "SDRNum long, Release string, Priority string, Level2 string, Level3 string, "
+                                                         "ProblemBrief string")
+    tlog = as_df([], "TransmittalID long, entrydate timestamp_ntz")
+    cat = as_df([("L1", "7.1", True, None, None)], "ReleaseLev string, ReleaseID string, IsReleased boolean, "
+                                                   "LanguageLabel string, HotfixLabel string")
+    dscope = as_df([(7,)], "SDRNum long")
+    fscope = as_df([(k, "B", "V") for k in range(10)], "TransmittalId long, Branch string, Version string")
+    records = as_df([], "user_key string, name string")
+    made = [iss.fix_issues(fixes, links, defects, tlog, cat, dscope, fscope, records, plans.PROFILE, None, described, of)
+            for described in (True, False) for fixes, of in ((whole, None), (numbered, texts))]
+    rows = [sorted(str(tuple(r)) for r in d.collect()) for d in made]
+    assert rows[0] == rows[1] and rows[2] == rows[3] and len(rows[0]) > 12
+
+
+def test_fix_texts_are_joined_last(spark):
+    """No text of a fix crosses a shuffle: its number does, and the texts come in the last join."""
+    from histmill.plans.registry import all_queries
+
+    for name in ("resolution_issue", "dummy_parents"):
+        q = all_queries()[name](spark, "/root/testdata/sf0.001")
+        top = next(x for x in q._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x)
+        assert "_read_me" in top, top
