@@ -141,6 +141,28 @@ def test_audits_find_the_rows_that_they_look_for(spark):
 
 # --- closure ---------------------------------------------------------------------------------
 
+def test_only_links_of_listed_fixes_are_staged(spark, monkeypatch):
+    """Fix 2 is of no listed release: its link is not staged, leads nowhere and leaves its defect a seed."""
+    staged, as_df = {}, spark.createDataFrame
+
+    def watched(df, key, buckets=None):
+        staged[key] = sorted(tuple(r) for r in df.collect())
+        return bucketed(df, key, buckets)
+
+    bucketed = scope.stage_bucketed
+    monkeypatch.setattr(scope, "stage_bucketed", watched)
+    got = scope.closure_issues(
+        as_df([(1, 10), (1, 10), (2, 11), (2, 12), (3, 12)], "TransmittalID long, SDR_Num long"),
+        as_df([(10, "L2", "7.2"), (11, "L0", "7.0"), (12, "L0", "7.0")], "SDRNum long, Release string, Version string"),
+        as_df([(1, "L0", "7.0", "QA"), (2, "L2", "7.2", "QA"), (3, "L1", "7.1", "QA")],
+              "TransmittalId long, ReleaseLev string, RlsLevelTarget string, WaitingOn string"),
+        as_df([(f"L{i}", f"7.{i}", f"b{i}", f"a{i}", f"f{i}") for i in range(3)],
+              "ReleaseLev string, ReleaseID string, JIRABranch string, AffectsVersion string, FixedVersion string"), ["L0", "L1"])
+    assert {(r.kind, r.id, r.ImportGroup) for r in got.collect()} == {
+        ("fix", 1, "L0"), ("sdr", 10, "L0"), ("sdr", 11, "L0"), ("fix", 3, "L1"), ("sdr", 12, "L1")}
+    assert staged["l_fix"] == [(1, 10), (3, 12)] and staged["l_sdr"] == [(1, 10), (3, 12)]
+
+
 def closed_by_hand(links, defects, fixes, catalog, releases):
     cat = {(lev, rid): (branch, affects, fixed) for lev, rid, branch, affects, fixed in catalog}
     fix = {t: (lev, *cat[lev, target]) for t, lev, target, _ in fixes if lev in releases and (lev, target) in cat}
